@@ -45,10 +45,13 @@ def utc_wall_clock(time: Column) -> Column:
 
 
 def wall_clock_epoch(wall_clock: Column) -> Column:
-    """Whole epoch seconds of a zone-less wall clock that is read as UTC."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    micros = F.timestamp_diff("MICROSECOND", epoch, wall_clock)
-    return ((micros - F.pmod(micros, F.lit(MICROS))) / F.lit(MICROS)).cast("bigint")
+    """Whole epoch seconds of a zone-less wall clock that is read as UTC.
+
+    Taken from its parts: differences of timestamps go by the session zone.
+    """
+    days = F.unix_date(F.to_date(wall_clock)).cast("bigint")
+    hours = days * 24 + F.hour(wall_clock)
+    return (hours * 60 + F.minute(wall_clock)) * 60 + F.second(wall_clock)
 
 
 def clamp_timestamp(time: Column, now: Column, max_age_days: int = METRIC_MAX_AGE_DAYS) -> Column:

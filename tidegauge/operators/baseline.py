@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions import bucket_start, on_bucket_edge, usable_mean, usable_std
-from tidegauge.operators.windows import with_previous
 from tidegauge.schema import (
     AVERAGE_SECONDS,
     METRICS,
@@ -79,16 +78,7 @@ def summarize_windows(
     )
 
 
-def windows_of(summary: DataFrame, metrics: tuple[str, ...] = METRICS) -> DataFrame:
-    """The window table out of a window summary."""
-    return summary.filter(F.col("window_start").isNotNull()).select(
-        "window_start", "readings", *(window_average(metric) for metric in metrics)
-    )
-
-
-def _weighted_parts(
-    summary: DataFrame, closed: str, seconds: int, scored: tuple[str, ...]
-) -> DataFrame:
+def _weighted_parts(summary: DataFrame, closed: str, scored: tuple[str, ...]) -> DataFrame:
     """Count, mean and variance of each disjoint part of the joined readings."""
     whole = summary.select(
         F.col("readings").alias("n"),
@@ -97,13 +87,13 @@ def _weighted_parts(
     )
     if closed == "left":
         return whole
-    repeated = (
-        with_previous(summary, [], seconds)
-        .filter(F.col("has_previous") & (F.col("edge_readings") > 0))
-        .select(
-            F.col("edge_readings").alias("n"),
-            *(F.col(f"edge_{what}_{m}").alias(f"{what}_{m}") for m in scored for what in ("avg", "var")),
-        )
+    repeated = summary.filter(F.col("has_previous") & (F.col("edge_readings") > 0)).select(
+        F.col("edge_readings").alias("n"),
+        *(
+            F.col(f"edge_{what}_{metric}").alias(f"{what}_{metric}")
+            for metric in scored
+            for what in ("avg", "var")
+        ),
     )
     return whole.unionByName(repeated, allowMissingColumns=True)
 
@@ -112,17 +102,16 @@ def baseline_of(
     summary: DataFrame,
     *,
     closed: str = "both",
-    seconds: int = AVERAGE_SECONDS,
     scored: tuple[str, ...] = SCORED_METRICS,
 ) -> DataFrame:
     """The baseline of the joined readings, from the window summary alone.
 
-    Equal to ``baseline(attach_window_averages(..))`` up to float rounding, and
+    For ``closed="both"`` the summary must hold ``has_previous``. Equal to ``baseline(attach_window_averages(..))`` up to float rounding, and
     saves that pass over the readings: variances of the parts add up as
     ``sum(n * var + n * (avg - mean)^2)``. A metric that never varies has
     deviation 0 exactly, as the direct aggregate has.
     """
-    parts = _weighted_parts(summary, closed, seconds, scored)
+    parts = _weighted_parts(summary, closed, scored)
     n = F.col("n")
     means = parts.agg(
         *(
@@ -134,7 +123,8 @@ def baseline_of(
     columns = []
     for metric in scored:
         mean = mean_of[metric]
-        squares = F.sum(n * (F.col(f"var_{metric}") + F.pow(F.col(f"avg_{metric}") - mean, F.lit(2.0))))
+        off_mean = F.col(f"avg_{metric}") - mean
+        squares = F.sum(n * (F.col(f"var_{metric}") + off_mean * off_mean))
         spread = F.max(f"max_{metric}") - F.min(f"min_{metric}")
         std = F.when(spread == 0, F.lit(0.0)).otherwise(
             F.sqrt(F.try_divide(squares, F.sum(n) - 1))

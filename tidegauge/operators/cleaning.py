@@ -93,10 +93,7 @@ def clean_readings(
 ) -> DataFrame:
     """Raw readings to valid readings.
 
-    The null checks on the raw columns follow from the validity rule; stated
-    apart they reach the Parquet scan, which a condition on a cast does not.
+    From the comparisons Spark infers null checks on the text columns and pushes
+    them into the scan.
     """
-    present = [F.col(name).isNotNull() for name in RAW_COLUMNS if name.lower() in bounds]
-    if present:
-        raw = raw.filter(reduce(and_, present))
     return keep_valid(to_typed(raw, keep), bounds, reject_nonfinite=reject_nonfinite)

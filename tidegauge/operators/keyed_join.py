@@ -19,11 +19,13 @@ def attach_by_key(
     keys: list[str],
     count_column: str,
     broadcast_rows: int = BROADCAST_ROWS,
+    *,
+    stored: bool = False,
 ) -> DataFrame:
     """Left join of ``rows`` with ``lookup``, which has one row per key.
 
     ``count_column`` says how many of ``rows`` carry the key. The lookup is
-    written once and measured:
+    written once, unless it is ``stored`` already, and measured:
 
     * up to ``broadcast_rows`` keys: broadcast, so the large side never moves;
     * more keys: those holding more than ``1/broadcast_rows`` of all rows are
@@ -33,7 +35,8 @@ def attach_by_key(
 
     Both ways give the same rows.
     """
-    lookup = materialize(lookup, "lookup")
+    if not stored:
+        lookup = materialize(lookup, "lookup")
     size = lookup.agg(F.count("*").alias("keys"), F.sum(count_column).alias("rows")).first()
     values = lookup.drop(count_column)
     if size["keys"] <= broadcast_rows:

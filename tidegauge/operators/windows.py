@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions import bucket_start, on_bucket_edge, shift_seconds
 from tidegauge.operators.keyed_join import BROADCAST_ROWS, attach_by_key
 from tidegauge.schema import AVERAGE_SECONDS, METRICS, TIME, window_average
+from tidegauge.sources.workspace import materialize
 
 
 def tumbling_averages(
@@ -91,17 +92,54 @@ def attach_window_averages(
     start finds it, and the window before comes along in the same lookup row.
     The plain interval condition would compare every reading with every window.
     """
+    check_closed(closed)
+    if closed == "both":
+        windows = with_previous(materialize(windows, "windows"), list(columns), seconds)
+    return attach_stored_windows(
+        readings,
+        materialize(windows, "lookup"),
+        closed=closed,
+        seconds=seconds,
+        columns=columns,
+        broadcast_rows=broadcast_rows,
+    )
+
+
+def check_closed(closed: str) -> None:
     if closed not in ("both", "left"):
         raise ValueError(f"closed must be 'both' or 'left', not {closed!r}")
+
+
+def attach_stored_windows(
+    readings: DataFrame,
+    windows: DataFrame,
+    *,
+    closed: str = "both",
+    seconds: int = AVERAGE_SECONDS,
+    columns: tuple[str, ...] = tuple(window_average(m) for m in METRICS),
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """The same join for a window table that is written already.
+
+    For ``closed="both"`` it must hold the previous window, see ``with_previous``.
+    Only the columns asked for are read and broadcast.
+    """
     names = list(columns)
+    needed = ["window_start", "readings", *names]
+    if closed == "both":
+        needed += ["has_previous", *(f"previous_{name}" for name in names)]
     keyed = readings.withColumn("window_start", bucket_start(F.col(TIME), seconds))
+    joined = attach_by_key(
+        keyed,
+        windows.select(*needed),
+        ["window_start"],
+        "readings",
+        broadcast_rows,
+        stored=True,
+    )
     if closed == "left":
-        lookup = windows.select("window_start", "readings", *names)
-        joined = attach_by_key(keyed, lookup, ["window_start"], "readings", broadcast_rows)
         return joined.select(*readings.columns, *names)
 
-    lookup = with_previous(windows.select("window_start", "readings", *names), names, seconds)
-    joined = attach_by_key(keyed, lookup, ["window_start"], "readings", broadcast_rows)
     in_two = on_bucket_edge(F.col(TIME), seconds) & F.col("has_previous")
     matches = F.when(in_two, F.array(F.lit(False), F.lit(True))).otherwise(
         F.array(F.lit(False))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.operators.anomalies import anomaly_log, flag_anomalies
-from tidegauge.operators.baseline import baseline, baseline_of, summarize_windows, windows_of
+from tidegauge.operators.baseline import baseline, baseline_of, summarize_windows
 from tidegauge.operators.cleaning import clean_readings, is_valid, to_typed
 from tidegauge.operators.metrics import metric_records
 from tidegauge.operators.rollups import (
@@ -18,12 +18,14 @@ from tidegauge.operators.rollups import (
     device_stats_of,
     summarize_flagged,
 )
-from tidegauge.operators.windows import attach_window_averages
-from tidegauge.schema import DECIMALS, SILVER_COLUMNS
+from tidegauge.operators.windows import attach_stored_windows, check_closed, with_previous
+from tidegauge.schema import DECIMALS, METRICS, SILVER_COLUMNS, window_average
 from tidegauge.sinks.tables import overwrite_table, write_run
 from tidegauge.sources.files import load_table
 from tidegauge.sources.workspace import materialize
 
+WINDOW_AVERAGES = [window_average(metric) for metric in METRICS]
+
 
 @dataclass(frozen=True)
 class Readings:
@@ -38,29 +40,36 @@ class Readings:
 
     @classmethod
     def from_raw(cls, raw: DataFrame, keep: tuple[str, ...] = (), closed: str = "both") -> Readings:
+        check_closed(closed)
         return cls(clean_readings(raw, keep), closed)
 
     @cached_property
     def window_summary(self) -> DataFrame:
-        return materialize(summarize_windows(self.clean), "windows")
-
-    @property
-    def windows(self) -> DataFrame:
-        return windows_of(self.window_summary)
+        """One row per window; see ``summarize_windows``."""
+        summary = materialize(summarize_windows(self.clean), "summary")
+        if self.closed == "left":
+            return summary
+        return materialize(with_previous(summary, WINDOW_AVERAGES), "windows")
 
     @cached_property
     def baseline(self) -> DataFrame:
         return materialize(baseline_of(self.window_summary, closed=self.closed), "baseline")
 
+    def _attach(self, columns: list[str]) -> DataFrame:
+        windows = self.window_summary.filter(F.col("window_start").isNotNull())
+        return attach_stored_windows(
+            self.clean, windows, closed=self.closed, columns=tuple(columns)
+        )
+
     @cached_property
     def silver(self) -> DataFrame:
         """Clean readings with the averages of their windows."""
-        return attach_window_averages(self.clean, self.windows, closed=self.closed)
+        return self._attach(WINDOW_AVERAGES)
 
     @cached_property
     def repeated(self) -> DataFrame:
         """The rows of ``silver`` without the averages, for results that need none."""
-        return attach_window_averages(self.clean, self.windows, closed=self.closed, columns=())
+        return self._attach([])
 
     @cached_property
     def scored(self) -> DataFrame:

@@ -47,15 +47,16 @@ def overwrite_table(
 def write_run(df: DataFrame, name: str, run_id: str, run_column: str = "run_id") -> None:
     """Add one run's rows to a log table; the same run again replaces its rows."""
     spark = df.sparkSession
-    rows = df.withColumn(run_column, F.lit(run_id))
     if not spark.catalog.tableExists(name):
+        rows = df.withColumn(run_column, F.lit(run_id))
         rows.write.partitionBy(run_column).saveAsTable(name, format="parquet")
         return
-    columns = spark.read.table(name).columns
-    (
-        rows.select(*columns)
-        .write.option("partitionOverwriteMode", "dynamic")
-        .insertInto(name, overwrite=True)
+    columns = [column for column in spark.read.table(name).columns if column != run_column]
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {name} PARTITION ({run_column} = {{run_id}})"
+        " SELECT * FROM {rows}",
+        run_id=run_id,
+        rows=df.select(*columns),
     )
 
 

@@ -86,6 +86,9 @@ flagged AS (
                  AS INTEGER) AS overall_anomaly
   FROM marked)"""
 
+# A stream scores its readings before any join, so each counts once.
+_FLAGGED_ONCE = _FLAGGED.replace("joined.*", "clean.*").replace("FROM joined", "FROM clean")
+
 _HOURLY = f"""
 hourly AS (
   SELECT time_bucket(INTERVAL '1 hour', event_time) AS window_start,
@@ -418,12 +421,9 @@ ORACLE: dict[str, str] = {
         f"SELECT window_start, window_end, {_AVERAGES_5MIN}, readings FROM win WHERE {_CLOSED}",
     ),
     "stream_device_stats": _sql(
-        (
-            *_TO_JOINED,
-            _STATS,
-            _FLAGGED.replace("joined.*", "clean.*").replace("FROM joined", "FROM clean"),
-            _HOURLY,
-        ),
-        f"SELECT * FROM hourly WHERE {_CLOSED}",
+        (*_TO_JOINED, _STATS, _FLAGGED_ONCE, _HOURLY), f"SELECT * FROM hourly WHERE {_CLOSED}"
+    ),
+    "stream_anomaly_rate": _sql(
+        (*_TO_JOINED, _STATS, _FLAGGED_ONCE, _RATE), f"SELECT * FROM rate WHERE {_CLOSED}"
     ),
 }

@@ -491,6 +491,14 @@ def stream_device_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(_stored(spark, rollup), ROLLUP_AVERAGES)
 
 
+def stream_anomaly_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anomalies per 10 minutes of a stream."""
+    stats = readings(spark, sf_dir).baseline
+    scored = flag_anomalies(_clean_stream(spark, sf_dir), stats)
+    summary = rollups.summarize_flagged(gold_stream_ops.with_lateness(scored))
+    return shown(_stored(spark, rollups.anomaly_rate_of(summary)))
+
+
 def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Join, flags and log per micro-batch of a stream."""
     stats = readings(spark, sf_dir).baseline
@@ -561,5 +569,6 @@ QUERIES: dict[str, Query] = {
     "bronze_stream": bronze_stream,
     "stream_tumbling": stream_tumbling,
     "stream_device_stats": stream_device_stats,
+    "stream_anomaly_rate": stream_anomaly_rate,
     "stream_gold": stream_gold,
 }
