@@ -6,7 +6,11 @@ from tidegauge.operators.anomalies import anomaly_log, flag_anomalies
 from tidegauge.operators.baseline import baseline
 from tidegauge.operators.cleaning import clean_readings
 from tidegauge.operators.rollups import anomaly_rate_of, summarize_flagged
-from tidegauge.operators.windows import attach_window_averages, tumbling_averages
+from tidegauge.operators.windows import (
+    attach_window_averages,
+    averages_of_sums,
+    tumbling_averages,
+)
 from tidegauge.schema import CORRUPT, RAW_COLUMNS
 from tidegauge.sources.files import bronze_records, quarantined_lines
 from tidegauge.streaming import bronze, gold
@@ -163,6 +167,19 @@ def test_gold_batches(spark, feed, tmp_path):
     assert values(spark.read.parquet(folders.log), "temp_value", "batch_id") == [(90.0, 1)]
 
 
+def test_window_sums_survive_a_change_of_generation(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(gold, "BATCHES_PER_GENERATION", 2)
+    path = str(tmp_path / "windows")
+    batches = [[(0, 1.0)], [(10, 2.0)], [(20, 3.0), (300, 4.0)], [], [(30, 6.0)], [(301, 8.0)]]
+    for batch_id, rows in enumerate(batches):
+        for _ in range(2):
+            parts = gold._store_window_sums(clean(spark, rows), path, batch_id, 300)
+        whole = clean(spark, [row for batch in batches[: batch_id + 1] for row in batch])
+        expected = tumbling_averages(whole).select("window_start", "readings", "avg_temp_5min")
+        assert values(averages_of_sums(parts).select(expected.columns)) == values(expected)
+    assert parts.count() < 5
+
+
 def test_a_replayed_batch_doubles_nothing(spark, tmp_path):
     stats = spark.createDataFrame(
         [(3.0, 4.0, 1.0, 0.5)],

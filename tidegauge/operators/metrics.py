@@ -80,6 +80,14 @@ def in_key_order(readings: DataFrame, keys: list[str], time: str = TIME) -> Data
     """Readings ordered by time within each key.
 
     Ranges over key and time put a very busy key into several neighbouring
-    partitions, where hashing on the key would put it all into one task.
+    partitions, where hashing on the key would put it all into one task. Equal
+    times are told apart by the input partition, which a retried task keeps, so
+    a pile-up at one moment is spread as well.
     """
-    return readings.repartitionByRange(*keys, time).sortWithinPartitions(*keys, time)
+    part = "input_partition"
+    return (
+        readings.withColumn(part, F.spark_partition_id())
+        .repartitionByRange(*keys, time, part)
+        .sortWithinPartitions(*keys, time)
+        .drop(part)
+    )

@@ -45,12 +45,21 @@ def window_sums(
     )
 
 
+def merged_sums(parts: DataFrame, metrics: tuple[str, ...] = METRICS) -> DataFrame:
+    """One row of sums per window from all its parts."""
+    names = ("readings", *(f"sum_{metric}" for metric in metrics))
+    return parts.groupBy("window_start").agg(*(F.sum(name).alias(name) for name in names))
+
+
 def averages_of_sums(parts: DataFrame, metrics: tuple[str, ...] = METRICS) -> DataFrame:
     """Window averages from all parts of each window."""
-    total = F.sum("readings")
-    return parts.groupBy("window_start").agg(
-        total.alias("readings"),
-        *((F.sum(f"sum_{metric}") / total).alias(window_average(metric)) for metric in metrics),
+    return merged_sums(parts, metrics).select(
+        "window_start",
+        "readings",
+        *(
+            (F.col(f"sum_{metric}") / F.col("readings")).alias(window_average(metric))
+            for metric in metrics
+        ),
     )
 
 

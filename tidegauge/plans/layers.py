@@ -19,7 +19,8 @@ from tidegauge.operators.rollups import (
     summarize_flagged,
 )
 from tidegauge.operators.windows import attach_stored_windows, check_closed, with_previous
-from tidegauge.schema import DECIMALS, METRICS, SILVER_COLUMNS, window_average
+from tidegauge.functions import utc_wall_clock
+from tidegauge.schema import DECIMALS, METRICS, SILVER_COLUMNS, TIME, window_average
 from tidegauge.sinks.tables import overwrite_table, write_run
 from tidegauge.sources.files import load_table
 from tidegauge.sources.workspace import materialize
@@ -106,13 +107,15 @@ def refresh_silver(
 ) -> None:
     """Rebuild the silver table from the bronze table.
 
-    ``partition_by_date`` adds an ``event_date`` partition column, with which
-    later reads of a time range skip the other days.
+    ``partition_by_date`` adds an ``event_date`` (UTC) partition column, with which
+    later reads of a time range skip the other days. Rows are then rebalanced by
+    day at run time, so a day becomes few files, and a huge day many tasks.
     """
     readings = Readings.from_raw(load_table(spark, bronze_table), closed=closed)
     silver = readings.silver.select(*SILVER_COLUMNS)
     if partition_by_date:
-        silver = silver.withColumn("event_date", F.to_date("event_time"))
+        silver = silver.withColumn("event_date", F.to_date(utc_wall_clock(F.col(TIME))))
+        silver = silver.hint("rebalance", "event_date")
     overwrite_table(
         silver, silver_table, partition_by=("event_date",) if partition_by_date else ()
     )

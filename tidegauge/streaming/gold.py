@@ -15,18 +15,25 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegauge.functions import shift_seconds
 from tidegauge.operators.anomalies import anomaly_log, flag_anomalies
-from tidegauge.operators.windows import attach_window_averages, averages_of_sums, window_sums
+from tidegauge.operators.windows import (
+    attach_window_averages,
+    averages_of_sums,
+    merged_sums,
+    window_sums,
+)
 from tidegauge.schema import AVERAGE_SECONDS, TIME
 from tidegauge.sinks.tables import write_run_path
 from tidegauge.streaming.bronze import EVERY_TWO_SECONDS
 
 LATE_BY = "10 minutes"
+BATCHES_PER_GENERATION = 100
+MERGED = -1
 
 
 def with_lateness(stream: DataFrame, late_by: str = LATE_BY) -> DataFrame:
@@ -54,30 +61,48 @@ def batch_writer(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        run = str(batch_id)
         batch.persist()
         try:
-            write_run_path(window_sums(batch, seconds), folders.windows, run, "batch_id")
-            parts = _parts_near(spark, batch, folders.windows, batch_id, seconds)
-            silver = attach_window_averages(batch, averages_of_sums(parts), seconds=seconds)
+            parts = _store_window_sums(batch, folders.windows, batch_id, seconds)
+            near = _near(parts, batch, seconds)
+            silver = attach_window_averages(batch, averages_of_sums(near), seconds=seconds)
             flagged = flag_anomalies(silver, stats)
-            write_run_path(flagged, folders.flagged, run, "batch_id")
-            write_run_path(anomaly_log(flagged), folders.log, run, "batch_id")
+            write_run_path(flagged, folders.flagged, str(batch_id), "batch_id")
+            write_run_path(anomaly_log(flagged), folders.log, str(batch_id), "batch_id")
         finally:
             batch.unpersist()
 
     return write
 
 
-def _parts_near(
-    spark: SparkSession, batch: DataFrame, path: str, batch_id: int, seconds: int
-) -> DataFrame:
-    """Window parts in the time range of a batch, up to this batch."""
+def _store_window_sums(batch: DataFrame, path: str, batch_id: int, seconds: int) -> DataFrame:
+    """Store the window sums of a batch; returns those of all batches up to it.
+
+    Batches are kept in generations. The first batch of a generation also stores
+    all sums before it, merged, so that a batch never reads more than one
+    generation of small files. Older generations are no longer read.
+    """
+    spark = batch.sparkSession
+
+    def read(generation: int) -> DataFrame:
+        stored = spark.read.parquet(f"{path}/generation={generation}")
+        return stored.filter(F.col("batch_id").cast("bigint") <= batch_id)
+
+    def write(sums: DataFrame, part: int) -> None:
+        sums.write.mode("overwrite").parquet(f"{path}/generation={generation}/batch_id={part}")
+
+    generation, place = divmod(batch_id, BATCHES_PER_GENERATION)
+    if generation > 0 and place == 0:
+        write(merged_sums(read(generation - 1)), MERGED)
+    write(window_sums(batch, seconds), batch_id)
+    return read(generation)
+
+
+def _near(parts: DataFrame, batch: DataFrame, seconds: int) -> DataFrame:
+    """The parts in the time range of a batch."""
     micros = F.unix_micros(TIME)
     span = batch.agg(F.min(micros).alias("first"), F.max(micros).alias("last")).first()
     first, last = (F.timestamp_micros(F.lit(end).cast("bigint")) for end in span)
-    parts = spark.read.parquet(path).filter(F.col("batch_id").cast("bigint") <= batch_id)
     return parts.filter(F.col("window_start").between(shift_seconds(first, -2 * seconds), last))
 
 
