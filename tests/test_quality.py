@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import clean, values
 from tidegauge.operators import quality as q
+from tidegauge.plans.checks import check_tables
 from tidegauge.schema import METRICS
 
 FLAGS = "temp_anomaly int, humidity_anomaly int, overall_anomaly int"
@@ -83,6 +84,15 @@ def test_summary(spark):
     assert values(q.summarize_checks(parts)) == [(6, 2, 1, 2, 1)]
 
 
+def test_tables_that_are_missing_are_skipped(spark):
+    frame = spark.createDataFrame([(1, 2)], "window_start int, window_end int")
+    frame.write.mode("overwrite").saveAsTable("rollup_only")
+    report = check_tables(spark, "no_flagged", "rollup_only")
+    counted = {row["status"]: row["n"] for row in report.groupBy("status").agg(F.count("*").alias("n")).collect()}
+    assert counted == {"skipped": 6, "passed": 3, "failed": 1}
+    spark.sql("DROP TABLE rollup_only")
+
+
 def test_profile(spark):
     frame = clean(spark, [(0, 1.0), (1, 1.0), (2, 3.0), (3, None)])
     row = next(row for row in values(q.profile(frame)) if row[0] == "temperature")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.helpers import column, raw, values
+from tidegauge.plans.ingest import convert_drop
 from tidegauge.schema import RAW_COLUMNS, RAW_SCHEMA
 from tidegauge.sinks import tables
 from tidegauge.sources import files
@@ -47,6 +48,16 @@ def test_rows_per_file(spark, tmp_path):
     assert values(files.summarize_ingest(counts)) == [(2, 15)]
 
 
+def test_convert_drop(spark, tmp_path):
+    folder = tmp_path / "csv"
+    write(folder, "a.csv", HEADER + "0,1,1,1,1,1\n" * 2)
+    path = write(folder, "b.csv", HEADER + "1,1,1,1,1\n")
+    target = str(tmp_path / "json")
+    assert convert_drop(spark, path, target) == 3
+    good = files.good_records(files.read_json_lines(spark, target))
+    assert values(good, "Time", "Loudness") == [("0", "1"), ("0", "1"), ("1", None)]
+
+
 def test_decode_key(spark):
     frame = spark.createDataFrame([("a+b%2Fc%20d",), ("%zz",)], "k string")
     assert column(frame.select(files.decode_key(F.col("k")).alias("k")), "k") == ["a b/c d", None]

@@ -108,6 +108,20 @@ def test_csv_drop_as_a_stream(spark, feed):
     assert values(spark.read.parquet(feed.target), "Time", "Loudness") == [("0", "5"), ("1", None)]
 
 
+def test_csv_drop_becomes_json_lines(spark, feed):
+    (feed.source / "a.csv").write_text(",".join(RAW_COLUMNS) + "\n0,1,2,3,4,5\n1,2\n")
+    query = bronze.start_csv_to_json(
+        bronze.stream_csv_drop(spark, str(feed.source)),
+        path=feed.target,
+        checkpoint=feed.checkpoint,
+        trigger=bronze.ONCE,
+    )
+    query.awaitTermination()
+    lines = column(spark.read.text(feed.target), "value")
+    assert json.loads(lines[0]) == dict(zip(RAW_COLUMNS, "012345"))
+    assert json.loads(lines[1])["Loudness"] is None
+
+
 def test_windows_come_out_once_closed(spark, feed):
     for lines in ((line(0), line(300), "{broken"), (line(5000),), (line(9000),)):
         feed.drop(*lines)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegauge.schema import CORRUPT, QUARANTINED, RAW_SCHEMA
+from tidegauge.sinks.tables import to_json_lines
 from tidegauge.sources.files import json_schema, mark_quarantined
 
 # Fixed value: how often new files are looked for.
@@ -108,6 +109,19 @@ def start_bronze(
     )
 
 
+def start_csv_to_json(
+    stream: DataFrame,
+    *,
+    path: str,
+    checkpoint: str,
+    trigger: Mapping[str, Any] = EVERY_TWO_SECONDS,
+) -> StreamingQuery:
+    """Turn CSV drops into JSON lines as they come, each file once."""
+    return start_append(
+        to_json_lines(stream), checkpoint=checkpoint, path=path, trigger=trigger, fmt="text"
+    )
+
+
 def progress(query: StreamingQuery) -> list[tuple[int, int]]:
     """Batch number and input rows of the recent micro-batches."""
     return [(batch["batchId"], batch["numInputRows"]) for batch in query.recentProgress]

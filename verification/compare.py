@@ -1,6 +1,6 @@
 """Run queries next to their SQL and report differences.
 
-    python -m verification.compare [--sf 0.01] [query ...]
+    python -m verification.compare [--sf 0.01] [--conf KEY=VALUE] [query ...]
 """
 
 from __future__ import annotations
@@ -76,14 +76,17 @@ def differences(spark: SparkSession, name: str, sf_dir: str) -> list[str]:
 def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="0.01")
+    parser.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
-    spark = (
+    builder = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
-        .getOrCreate()
     )
+    for setting in args.conf:
+        builder = builder.config(*setting.split("=", 1))
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     failed = 0
     for name in args.names or QUERIES:

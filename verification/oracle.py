@@ -193,6 +193,7 @@ _ALL_CHECKS = _UNION.join(
         _dq("duplicate_rows", "flagged", "sum(n)", _copies(_WHOLE_FLAGGED, "flagged")),
         _dq("row_count", "device_stats", _EMPTY, "hourly"),
         _dq("schema_columns", "device_stats", "0", "stats"),
+        _dq("duplicate_rows", "device_stats", "sum(n)", _copies("hourly", "hourly")),
         "SELECT 'anomaly_flags', 'device_stats', NULL, 'error'",
         _dq("unique_window", "device_stats", "count(*)", _repeats("window_start", "hourly")),
         "SELECT 'row_count', 'missing_table', NULL, 'skipped'",
@@ -239,6 +240,7 @@ ORACLE: dict[str, str] = {
         "SELECT event_id, concat_ws('/', 'drop a+b', event_type, props, event_id) AS object_key"
         " FROM events"
     ),
+    "csv_to_json_lines": _sql((_RAW, _TYPED), _TYPED_VALUES),
     "bronze_read": _sql((_RAW, _TYPED), _TYPED_VALUES),
     "bronze_quarantine": _sql((_RAW,), _GOOD_AND_BAD),
     "bronze_stream": _sql((_RAW,), _GOOD_AND_BAD),

@@ -26,6 +26,8 @@ from tidegauge.operators.anomalies import (
 from tidegauge.operators.baseline import baseline
 from tidegauge.operators.cleaning import clean_readings, rejected, to_typed
 from tidegauge.operators.windows import attach_window_averages, tumbling_averages
+from tidegauge.plans.checks import check_flagged, check_rollup
+from tidegauge.plans.ingest import convert_drop
 from tidegauge.plans.layers import Readings, layer_counts
 from tidegauge.schema import (
     CORRUPT,
@@ -33,7 +35,6 @@ from tidegauge.schema import (
     METRICS,
     RAW_COLUMNS,
     RAW_SCHEMA,
-    ROLLUP_COLUMNS,
     TIME,
     rollup_average,
     short,
@@ -42,7 +43,7 @@ from tidegauge.schema import (
 from tidegauge.sinks.tables import to_json_lines, write_json_lines
 from tidegauge.sources import files
 from tidegauge.sources.event_readings import readings_from_events
-from tidegauge.sources.workspace import scratch_path
+from tidegauge.sources.workspace import materialize, scratch_path
 from tidegauge.streaming import bronze as bronze_stream_ops
 from tidegauge.streaming import gold as gold_stream_ops
 
@@ -100,6 +101,14 @@ def ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_typed(files.read_csv_drop(spark, path)).drop(TIME)
 
 
+def csv_to_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV drops converted to JSON lines, which are then read and typed."""
+    source, target = scratch_path(spark, "csv"), scratch_path(spark, "json")
+    raw_readings(spark, sf_dir).write.option("header", True).csv(source)
+    convert_drop(spark, source, target)
+    return to_typed(files.good_records(files.read_json_lines(spark, target))).drop(TIME)
+
+
 def _dropped_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "drops")
     dropped = readings_from_events(events(spark, sf_dir), ("ts",)).select(
@@ -341,7 +350,7 @@ def plot_feed_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = rollups.summarize_flagged(readings(spark, sf_dir).scored)
+    summary = materialize(rollups.summarize_flagged(readings(spark, sf_dir).scored), "rollup")
     records = metric_ops.metric_records(
         rollups.device_stats_of(summary), rollups.anomaly_rate_of(summary), NOW
     )
@@ -388,10 +397,10 @@ def dq_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_unique_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = rollups.device_stats(readings(spark, sf_dir).scored, ordered=False)
-    by_window = quality.unique_windows(stats, "device_stats")
-    clean = rollups.summarize_flagged(readings(spark, sf_dir).scored)
-    by_hour = clean.select(F.date_trunc("hour", "window_start").alias("window_start"))
+    """Once on the rollup, and once on windows that do repeat."""
+    summary = materialize(rollups.summarize_flagged(readings(spark, sf_dir).scored), "rollup")
+    by_window = quality.unique_windows(rollups.device_stats_of(summary), "device_stats")
+    by_hour = summary.select(F.window("window_start", "1 hour")["start"].alias("window_start"))
     return by_window.unionByName(quality.unique_windows(by_hour, "ten_minutes_as_hours"))
 
 
@@ -403,32 +412,18 @@ def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.unionByName(repeating)
 
 
-def _all_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks on flagged readings and rollup, one that cannot run, one skipped."""
     source = readings(spark, sf_dir)
     flagged = source.flagged.drop(*IDENTITY)
-    stats = rollups.device_stats(source.scored, ordered=False)
-    row_checks = [
-        quality.not_empty(),
-        quality.has_columns(flagged, FLAGGED_COLUMNS),
-        quality.flags_are_binary(),
-        *quality.within_limits(),
-    ]
-    stats_checks = [
-        quality.not_empty(),
-        quality.has_columns(stats, ROLLUP_COLUMNS),
-        quality.flags_are_binary(),
-    ]
-    return (
-        quality.run_checks(flagged, "flagged", row_checks)
-        .unionByName(quality.no_duplicate_rows(flagged, "flagged"))
-        .unionByName(quality.run_checks(stats, "device_stats", stats_checks))
-        .unionByName(quality.unique_windows(stats, "device_stats"))
+    stats = materialize(rollups.device_stats(source.scored, ordered=False), "rollup")
+    results = (
+        check_flagged(flagged)
+        .unionByName(check_rollup(stats))
+        .unionByName(quality.run_checks(stats, "device_stats", [quality.flags_are_binary()]))
         .unionByName(quality.skipped(spark, "missing_table", ["row_count"]))
     )
-
-
-def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.summarize_checks(_all_checks(spark, sf_dir))
+    return quality.summarize_checks(results)
 
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -520,6 +515,7 @@ def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "device_stats": device_stats,
     "ingest_csv": ingest_csv,
+    "csv_to_json_lines": csv_to_json_lines,
     "ingest_file_counts": ingest_file_counts,
     "ingest_summary": ingest_summary,
     "decode_keys": decode_keys,
