@@ -43,6 +43,12 @@ def test_to_number_keeps_nan(spark):
         ("", None),
         ("NaN", None),
         ("1d", None),
+        ("1e3", 1000),
+        (" 12 ", 12),
+        ("9000000000000", 9000000000000),
+        ("99999999999999", None),
+        ("-9223372036854775808", None),
+        ("99999999999999999999", None),
         ("2021-06-15 10:00:00", None),
         (None, None),
     ],

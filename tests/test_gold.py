@@ -16,8 +16,10 @@ from tidegauge.operators.anomalies import (
 )
 from tidegauge.operators.baseline import baseline, baseline_of, summarize_windows
 from tidegauge.operators.windows import attach_window_averages, tumbling_averages, with_previous
+from tidegauge.plans.checks import check_tables
 from tidegauge.plans.layers import GoldTables, Readings, layer_counts, refresh_gold, refresh_silver
 from tidegauge.schema import FLAGGED_COLUMNS, METRICS, ROLLUP_COLUMNS
+from tidegauge.sources.files import mark_quarantined
 from tidegauge.sources.event_readings import readings_from_events
 from tidegauge.sources.workspace import materialize
 
@@ -258,9 +260,12 @@ def test_layer_counts(spark, medium, medium_readings):
 def test_refresh_tables(spark, medium, medium_readings):
     source = readings_from_events(spark.read.parquet(f"{medium}/events.parquet"))
     spark.sql("CREATE DATABASE IF NOT EXISTS gauge")
-    source.write.mode("overwrite").saveAsTable("gauge.raw")
+    lines = source.withColumn("_corrupt_record", F.lit(None).cast("string"))
+    broken = spark.createDataFrame([("{",)], "_corrupt_record string")
+    marked = mark_quarantined(lines.unionByName(broken, allowMissingColumns=True))
+    marked.write.mode("overwrite").partitionBy("quarantined").saveAsTable("gauge.raw")
     refresh_silver(spark, "gauge.raw", "gauge.silver", partition_by_date=True)
-    tables = GoldTables("gauge.device_stats", "gauge.anomaly_rate", "gauge.anomaly_log", "gauge.metrics")
+    tables = GoldTables("gauge.device_stats", "gauge.anomaly_rate", "gauge.anomaly_log", "gauge.metrics", "gauge.flagged")
     now = dt.datetime(2024, 1, 22, tzinfo=UTC)
     for _ in range(2):
         refresh_gold(spark, "gauge.silver", tables, "2024-01-31", now)
@@ -271,6 +276,10 @@ def test_refresh_tables(spark, medium, medium_readings):
     for ours, plain in zip(values(stats), direct, strict=True):
         assert ours[:2] == plain[:2] and ours[2:] == pytest.approx(plain[2:], abs=1.01e-4)
     assert spark.table("gauge.metrics").count() == stats.count() + spark.table("gauge.anomaly_rate").count()
+    report = check_tables(spark, "gauge.flagged", "gauge.device_stats")
+    failed = report.filter("status <> 'passed'").select("check", "status")
+    assert values(failed) == [("temperature_range", "failed")]
+    assert report.count() == 10
     refresh_gold(spark, "gauge.silver", tables, "2024-02-01", now)
     assert spark.table("gauge.anomaly_log").groupBy("run_id").count().count() == 2
     day = spark.table("gauge.silver").filter("event_date = '2024-01-05'")

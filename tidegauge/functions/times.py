@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 from tidegauge.schema import METRIC_MAX_AGE_DAYS
 
 MICROS = 1_000_000
+# Timestamps hold 64-bit microseconds; the margin leaves room to shift them.
+MAX_SECONDS = 9_000_000_000_000
 
 
 def epoch_to_timestamp(text: Column) -> Column:
     """Epoch-seconds text to a timestamp, fractions cut off; other text gives NULL.
 
-    The way over decimal accepts "12.7" without accepting "NaN" or "1d".
+    The way over decimal takes "12.7" without taking "NaN" or "1d". A number
+    too large for a timestamp gives NULL too, where the conversion would raise.
     """
-    seconds = text.try_cast("decimal(20,6)").try_cast("bigint")
-    return F.timestamp_seconds(seconds)
+    whole = text.try_cast("bigint")
+    seconds = F.coalesce(whole, text.try_cast("decimal(20,6)").try_cast("bigint"))
+    return F.timestamp_seconds(F.when(seconds.between(-MAX_SECONDS, MAX_SECONDS), seconds))
 
 
 def bucket_start(time: Column, seconds: int) -> Column:

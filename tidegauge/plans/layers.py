@@ -20,9 +20,16 @@ from tidegauge.operators.rollups import (
 )
 from tidegauge.operators.windows import attach_stored_windows, check_closed, with_previous
 from tidegauge.functions import utc_wall_clock
-from tidegauge.schema import DECIMALS, METRICS, SILVER_COLUMNS, TIME, window_average
+from tidegauge.schema import (
+    DECIMALS,
+    METRICS,
+    QUARANTINED,
+    SILVER_COLUMNS,
+    TIME,
+    window_average,
+)
 from tidegauge.sinks.tables import overwrite_table, write_run
-from tidegauge.sources.files import load_table
+from tidegauge.sources.files import bronze_records, load_table
 from tidegauge.sources.workspace import materialize
 
 WINDOW_AVERAGES = [window_average(metric) for metric in METRICS]
@@ -105,13 +112,16 @@ def refresh_silver(
     closed: str = "both",
     partition_by_date: bool = False,
 ) -> None:
-    """Rebuild the silver table from the bronze table.
+    """Rebuild the silver table from the bronze table, without its quarantine.
 
     ``partition_by_date`` adds an ``event_date`` (UTC) partition column, with which
     later reads of a time range skip the other days. Rows are then rebalanced by
     day at run time, so a day becomes few files, and a huge day many tasks.
     """
-    readings = Readings.from_raw(load_table(spark, bronze_table), closed=closed)
+    raw = load_table(spark, bronze_table)
+    if QUARANTINED in raw.columns:
+        raw = bronze_records(raw)
+    readings = Readings.from_raw(raw, closed=closed)
     silver = readings.silver.select(*SILVER_COLUMNS)
     if partition_by_date:
         silver = silver.withColumn("event_date", F.to_date(utc_wall_clock(F.col(TIME))))
@@ -123,12 +133,13 @@ def refresh_silver(
 
 @dataclass(frozen=True)
 class GoldTables:
-    """Names of the tables one gold run writes."""
+    """Names of the tables one gold run writes; the last two only where given."""
 
     device_stats: str
     anomaly_rate: str
     anomaly_log: str
     metrics: str | None = None
+    flagged: str | None = None
 
 
 def refresh_gold(
@@ -156,3 +167,5 @@ def refresh_gold(
     write_run(anomaly_log(flagged), tables.anomaly_log, run_id)
     if tables.metrics:
         overwrite_table(metric_records(hourly, rate, now), tables.metrics)
+    if tables.flagged:
+        overwrite_table(flagged, tables.flagged)
