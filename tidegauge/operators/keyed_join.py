@@ -31,7 +31,7 @@ def attach_by_key(
     * more keys: those holding more than ``1/broadcast_rows`` of all rows are
       split off. There are fewer than ``broadcast_rows`` of them by arithmetic,
       so they can be broadcast; only the others are shuffled, and none of those
-      keys is large enough to fill a task.
+      keys is large enough to fill a task. Rows without a key stay where they are.
 
     Both ways give the same rows.
     """
@@ -46,10 +46,11 @@ def attach_by_key(
     hot = lookup.filter(is_hot).drop(count_column)
     cold = lookup.filter(~is_hot).drop(count_column)
     has_key = reduce(and_, (F.col(key).isNotNull() for key in keys))
-    keyed = rows.filter(has_key)
-    on_hot = keyed.join(F.broadcast(hot), keys)
-    on_cold = keyed.join(F.broadcast(hot.select(keys)), keys, "left_anti").join(
-        cold, keys, "left"
+    marked = F.broadcast(hot.withColumn("is_hot", F.lit(True)))
+    unmoved = rows.join(marked, keys, "left").filter(F.col("is_hot") | ~has_key).drop("is_hot")
+    moved = (
+        rows.filter(has_key)
+        .join(F.broadcast(hot.select(keys)), keys, "left_anti")
+        .join(cold, keys, "left")
     )
-    without_key = rows.filter(~has_key)
-    return on_hot.unionByName(on_cold).unionByName(without_key, allowMissingColumns=True)
+    return unmoved.unionByName(moved)

@@ -112,8 +112,9 @@ def anomaly_rate_of(summary: DataFrame) -> DataFrame:
 def fill_gaps(rate: DataFrame, *, seconds: int = RATE_SECONDS) -> DataFrame:
     """Add the missing windows between the first and the last one, with count 0.
 
-    The window numbers come from a distributed range, so the length of the time
-    span never sits in one row or one task.
+    The window starts come from a distributed range, so the length of the time
+    span never sits in one row or one task. A single far-off time stretches the
+    span; use ``retain`` before where such times occur.
     """
     rate = materialize(rate, "rate")
     micros = F.unix_micros("window_start")

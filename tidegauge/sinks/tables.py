@@ -36,12 +36,13 @@ def overwrite_table(
     *,
     partition_by: tuple[str, ...] = (),
     merge_schema: bool = True,
+    fmt: str = "parquet",
 ) -> None:
     """Replace a table; columns it had before survive as NULL."""
     spark = df.sparkSession
     if merge_schema and spark.catalog.tableExists(name):
         df = merge_columns(df, spark.read.table(name))
-    df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name, format="parquet")
+    df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name, format=fmt)
 
 
 def write_run(df: DataFrame, name: str, run_id: str, run_column: str = "run_id") -> None:

@@ -11,7 +11,7 @@ import time
 from pathlib import Path
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from verification.oracle import ORACLE
 from verification.queries import QUERIES
@@ -43,9 +43,8 @@ def canonical(names: list[str], rows: list[tuple]) -> list[tuple]:
     return sorted(plain, key=lambda row: tuple((value is None, str(value)) for value in row))
 
 
-def differences(spark: SparkSession, name: str, sf_dir: str) -> list[str]:
-    """What differs between a query and its SQL; empty if nothing does."""
-    frame = QUERIES[name](spark, sf_dir)
+def differences(frame: DataFrame, name: str, sf_dir: str) -> list[str]:
+    """What differs between a query's result and its SQL; empty if nothing does."""
     rows = [tuple(row) for row in frame.collect()]
     if name not in ORACLE:
         return [] if rows else ["no rows"]
@@ -92,7 +91,8 @@ def main() -> int:
     for name in args.names or QUERIES:
         begin = time.time()
         try:
-            found = differences(spark, name, f"{DATA}/sf{args.sf}")
+            sf_dir = f"{DATA}/sf{args.sf}"
+            found = differences(QUERIES[name](spark, sf_dir), name, sf_dir)
         except Exception as error:  # noqa: BLE001 - reported per query
             found = [f"{type(error).__name__}: {str(error)[:600]}"]
         failed += bool(found)
