@@ -66,6 +66,7 @@ def direct(readings, closed="both"):
         [(0, 5.0)],
         [(0, 0.1), (300, 0.1), (301, 0.1), (None, 0.1)],
         [(0, 1.0), (100, 2.0), (300, 30.0), (600, 5.0), (1200, 7.0), (None, 90.0)],
+        [(0, 1.0), (100, None), (300, None), (301, 4.0), (600, 9.0), (900, None), (None, None)],
     ],
 )
 def test_baseline_from_windows(spark, rows, closed):
@@ -158,6 +159,13 @@ def test_rollups_from_the_summary(spark):
     assert values(rollups.anomaly_rate_of(summary)) == values(rollups.anomaly_rate(flagged))
 
 
+def test_missing_values_do_not_count_in_averages(spark):
+    readings = clean(spark, [(0, 4.0), (10, None), (700, None)]).withColumn("overall_anomaly", F.lit(0))
+    hourly = rollups.device_stats_of(rollups.summarize_flagged(readings))
+    assert values(hourly) == values(rollups.device_stats(readings))
+    assert column(hourly, "avg_temp") == [4.0]
+
+
 def test_anomaly_rate_and_gaps(spark):
     flagged = flagged_fixture(spark).unionByName(
         flagged_fixture(spark).filter("temperature = 90").withColumn("event_time", F.timestamp_seconds(F.lit(9000)))

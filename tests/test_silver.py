@@ -14,6 +14,7 @@ from tidegauge.schema import CLEAN_COLUMNS, METRICS, SILVER_COLUMNS, window_aver
 from tidegauge.sources.event_readings import readings_from_events
 
 EDGE = [(0, 1.0), (100, 2.0), (300, 3.0), (301, 4.0), (600, 5.0), (1200, 7.0), (None, 9.0)]
+WITH_MISSING = [*EDGE, (20, None), (2000, None)]
 JOINED = [
     (1.0, 1.5),
     (2.0, 1.5),
@@ -139,9 +140,9 @@ def test_closed_join_adds_the_edge_rows(spark, medium):
 
 
 def test_window_parts_add_up(spark):
-    readings = clean(spark, EDGE)
+    readings = clean(spark, WITH_MISSING)
     parts = window_sums(readings.filter("temperature < 4")).unionByName(
-        window_sums(readings.filter("temperature >= 4"))
+        window_sums(readings.filter("temperature >= 4 or temperature is null"))
     )
     whole = tumbling_averages(readings).select("window_start", "avg_temp_5min", "readings")
     assert values(averages_of_sums(parts).select(whole.columns)) == values(whole)
@@ -164,12 +165,12 @@ def brute_rolling(rows, seconds):
     timed = [(s, t) for s, t in rows if s is not None]
     result = []
     for s, t in rows:
-        near = [v for at, v in timed if s is not None and s - seconds <= at <= s]
+        near = [v for at, v in timed if s is not None and s - seconds <= at <= s and v is not None]
         result.append((t, round(sum(near) / len(near), 9) if near else None))
-    return sorted(result)
+    return sorted(result, key=lambda row: tuple((value is None, value) for value in row))
 
 
-ROLLING = [(3599, 1.0), (3600, 2.0), (3650, 3.0), (3900, 4.0), (3900, 6.0), (3901, 8.0), (7199, 5.0), (7500, 7.0), (None, 9.0)]
+ROLLING = [(3599, 1.0), (3600, 2.0), (3650, 3.0), (3900, 4.0), (3900, 6.0), (3901, 8.0), (7199, 5.0), (7500, 7.0), (None, 9.0), (7400, None)]
 
 
 @pytest.mark.parametrize("seconds", [60, 300, 10_000])
@@ -184,14 +185,14 @@ def test_rolling_averages_by_key(spark):
     readings = clean(spark, ROLLING).withColumn("d", (F.col("temperature") % 2).cast("int"))
     moving = rolling.rolling_averages(readings, keys=("d",))
     rows = values(moving.select("temperature", F.round("rolling_temp", 9)))
-    odd = [(s, t) for s, t in ROLLING if t % 2]
-    even = [(s, t) for s, t in ROLLING if not t % 2]
-    assert rows == sorted(brute_rolling(odd, 300) + brute_rolling(even, 300))
+    odd = [(s, t) for s, t in ROLLING if t is not None and t % 2]
+    even = [(s, t) for s, t in ROLLING if t is not None and not t % 2]
+    assert rows == [*sorted(brute_rolling(odd, 300) + brute_rolling(even, 300)), (None, None)]
 
 
 def test_sliding_averages(spark):
-    sliding = rolling.sliding_averages(clean(spark, EDGE), 300, 60)
-    spread = clean(spark, EDGE).groupBy(F.window("event_time", "5 minutes", "1 minute").alias("w")).agg(
+    sliding = rolling.sliding_averages(clean(spark, WITH_MISSING), 300, 60)
+    spread = clean(spark, WITH_MISSING).groupBy(F.window("event_time", "5 minutes", "1 minute").alias("w")).agg(
         F.avg("temperature").alias("a"), F.count("*").alias("n")
     )
     direct = values(spread.select(F.unix_seconds("w.start").alias("s"), "a", "n"))

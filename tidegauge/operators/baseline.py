@@ -64,15 +64,16 @@ def summarize_windows(
     for metric in scored:
         at_edge = F.when(on_edge, F.col(metric))
         spread += [
+            F.count(metric).alias(f"n_{metric}"),
             F.var_pop(metric).alias(f"var_{metric}"),
             F.min(metric).alias(f"min_{metric}"),
             F.max(metric).alias(f"max_{metric}"),
+            F.count(at_edge).alias(f"edge_n_{metric}"),
             F.avg(at_edge).alias(f"edge_avg_{metric}"),
             F.var_pop(at_edge).alias(f"edge_var_{metric}"),
         ]
     return readings.groupBy(bucket_start(F.col(TIME), seconds).alias("window_start")).agg(
         F.count("*").alias("readings"),
-        F.count_if(on_edge).alias("edge_readings"),
         *(F.avg(metric).alias(window_average(metric)) for metric in metrics),
         *spread,
     )
@@ -81,18 +82,16 @@ def summarize_windows(
 def _weighted_parts(summary: DataFrame, closed: str, scored: tuple[str, ...]) -> DataFrame:
     """Count, mean and variance of each disjoint part of the joined readings."""
     whole = summary.select(
-        F.col("readings").alias("n"),
         *(F.col(window_average(metric)).alias(f"avg_{metric}") for metric in scored),
-        *(F.col(f"{what}_{metric}") for metric in scored for what in ("var", "min", "max")),
+        *(f"{what}_{metric}" for metric in scored for what in ("n", "var", "min", "max")),
     )
     if closed == "left":
         return whole
-    repeated = summary.filter(F.col("has_previous") & (F.col("edge_readings") > 0)).select(
-        F.col("edge_readings").alias("n"),
+    repeated = summary.filter("has_previous").select(
         *(
             F.col(f"edge_{what}_{metric}").alias(f"{what}_{metric}")
             for metric in scored
-            for what in ("avg", "var")
+            for what in ("n", "avg", "var")
         ),
     )
     return whole.unionByName(repeated, allowMissingColumns=True)
@@ -106,22 +105,25 @@ def baseline_of(
 ) -> DataFrame:
     """The baseline of the joined readings, from the window summary alone.
 
-    For ``closed="both"`` the summary must hold ``has_previous``. Equal to ``baseline(attach_window_averages(..))`` up to float rounding, and
-    saves that pass over the readings: variances of the parts add up as
+    For ``closed="both"`` the summary must hold ``has_previous``. Equal to
+    ``baseline(attach_window_averages(..))`` up to float rounding, and saves that
+    pass over the readings: variances of the parts add up as
     ``sum(n * var + n * (avg - mean)^2)``. A metric that never varies has
     deviation 0 exactly, as the direct aggregate has.
     """
     parts = _weighted_parts(summary, closed, scored)
-    n = F.col("n")
     means = parts.agg(
         *(
-            F.try_divide(F.sum(n * F.col(f"avg_{metric}")), F.sum(n)).alias(metric)
+            F.try_divide(
+                F.sum(F.col(f"n_{metric}") * F.col(f"avg_{metric}")), F.sum(f"n_{metric}")
+            ).alias(metric)
             for metric in scored
         )
     )
     mean_of = means.select(F.struct(*scored)).scalar()
     columns = []
     for metric in scored:
+        n = F.col(f"n_{metric}")
         mean = mean_of[metric]
         off_mean = F.col(f"avg_{metric}") - mean
         squares = F.sum(n * (F.col(f"var_{metric}") + off_mean * off_mean))

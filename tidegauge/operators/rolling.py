@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.times import MICROS
 from tidegauge.operators.keyed_join import BROADCAST_ROWS, attach_by_key
+from tidegauge.operators.parts import average_of_parts, sums_of
 from tidegauge.schema import AVERAGE_SECONDS, METRICS, TIME, short
 
 CHUNK_SECONDS = 3600
@@ -34,10 +35,7 @@ def moment_averages(
     moments = (
         readings.filter(F.col(TIME).isNotNull())
         .groupBy(*keys, TIME)
-        .agg(
-            F.count("*").alias("readings"),
-            *(F.sum(metric).alias(f"sum_{metric}") for metric in metrics),
-        )
+        .agg(F.count("*").alias("readings"), *sums_of(metrics))
         .withColumn("micros", F.unix_micros(TIME))
         .withColumn("own_chunk", F.col("micros") - F.pmod("micros", F.lit(chunk)))
         .withColumn("next_chunk", F.col("own_chunk") + F.lit(chunk))
@@ -52,8 +50,9 @@ def moment_averages(
         moments.withColumn("chunk", F.explode(chunks))
         .withColumns(
             {
-                rolling_name(metric): F.sum(f"sum_{metric}").over(frame)
-                / F.sum("readings").over(frame)
+                rolling_name(metric): F.try_divide(
+                    F.sum(f"sum_{metric}").over(frame), F.sum(f"n_{metric}").over(frame)
+                )
                 for metric in metrics
             }
         )
@@ -92,20 +91,14 @@ def sliding_averages(
         raise ValueError("the window must be a multiple of the slide")
     panes = (
         readings.groupBy(F.window(TIME, f"{slide_seconds} seconds").alias("pane"))
-        .agg(
-            F.count("*").alias("readings"),
-            *(F.sum(metric).alias(f"sum_{metric}") for metric in metrics),
-        )
+        .agg(F.count("*").alias("readings"), *sums_of(metrics))
         .select(F.col("pane.start").alias("pane_start"), "*")
         .drop("pane")
     )
     window = F.window("pane_start", f"{seconds} seconds", f"{slide_seconds} seconds")
     merged = panes.groupBy(window.alias("window")).agg(
         F.sum("readings").alias("readings"),
-        *(
-            (F.sum(f"sum_{metric}") / F.sum("readings")).alias(f"sliding_{short(metric)}")
-            for metric in metrics
-        ),
+        *(average_of_parts(metric).alias(f"sliding_{short(metric)}") for metric in metrics),
     )
     return merged.select(
         F.col("window.start").alias("window_start"),

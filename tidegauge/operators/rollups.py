@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions import correlation, shift_seconds
 from tidegauge.operators.anomalies import only_anomalies
+from tidegauge.operators.parts import average_of_parts, sums_of
 from tidegauge.schema import (
     DECIMALS,
     METRICS,
@@ -77,8 +78,7 @@ def summarize_flagged(
     """
     return _flat(
         flagged.groupBy(_window(TIME, seconds)).agg(
-            F.count("*").alias("readings"),
-            *(F.sum(metric).alias(f"sum_{metric}") for metric in metrics),
+            *sums_of(metrics),
             F.sum(OVERALL_FLAG).alias("anomaly_count"),
         )
     )
@@ -93,7 +93,7 @@ def device_stats_of(
 ) -> DataFrame:
     """``device_stats`` from a summary whose window divides ``seconds``."""
     averages = (
-        _rounded(F.sum(f"sum_{metric}") / F.sum("readings"), digits).alias(rollup_average(metric))
+        _rounded(average_of_parts(metric), digits).alias(rollup_average(metric))
         for metric in metrics
     )
     rollup = summary.groupBy(_window("window_start", seconds)).agg(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions import bucket_start, on_bucket_edge, shift_seconds
 from tidegauge.operators.keyed_join import BROADCAST_ROWS, attach_by_key
+from tidegauge.operators.parts import average_of_parts, merged, sums_of
 from tidegauge.schema import AVERAGE_SECONDS, METRICS, TIME, window_average
 from tidegauge.sources.workspace import materialize
 
@@ -38,28 +39,22 @@ def window_sums(
     return (
         readings.filter(F.col(TIME).isNotNull())
         .groupBy(bucket_start(F.col(TIME), seconds).alias("window_start"))
-        .agg(
-            F.count("*").alias("readings"),
-            *(F.sum(metric).alias(f"sum_{metric}") for metric in metrics),
-        )
+        .agg(F.count("*").alias("readings"), *sums_of(metrics))
     )
 
 
 def merged_sums(parts: DataFrame, metrics: tuple[str, ...] = METRICS) -> DataFrame:
     """One row of sums per window from all its parts."""
-    names = ("readings", *(f"sum_{metric}" for metric in metrics))
-    return parts.groupBy("window_start").agg(*(F.sum(name).alias(name) for name in names))
+    return parts.groupBy("window_start").agg(
+        F.sum("readings").alias("readings"), *merged(metrics)
+    )
 
 
 def averages_of_sums(parts: DataFrame, metrics: tuple[str, ...] = METRICS) -> DataFrame:
     """Window averages from all parts of each window."""
-    return merged_sums(parts, metrics).select(
-        "window_start",
-        "readings",
-        *(
-            (F.col(f"sum_{metric}") / F.col("readings")).alias(window_average(metric))
-            for metric in metrics
-        ),
+    return parts.groupBy("window_start").agg(
+        F.sum("readings").alias("readings"),
+        *(average_of_parts(metric).alias(window_average(metric)) for metric in metrics),
     )
 
 

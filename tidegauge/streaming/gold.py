@@ -5,8 +5,9 @@ The operators for tables also take streams once a watermark is set:
 ``device_stats(.., ordered=False)`` and ``summarize_flagged`` then emit each
 window when it is closed. Take the anomaly rate from the summary on a stream:
 ``anomaly_rate`` filters first, and Spark moves that filter below the watermark,
-which then waits for the next anomaly to move on. The interval join of a stream with its own windows is beyond
-what a streaming plan can state, so it runs per micro-batch here.
+which then waits for the next anomaly to move on. The interval join of a stream
+with its own windows is beyond what a streaming plan can state, so it runs per
+micro-batch here.
 """
 
 from __future__ import annotations
