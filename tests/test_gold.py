@@ -273,7 +273,7 @@ def test_refresh_tables(spark, medium, medium_readings):
     marked = mark_quarantined(lines.unionByName(broken, allowMissingColumns=True))
     marked.write.mode("overwrite").partitionBy("quarantined").saveAsTable("gauge.raw")
     refresh_silver(spark, "gauge.raw", "gauge.silver", partition_by_date=True)
-    tables = GoldTables("gauge.device_stats", "gauge.anomaly_rate", "gauge.anomaly_log", "gauge.metrics", "gauge.flagged")
+    tables = GoldTables("gauge.device_stats", "gauge.anomaly_rate", "gauge.anomaly_log", "gauge.metrics", "gauge.flagged", "gauge.baseline")
     now = dt.datetime(2024, 1, 22, tzinfo=UTC)
     for _ in range(2):
         refresh_gold(spark, "gauge.silver", tables, "2024-01-31", now)
@@ -284,6 +284,7 @@ def test_refresh_tables(spark, medium, medium_readings):
     for ours, plain in zip(values(stats), direct, strict=True):
         assert ours[:2] == plain[:2] and ours[2:] == pytest.approx(plain[2:], abs=1.01e-4)
     assert spark.table("gauge.metrics").count() == stats.count() + spark.table("gauge.anomaly_rate").count()
+    assert spark.table("gauge.baseline").count() == 1
     report = check_tables(spark, "gauge.flagged", "gauge.device_stats")
     failed = report.filter("status <> 'passed'").select("check", "status")
     assert values(failed) == [("temperature_range", "failed")]

@@ -128,6 +128,8 @@ def test_write_run_replaces_only_its_run(spark):
     one = spark.createDataFrame([(1,), (2,)], "v int")
     for run, frame in (("a", one), ("b", one), ("a", one.filter("v = 1"))):
         tables.write_run(frame, "runs", run)
+    with pytest.raises(ValueError, match="columns"):
+        tables.write_run(one.withColumn("w", F.lit(1)), "runs", "c")
     assert values(spark.read.table("runs"), "run_id", "v") == [("a", 1), ("b", 1), ("b", 2)]
     spark.sql("DROP TABLE runs")
 

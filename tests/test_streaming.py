@@ -156,7 +156,7 @@ def test_scored_stream_rollups(spark, feed):
 def gold_run(spark, feed, stats, root):
     folders = gold.GoldFolders(*(str(root / name) for name in ("windows", "flagged", "log")))
     query = gold.start_gold(
-        feed.readings(spark), stats, folders, checkpoint=feed.checkpoint, trigger=bronze.ONCE
+        feed.readings(spark), lambda: stats, folders, checkpoint=feed.checkpoint, trigger=bronze.ONCE
     )
     query.awaitTermination()
     return folders
@@ -200,7 +200,7 @@ def test_a_replayed_batch_doubles_nothing(spark, tmp_path):
         "mean_temp double, std_temp double, mean_humidity double, std_humidity double",
     )
     folders = gold.GoldFolders(*(str(tmp_path / name) for name in ("windows", "flagged", "log")))
-    write = gold.batch_writer(stats, folders)
+    write = gold.batch_writer(lambda: stats, folders)
     write(clean(spark, [(0, 1.0), (300, 90.0), (None, 91.0)]), 0)
     write(clean(spark, [(310, 92.0)]), 1)
     write(clean(spark, [(310, 92.0)]), 1)

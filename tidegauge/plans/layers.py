@@ -133,13 +133,14 @@ def refresh_silver(
 
 @dataclass(frozen=True)
 class GoldTables:
-    """Names of the tables one gold run writes; the last two only where given."""
+    """Names of the tables one gold run writes; the last three only where given."""
 
     device_stats: str
     anomaly_rate: str
     anomaly_log: str
     metrics: str | None = None
     flagged: str | None = None
+    baseline: str | None = None
 
 
 def refresh_gold(
@@ -165,6 +166,8 @@ def refresh_gold(
     overwrite_table(hourly, tables.device_stats)
     overwrite_table(rate, tables.anomaly_rate)
     write_run(anomaly_log(flagged), tables.anomaly_log, run_id)
+    if tables.baseline:
+        overwrite_table(stats, tables.baseline)
     if tables.metrics:
         overwrite_table(metric_records(hourly, rate, now), tables.metrics)
     if tables.flagged:

@@ -53,6 +53,8 @@ def write_run(df: DataFrame, name: str, run_id: str, run_column: str = "run_id")
         rows.write.partitionBy(run_column).saveAsTable(name, format="parquet")
         return
     columns = [column for column in spark.read.table(name).columns if column != run_column]
+    if set(columns) != set(df.columns):
+        raise ValueError(f"{name} has columns {columns}, not {df.columns}")
     spark.sql(
         f"INSERT OVERWRITE TABLE {name} PARTITION ({run_column} = {{run_id}})"
         " SELECT * FROM {rows}",

@@ -52,11 +52,12 @@ class GoldFolders:
 
 
 def batch_writer(
-    stats: DataFrame, folders: GoldFolders, seconds: int = AVERAGE_SECONDS
+    load_stats: Callable[[], DataFrame], folders: GoldFolders, seconds: int = AVERAGE_SECONDS
 ) -> Callable[[DataFrame, int], None]:
     """A function that joins, flags and logs one micro-batch.
 
-    Every output of a batch replaces the partition of that batch, so a replay
+    ``load_stats`` is called for each batch and gives the baseline stored last,
+    so that a refresh of the baseline reaches a running stream. Every output of a batch replaces the partition of that batch, so a replay
     after a failure doubles nothing. A window average covers the readings that
     have arrived by then; the batch job over the whole table settles them.
     """
@@ -67,7 +68,7 @@ def batch_writer(
             parts = _store_window_sums(batch, folders.windows, batch_id, seconds)
             near = _near(parts, batch, seconds)
             silver = attach_window_averages(batch, averages_of_sums(near), seconds=seconds)
-            flagged = flag_anomalies(silver, stats)
+            flagged = flag_anomalies(silver, load_stats())
             write_run_path(flagged, folders.flagged, str(batch_id), "batch_id")
             write_run_path(anomaly_log(flagged), folders.log, str(batch_id), "batch_id")
         finally:
@@ -109,7 +110,7 @@ def _near(parts: DataFrame, batch: DataFrame, seconds: int) -> DataFrame:
 
 def start_gold(
     clean: DataFrame,
-    stats: DataFrame,
+    load_stats: Callable[[], DataFrame],
     folders: GoldFolders,
     *,
     checkpoint: str,
@@ -118,7 +119,7 @@ def start_gold(
 ) -> StreamingQuery:
     """Start scoring a stream of clean readings; the caller waits or stops it."""
     return (
-        clean.writeStream.foreachBatch(batch_writer(stats, folders, seconds))
+        clean.writeStream.foreachBatch(batch_writer(load_stats, folders, seconds))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

@@ -503,7 +503,7 @@ def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     _finish(
         gold_stream_ops.start_gold(
             _clean_stream(spark, sf_dir),
-            stats,
+            lambda: stats,
             folders,
             checkpoint=scratch_path(spark, "commits"),
             trigger=bronze_stream_ops.ONCE,
