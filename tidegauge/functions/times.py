@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tidegauge.schema import METRIC_MAX_AGE_DAYS
 
 MICROS = 1_000_000
-# Timestamps hold 64-bit microseconds; this much is kept free for shifting them.
-ROOM = 1_000_000_000_000_000
+# Timestamps hold 64-bit microseconds; the margin leaves room to shift them.
+MAX_SECONDS = 9_000_000_000_000
 
 
 def epoch_to_timestamp(text: Column) -> Column:
@@ -18,14 +18,8 @@ def epoch_to_timestamp(text: Column) -> Column:
     The way over decimal takes "12.7" without taking "NaN" or "1d". A number
     too large for a timestamp gives NULL too, where the conversion would raise.
     """
-    whole = text.try_cast("bigint")
-    seconds = F.coalesce(whole, text.try_cast("decimal(20,6)").try_cast("bigint"))
-    micros = F.try_multiply(seconds, F.lit(MICROS))
-    # Both steps there and back give NULL where a later shift would overflow, and
-    # look at the text only once, as a comparison with two ends would not.
-    micros = F.try_subtract(F.try_add(micros, F.lit(ROOM)), F.lit(ROOM))
-    micros = F.try_add(F.try_subtract(micros, F.lit(ROOM)), F.lit(ROOM))
-    return F.timestamp_micros(micros)
+    seconds = text.try_cast("decimal(20,6)").try_cast("bigint")
+    return F.timestamp_seconds(F.when(F.abs(seconds) <= MAX_SECONDS, seconds))
 
 
 def bucket_start(time: Column, seconds: int) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.functions import bucket_start
 from tidegauge.functions.times import MICROS
 from tidegauge.operators.keyed_join import BROADCAST_ROWS, attach_by_key
 from tidegauge.operators.parts import average_of_parts, sums_of
@@ -90,10 +91,9 @@ def sliding_averages(
     if seconds % slide_seconds:
         raise ValueError("the window must be a multiple of the slide")
     panes = (
-        readings.groupBy(F.window(TIME, f"{slide_seconds} seconds").alias("pane"))
+        readings.filter(F.col(TIME).isNotNull())
+        .groupBy(bucket_start(F.col(TIME), slide_seconds).alias("pane_start"))
         .agg(F.count("*").alias("readings"), *sums_of(metrics))
-        .select(F.col("pane.start").alias("pane_start"), "*")
-        .drop("pane")
     )
     window = F.window("pane_start", f"{seconds} seconds", f"{slide_seconds} seconds")
     merged = panes.groupBy(window.alias("window")).agg(
