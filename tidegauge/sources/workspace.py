@@ -1,11 +1,18 @@
-"""Intermediate results in the shared folder named by ``spark.checkpoint.dir``."""
+"""Intermediate results in the shared folder named by ``spark.checkpoint.dir``.
+
+Every table written here belongs to a :class:`Scratch`. Whoever makes one drops its
+tables as soon as they are read for the last time; what a lazy result still reads
+stays until the session's process ends, and goes then.
+"""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from functools import lru_cache
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -26,17 +33,56 @@ def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"tidegauge-{application}-")
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any Hadoop file system; nothing if it is absent."""
+    gateway = spark.sparkContext._jvm
+    where = gateway.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+class Scratch:
+    """The intermediate tables of one job, below one fresh folder."""
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+        context = spark.sparkContext
+        where = context._jvm.org.apache.hadoop.fs.Path(self.folder)
+        self._system = where.getFileSystem(context._jsc.hadoopConfiguration())
+        self._where = where
+        atexit.register(self.close)
+
+    def path(self, label: str) -> str:
+        return f"{self.folder}/{label}"
+
+    def table(self, df: DataFrame, label: str) -> DataFrame:
+        """Write ``df`` as a Parquet table and return a scan of it.
+
+        Lineage ends at the files, so a lost executor costs a re-read and not a
+        recomputation, and Catalyst knows the real size of what follows.
+        """
+        df.write.parquet(self.path(label))
+        return self.spark.read.schema(df.schema).parquet(self.path(label))
+
+    def drop(self, *labels: str) -> None:
+        """Remove tables that nothing reads any more."""
+        for label in labels:
+            remove_path(self.spark, self.path(label))
+
+    def close(self) -> None:
+        """Remove the folder with all that is left in it."""
+        atexit.unregister(self.close)
+        try:
+            self._system.delete(self._where, True)
+        except (Py4JError, OSError):
+            pass  # the JVM is gone; the folder then belongs to whoever cleans the share
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, removed when the process ends."""
+    return Scratch(spark, label).path("data")
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as a Parquet table and return a scan of it.
-
-    Lineage ends at the files, so a lost executor costs a re-read and not a
-    recomputation, and Catalyst knows the real size of what follows.
-    """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """A written copy of ``df`` that stays until the process ends."""
+    return Scratch(df.sparkSession, label).table(df, "data")
