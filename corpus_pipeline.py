@@ -3,23 +3,47 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidegauge.llm import mixing, ngram_join
+from tidegauge.llm import decontaminate, line_templates, mixing, ngram_join, quality_rules
 from tidegauge.sources.workspace import Scratch
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality_rules.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of templates that recur across documents go; n_chars follows the text."""
+    clean = line_templates.drop_lines(docs)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     return ngram_join.keep_one_per_component(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark item in them go."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training order: sources at their target weights along a curriculum."""
     return mixing.schedule(docs)
 
 
-STAGES = [("ngram_jaccard_join", near_duplicates), ("source_mix", mixture)]
+STAGES = [
+    ("quality_rules", quality),
+    ("line_dedup", line_dedup),
+    ("ngram_jaccard_join", near_duplicates),
+    ("decontamination", decontamination),
+    ("source_mix", mixture),
+]
 
+#: Templates, components and fingerprints have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 

@@ -87,6 +87,11 @@ def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return ((bitmap[place >> np.uint64(3)] >> shift) & 1).astype(bool)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` refers to it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def salt(*columns: str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
 

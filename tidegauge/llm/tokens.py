@@ -21,6 +21,9 @@ HASH_BYTES = 1 << 20
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes between words where punctuation doesn't count: blanks and all ASCII but letters and digits.
+BETWEEN = SPACE.copy()
+BETWEEN[[i for i in range(128) if not chr(i).isalnum()]] = True
 AS_IS = np.arange(256, dtype=np.uint8)
 LOWER = AS_IS.copy()
 LOWER[65:91] += 32
