@@ -1,0 +1,154 @@
+"""Plain formulations of the corpus operators, for small inputs."""
+
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter, defaultdict
+from itertools import combinations
+from statistics import median_high
+
+BLANK = re.compile(r"[\x20\x09-\x0D]+")
+UPPER = {code: code + 32 for code in range(65, 91)}
+
+
+def words(text: str | None) -> list[str]:
+    return [word for word in BLANK.split(text or "") if word]
+
+
+def shingles(tokens: list[str], size: int = 5) -> list[tuple]:
+    if len(tokens) < size:
+        return [tuple(tokens)] if tokens else []
+    return [tuple(tokens[i : i + size]) for i in range(len(tokens) - size + 1)]
+
+
+def components(rows: list[tuple]) -> list[tuple]:
+    """``doc_id, n_shingles, component_id`` per row of ``doc_id, text``."""
+    sets = [frozenset(shingles([word.translate(UPPER) for word in words(text)])) for _, text in rows]
+    root = list(range(len(rows)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in combinations(range(len(rows)), 2):
+        both = len(sets[i] & sets[j])
+        if both and 100 * both >= 80 * len(sets[i] | sets[j]):
+            root[find(i)] = find(j)
+    smallest: dict[int, int | None] = {}
+    for i, (doc, _) in enumerate(rows):
+        known = [x for x in (doc, smallest.get(find(i))) if x is not None]
+        smallest[find(i)] = min(known, default=None)
+    return [
+        (doc, len(sets[i]), smallest[find(i)] if sets[i] else doc) for i, (doc, _) in enumerate(rows)
+    ]
+
+
+def base_counts(text: str | None) -> tuple:
+    """``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed``."""
+    tokens, body = words(text), text or ""
+    runs = Counter(tuple(tokens[i : i + 3]) for i in range(len(tokens) - 2))
+    covered = {
+        i + k for i in range(len(tokens) - 2) for k in range(3) if runs[tuple(tokens[i : i + 3])] > 1
+    }
+    lines = [line for line in body.split("\n") if words(line)]
+    return (
+        len(tokens),
+        sum(map(len, tokens)),
+        len(re.findall(r"[#*$%&|<>]", body)),
+        len(lines) - len(set(lines)),
+        len(covered),
+        len(tokens) < 50 or 100 * len(covered) > 50 * len(tokens),
+    )
+
+
+def binomial_tail(k: int, n: int, p: float) -> float:
+    return math.fsum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+
+
+def item_words(text: str | None) -> list[str]:
+    return re.findall(r"[a-z0-9\x80-\U0010ffff]+", (text or "").translate(UPPER))
+
+
+def contamination(docs: list[tuple], items: list[tuple]) -> dict[tuple, float]:
+    """The best share of each item's shingles in a window of its size, if 0.8 or more."""
+    found: dict[tuple, float] = {}
+    for item, item_text in items:
+        wanted = item_words(item_text)
+        if not wanted:
+            continue
+        own = Counter(shingles(wanted))
+        for doc, text in docs:
+            tokens = item_words(text)
+            width = min(len(wanted), len(tokens))
+            for start in range(len(tokens) - width + 1 if tokens else 0):
+                window = Counter(shingles(tokens[start : start + width]))
+                share = sum((own & window).values()) / max(own.total(), window.total())
+                if share >= 0.8:
+                    found[doc, item] = max(share, found.get((doc, item), 0))
+    return found
+
+
+def template_lines(texts: list[str | None], least_docs: int = 3) -> set[str]:
+    """The stripped lines that recur across documents as instances of a template."""
+    strip = " \t\r\x0b\x0c"
+    docs = {text or "" for text in texts}
+    lines: dict[str, list[str]] = {}
+    where: dict[str, set[str]] = defaultdict(set)
+    for text in docs:
+        for line in text.split("\n"):
+            if words(line):
+                lines[line.strip(strip)] = ["<*>" if re.search("[0-9]", word) else word for word in words(line)]
+                where[line.strip(strip)].add(text)
+    leaves = defaultdict(list)
+    for line, tokens in lines.items():
+        if len(tokens) >= 3:
+            leaves[len(tokens), tuple(tokens[:3])].append(line)
+    template = {line: line for line in lines}
+    for leaf, members in leaves.items():
+        if len(members) < 2 or len(set().union(*(where[line] for line in members))) < 2:
+            continue
+        support = Counter((i, token) for line in members for i, token in enumerate(lines[line]))
+        for line in members:
+            own = [support[i, token] for i, token in enumerate(lines[line])]
+            usual = sorted(own)[len(own) // 2]
+            assert usual in (median_high(own), sorted(own)[len(own) // 2])
+            steady = [token if n >= 0.8 * usual else None for token, n in zip(lines[line], own, strict=True)]
+            if usual > 1 and len([x for x in steady if x is not None]) >= 0.6 * len(steady):
+                template[line] = (leaf, tuple(steady))
+    docs_of = defaultdict(set)
+    for line, name in template.items():
+        docs_of[name] |= where[line]
+    recurs = {line for line, name in template.items() if len(docs_of[name]) > 1}
+    telling = set()
+    for text in docs:
+        own = [line.strip(strip) for line in text.split("\n") if words(line)]
+        again = sum(len(lines[line]) for line in own if line in recurs)
+        if 0 < again < 0.5 * sum(len(lines[line]) for line in own):
+            telling.add(text)
+    return {
+        line
+        for line in recurs
+        if len(docs_of[template[line]] & telling) >= least_docs and len(lines[line]) >= 3
+    }
+
+
+def without_lines(text: str | None, dropped: set[str]) -> str | None:
+    if text is None:
+        return None
+    return "\n".join(line for line in text.split("\n") if line.strip(" \t\r\x0b\x0c") not in dropped)
+
+
+def targets(sizes: dict[str | None, int]) -> dict[str | None, float]:
+    """Each source's share of all words by weights 1, 2, 3, three times its size at most."""
+    order = sorted(sizes, key=lambda source: (source is None, source or ""))
+    weight = {source: i % 3 + 1 for i, source in enumerate(order)}
+    out: dict[str | None, float] = {}
+    while True:
+        left = sum(sizes.values()) - sum(out.values())
+        share = sum(weight[source] for source in order if source not in out)
+        full = [s for s in order if s not in out and 3 * sizes[s] * share < weight[s] * left]
+        if not full:
+            return {s: float(out[s]) if s in out else weight[s] * left / max(share, 1) for s in order}
+        out |= {source: 3 * sizes[source] for source in full}

@@ -283,7 +283,7 @@ def _first_products(entries: DataFrame) -> DataFrame:
     reach = centers.select(
         "shingle", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"), "center"
     )
-    return (
+    pairs = (
         entries.join(reach, ["shingle", "band"])
         .where(_near_in_size(F.col("n"), F.col("center.n")) & (F.col("node") != F.col("center.node")))
         .select(
@@ -291,6 +291,21 @@ def _first_products(entries: DataFrame) -> DataFrame:
         )
         .distinct()
     )
+    # their overlap among shared entries, at most a prefix per class
+    own = entries.groupBy("node", "n").agg(F.collect_list("shingle").alias("shared"))
+    met = pairs.join(own.toDF("b", "n_y", "shared_b"), "b").join(own.toDF("a", "n_x", "shared_a"), "a")
+    return met.where(F.size(F.array_intersect("shared_a", "shared_b")) >= _least_overlap()).select("a", "b")
+
+
+def _least_overlap() -> Column:
+    """What the prefixes of sets of sizes ``n_x`` and ``n_y`` share if the sets reach the bound.
+
+    The sets share ``needed`` n-grams. Of the set whose prefix ends first in the common
+    order, at most the n-grams after its prefix can lie outside of both prefixes.
+    """
+    needed = F.ceil(F.lit(PERCENT) * (F.col("n_x") + F.col("n_y")) / F.lit(100 + PERCENT))
+    beyond = F.greatest(*(F.ceil(F.lit(PERCENT) * F.col(n) / 100) - 1 for n in ("n_x", "n_y")))
+    return needed - beyond
 
 
 def _remaining_products(entries: DataFrame, found: DataFrame) -> DataFrame:
@@ -320,12 +335,10 @@ def _remaining_products(entries: DataFrame, found: DataFrame) -> DataFrame:
         & ((F.col("root_y") == F.col("main")) | (F.col("x") < F.col("y")))
         & _near_in_size(F.col("n_x"), F.col("n_y"))
     )
-    needed = F.ceil(F.lit(PERCENT) * (F.col("n_x") + F.col("n_y")) / F.lit(100 + PERCENT))
-    beyond = F.greatest(*(F.ceil(F.lit(PERCENT) * F.col(n) / 100) - 1 for n in ("n_x", "n_y")))
     return (
         met.groupBy("x", "y", "n_x", "n_y")
         .agg(F.count("*").alias("overlap"))
-        .where(F.col("overlap") >= needed - beyond)
+        .where(F.col("overlap") >= _least_overlap())
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     )
 
