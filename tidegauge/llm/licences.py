@@ -138,7 +138,7 @@ def canonical(text: Column) -> Column:
     plain = F.regexp_replace(plain, r"[^\p{L}\p{N}\n]+", " ")
 
     def forms(value: Column) -> Column:
-        lines = F.transform(F.split(_spelled(value), "\n"), F.trim)
+        lines = F.transform(F.split(_spelled(value), "\n"), lambda line: F.trim(line))
         whole = _spelled(F.trim(F.regexp_replace(value, r"[ \n]+", " ")))
         return F.struct(lines.alias("lines"), whole.alias("whole"))
 

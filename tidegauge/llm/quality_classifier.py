@@ -122,10 +122,10 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model:
 
 def document_scores(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, host, path, p_document`` of every row of ``doc_id, host, path, text``."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-        model = sent.value
+        model = Model(*sent.value)
         p = linear.predict((features(piece.column("text")) - model.mean) / model.scale, model.weights)
         kept = ["doc_id", "host", "path"]
         return pa.RecordBatch.from_arrays(

@@ -157,10 +157,10 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     first of rows with one id is trained on. Other columns are ignored.
     """
     model = fit_chain(labelled(docs, labels))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-        model = sent.value
+        model = Model(*sent.value)
         hashes, first = words_in(piece.column("text"))
         p = probabilities(presence(hashes, first, model.words), model)
         return pa.RecordBatch.from_arrays(
