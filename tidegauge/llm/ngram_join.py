@@ -9,6 +9,8 @@ every two classes; only what can reach the wanted similarity is computed:
   ``n - ceil(0.8 n) + 1`` of each, so only these entries are multiplied.
 * Blocks are cut by n-gram and by size band, a factor of 5/4 wide. Sets in bands
   further apart than one differ too much in size.
+* Two sets that reach the similarity share a number of prefix entries that follows from
+  their sizes; a class with fewer shared entries than that is left out of a product.
 * Within a block each class is first multiplied with one central class of its own
   and one of the next lower band only. Where the block's classes are then connected, no
   other product can change a component. What is left are the entries of classes
@@ -201,10 +203,6 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _near_in_size(n: Column, m: Column) -> Column:
-    return (F.lit(100) * F.least(n, m) >= F.lit(PERCENT) * F.greatest(n, m))
-
-
 def link_classes(docs: DataFrame, scratch: Scratch, size: int = SIZE) -> tuple[DataFrame, DataFrame]:
     """Signatures of all rows, and ``key, component_id`` of each class of equal sets.
 
@@ -224,15 +222,23 @@ def link_classes(docs: DataFrame, scratch: Scratch, size: int = SIZE) -> tuple[D
     )
     # Incidence entries of the shared n-grams: those of one class only add to no overlap.
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / PERCENT))).cast("int")
-    entries = scratch.table(
+    shared = scratch.table(
         classes.select(F.explode("prefix").alias("shingle"), "node", F.col("n").cast("int").alias("n"))
         .withColumn("members", F.count("*").over(Window.partitionBy("shingle")))
         .where("members > 1")
         .select("shingle", "members", band.alias("band"), "node", "n"),
+        "shared",
+    )
+    own = Window.partitionBy("node")
+    entries = scratch.table(
+        shared.withColumn("held", F.count("*").over(own))
+        .withColumn("met", F.sum("members").over(own))
+        .withColumn("place", F.row_number().over(own.orderBy("members", "shingle")))
+        .drop("members"),
         "entries",
     )
     nodes = scratch.table(classes.select("node", "key", "doc_id"), "nodes")
-    scratch.drop("classes")
+    scratch.drop("classes", "shared")
 
     pairs = scratch.table(_first_products(entries), "pairs")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
@@ -274,46 +280,57 @@ def _first_products(entries: DataFrame) -> DataFrame:
     The center is the class that meets the most others in all its blocks, as the
     original among its edited copies does.
     """
-    met = entries.groupBy("node").agg(F.sum("members").alias("met"))
-    centers = (
-        entries.join(met, "node")
-        .groupBy("shingle", "band")
-        .agg(F.max(F.struct("met", "node", "n")).alias("center"))
-    )
+    centers = entries.groupBy("shingle", "band").agg(F.max(F.struct("met", "node", "n", "held")).alias("center"))
     reach = centers.select(
         "shingle", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"), "center"
     )
     pairs = (
         entries.join(reach, ["shingle", "band"])
-        .where(_near_in_size(F.col("n"), F.col("center.n")) & (F.col("node") != F.col("center.node")))
+        .where(
+            _can_link(*(F.col(name) for name in ("n", "center.n", "held", "center.held")))
+            & (F.col("node") != F.col("center.node"))
+        )
         .select(
             F.least("node", "center.node").alias("a"), F.greatest("node", "center.node").alias("b")
         )
         .distinct()
     )
-    # their overlap among shared entries, at most a prefix per class
+    return _overlapping(pairs, entries)
+
+
+def _overlapping(pairs: DataFrame, entries: DataFrame) -> DataFrame:
+    """The pairs whose prefixes overlap as much as their sizes demand.
+
+    The overlap is counted among the shared entries, at most a prefix per class.
+    """
     own = entries.groupBy("node", "n").agg(F.collect_list("shingle").alias("shared"))
-    met = pairs.join(own.toDF("b", "n_y", "shared_b"), "b").join(own.toDF("a", "n_x", "shared_a"), "a")
-    return met.where(F.size(F.array_intersect("shared_a", "shared_b")) >= _least_overlap()).select("a", "b")
+    met = pairs.join(own.toDF("b", "n_b", "shared_b"), "b").join(own.toDF("a", "n_a", "shared_a"), "a")
+    least = _least_overlap(F.col("n_a"), F.col("n_b"))
+    return met.where(F.size(F.array_intersect("shared_a", "shared_b")) >= least).select("a", "b")
 
 
-def _least_overlap() -> Column:
-    """What the prefixes of sets of sizes ``n_x`` and ``n_y`` share if the sets reach the bound.
+def _least_overlap(n: Column, m: Column) -> Column:
+    """What the prefixes of sets of sizes ``n`` and ``m`` share if the sets reach the bound.
 
     The sets share ``needed`` n-grams. Of the set whose prefix ends first in the common
     order, at most the n-grams after its prefix can lie outside of both prefixes.
     """
-    needed = F.ceil(F.lit(PERCENT) * (F.col("n_x") + F.col("n_y")) / F.lit(100 + PERCENT))
-    beyond = F.greatest(*(F.ceil(F.lit(PERCENT) * F.col(n) / 100) - 1 for n in ("n_x", "n_y")))
-    return needed - beyond
+    needed = F.ceil(F.lit(PERCENT) * (n + m) / F.lit(100 + PERCENT))
+    return needed - F.ceil(F.lit(PERCENT) * F.greatest(n, m) / 100) + 1
+
+
+def _can_link(n: Column, m: Column, held_n: Column, held_m: Column) -> Column:
+    """Whether sets of these sizes, with so many shared entries, can reach the bound."""
+    near = F.lit(100) * F.least(n, m) >= F.lit(PERCENT) * F.greatest(n, m)
+    return near & (_least_overlap(n, m) <= F.least(held_n, held_m))
 
 
 def _remaining_products(entries: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs of classes of one block that are not connected yet and can reach the bound.
 
-    Classes outside a block's largest component are multiplied with all others. Every
-    shared entry of two unconnected classes is met just once, so the count of a pair
-    is the overlap of their prefixes, which has a lower bound of its own.
+    Classes outside a block's largest component are multiplied with all others. Two
+    classes that must share ``least`` of their entries share one of the first
+    ``held - least + 1`` of each in the order rarest first, so later ones are left out.
     """
     rooted = entries.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = rooted.groupBy("shingle", "root").agg(F.count("*").alias("times"))
@@ -324,23 +341,21 @@ def _remaining_products(entries: DataFrame, found: DataFrame) -> DataFrame:
         .drop("parts")
     )
     mixed = rooted.join(blocks, "shingle")
-    outer = mixed.where("root <> main").select(
-        "shingle", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("root").alias("root_x")
-    )
-    inner = mixed.select(
-        "shingle", F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("root").alias("root_y"), "main"
-    )
+    fields = ("node", "n", "held", "place", "root")
+    outer = mixed.where("root <> main").select("shingle", *(F.col(name).alias(f"{name}_x") for name in fields))
+    inner = mixed.select("shingle", "main", *(F.col(name).alias(f"{name}_y") for name in fields))
+    least = _least_overlap(F.col("n_x"), F.col("n_y"))
     met = outer.join(inner, "shingle").where(
         (F.col("root_x") != F.col("root_y"))
-        & ((F.col("root_y") == F.col("main")) | (F.col("x") < F.col("y")))
-        & _near_in_size(F.col("n_x"), F.col("n_y"))
-    )
-    return (
-        met.groupBy("x", "y", "n_x", "n_y")
-        .agg(F.count("*").alias("overlap"))
-        .where(F.col("overlap") >= _least_overlap())
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        & ((F.col("root_y") == F.col("main")) | (F.col("node_x") < F.col("node_y")))
+        & _can_link(*(F.col(name) for name in ("n_x", "n_y", "held_x", "held_y")))
+        & (F.col("place_x") <= F.col("held_x") - least + 1)
+        & (F.col("place_y") <= F.col("held_y") - least + 1)
     )
+    pairs = met.select(
+        F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")
+    ).distinct()
+    return _overlapping(pairs, entries)
 
 
 def ngram_components(docs: DataFrame, size: int = SIZE) -> DataFrame:
