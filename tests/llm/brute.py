@@ -81,6 +81,8 @@ def contamination(docs: list[tuple], items: list[tuple]) -> dict[tuple, float]:
         own = Counter(shingles(wanted))
         for doc, text in docs:
             tokens = item_words(text)
+            if len(wanted) < 5 and len(tokens) != len(wanted):
+                continue
             width = min(len(wanted), len(tokens))
             for start in range(len(tokens) - width + 1 if tokens else 0):
                 window = Counter(shingles(tokens[start : start + width]))

@@ -107,7 +107,7 @@ def windows_of(docs: DataFrame, any_size: np.ndarray, own_size: np.ndarray, size
         owner = np.searchsorted(bounds, hits, side="right") - 1
         rows, starts, lengths, prints, parts = [], [], [], [], []
         found, begin = np.unique(owner, return_index=True)
-        for i, a, b in zip(found, begin, np.append(begin[1:], len(hits)), strict=True):
+        for i, a, b in zip(found, begin, [*begin[1:], len(hits)], strict=False):
             places, n_words = hits[a:b] - bounds[i], int(words.first[i + 1] - words.first[i])
             own, word_hashes = grams[bounds[i] : bounds[i + 1]], hashes[words.first[i] : words.first[i + 1]]
             for n in sizes:
