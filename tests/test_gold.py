@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -20,6 +21,7 @@ from tidegauge.plans.checks import check_tables
 from tidegauge.plans.layers import GoldTables, Readings, layer_counts, refresh_gold, refresh_silver
 from tidegauge.schema import FLAGGED_COLUMNS, METRICS, ROLLUP_COLUMNS
 from tidegauge.sources.files import mark_quarantined
+from tidegauge.sources.workspace import shared_folder
 from tidegauge.sources.event_readings import readings_from_events
 from tidegauge.sources.workspace import materialize
 
@@ -130,10 +132,9 @@ def test_flags_by_key(spark):
     other = clean(spark, [(n, 30.0 + n % 2) for n in range(30)]).withColumn("d", F.lit("b"))
     keyless = clean(spark, [(5, 99.0)]).withColumn("d", F.lit(None).cast("string"))
     whole = readings.unionByName(other).unionByName(keyless)
-    for limit in (100, 1):
-        flagged = flag_anomalies_by_key(whole, ["d"], broadcast_rows=limit)
-        assert flagged.count() == whole.count()
-        assert values(flagged.filter("overall_anomaly = 1"), "d", "temperature") == [("a", 30.0)]
+    flagged = flag_anomalies_by_key(whole, ["d"])
+    assert flagged.count() == whole.count()
+    assert values(flagged.filter("overall_anomaly = 1"), "d", "temperature") == [("a", 30.0)]
 
 
 def flagged_fixture(spark):
@@ -172,9 +173,12 @@ def test_anomaly_rate_and_gaps(spark):
     )
     rate = rollups.anomaly_rate(flagged)
     assert values(rate.select(epoch("window_start"), "anomaly_count")) == [(7200, 2), (9000, 1)]
-    filled = rollups.fill_gaps(rate)
+    first, last = (dt.datetime.fromtimestamp(s, UTC) for s in (7300, 9000))
+    filled = rollups.fill_gaps(rate, first, last)
     assert values(filled.select(epoch("window_start"), "anomaly_count")) == [(7200, 2), (7800, 0), (8400, 0), (9000, 1)]
-    assert rollups.fill_gaps(rate.limit(0)).count() == 0
+    assert rollups.fill_gaps(rate.limit(0), first, last).count() == 4
+    with pytest.raises(ValueError, match="outside"):
+        rollups.fill_gaps(rate, first, first)
     alerts = metrics.alert_spikes(rate, 2)
     assert values(alerts.select("anomaly_count", "message")) == [(2, "2 anomalies in one window")]
 
@@ -290,7 +294,13 @@ def test_refresh_tables(spark, medium, medium_readings):
     assert values(failed) == [("temperature_range", "failed")]
     assert report.count() == 10
     refresh_gold(spark, "gauge.silver", tables, "2024-02-01", now)
-    assert spark.table("gauge.anomaly_log").groupBy("run_id").count().count() == 2
+    assert spark.table("gauge.anomaly_log").count() == 376
+    assert column(spark.table("gauge.anomaly_log").select("run_id").distinct(), "run_id") == ["2024-02-01"]
+    late = metrics.retain(spark.table("gauge.silver"), 7, now)
+    assert "PartitionFilters: [isnotnull(event_date" in plan(late)
+    logged = anomaly_log(spark.table("gauge.flagged"))
+    assert "PushedFilters: [IsNotNull(overall_anomaly), EqualTo(overall_anomaly,1)]" in plan(logged)
+    assert [path.name for path in Path(shared_folder(spark)).iterdir() if path.name.startswith(("gold-", "silver-"))] == []
     day = spark.table("gauge.silver").filter("event_date = '2024-01-05'")
     assert "PartitionFilters: [isnotnull(event_date" in plan(day)
     spark.sql("DROP DATABASE gauge CASCADE")

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tests.helpers import clean, values
+from tests.helpers import clean, plan, values
 from tidegauge.operators import quality as q
 from tidegauge.plans.checks import check_tables
 from tidegauge.schema import METRICS
@@ -71,8 +71,7 @@ def test_unique_window(spark):
 def test_duplicates_both_ways(spark):
     rows = [(1, "a", 0.5)] * 3 + [(2, "a", None)] * 2 + [(3, "b", float("nan"))] * 2 + [(4, "c", 1.0)]
     frame = spark.createDataFrame(rows, "k int, s string, d double")
-    for limit in (100, 1):
-        assert results(q.no_duplicate_rows(frame, "t", limit)) == {"duplicate_rows": (4, "failed")}
+    assert results(q.no_duplicate_rows(frame, "t")) == {"duplicate_rows": (4, "failed")}
     for unique in (frame.distinct(), frame.limit(0)):
         assert results(q.no_duplicate_rows(unique, "t")) == {"duplicate_rows": (0, "passed")}
 
@@ -99,3 +98,14 @@ def test_profile(spark):
     assert row == ("temperature", 3, 1.0, 3.0, 2)
     assert values(q.profile(frame)) == values(q.profile(frame, exact=False))
     assert q.profile(frame).count() == len(METRICS)
+
+
+def test_checks_of_one_name(spark):
+    frame = spark.createDataFrame([(1,)], "v int")
+    found = q.run_checks(frame, "t", [q.not_empty(), q.not_empty(), q.has_columns(frame, ["w"])])
+    assert values(found, "check", "bad_rows") == [("row_count", 0), ("row_count", 0), ("schema_columns", 1)]
+
+
+def test_the_schema_is_checked_without_a_scan(spark, small):
+    events = spark.read.parquet(f"{small}/events.parquet")
+    assert "Scan parquet" not in plan(q.run_checks(events, "t", [q.has_columns(events, ["x"])]))

@@ -39,24 +39,22 @@ def brute_join(rows, closed):
 
 
 @FEW
-@given(ROWS, st.sampled_from(["both", "left"]), st.sampled_from([1, 3, 1000]))
-def test_interval_join(spark, rows, closed, limit):
+@given(ROWS, st.sampled_from(["both", "left"]))
+def test_interval_join(spark, rows, closed):
     readings = clean(spark, rows)
-    joined = attach_window_averages(
-        readings, tumbling_averages(readings), closed=closed, broadcast_rows=limit
-    )
+    joined = attach_window_averages(readings, tumbling_averages(readings), closed=closed)
     found = values(joined.select("temperature", F.round("avg_temp_5min", 6)))
     assert found == brute_join(rows, closed)
 
 
 @FEW
-@given(ROWS, st.sampled_from([60, 300, 7200]), st.sampled_from([1, 1000]))
-def test_rolling(spark, rows, seconds, limit):
+@given(ROWS, st.sampled_from([60, 300, 7200]))
+def test_rolling(spark, rows, seconds):
     expected = []
     for s, t in rows:
         near = [v for at, v in rows if None not in (s, at) and s - seconds <= at <= s]
         expected.append((t, round(sum(near) / len(near), 6) if near else None))
-    moving = rolling_averages(clean(spark, rows), seconds, broadcast_rows=limit)
+    moving = rolling_averages(clean(spark, rows), seconds)
     found = values(moving.select("temperature", F.round("rolling_temp", 6)))
     assert found == sorted(expected, key=lambda row: (row[0], row[1] is None, row[1] or 0))
 
@@ -79,8 +77,8 @@ def test_sliding(spark, rows):
 
 
 @FEW
-@given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["a", "b", None])), max_size=40), st.sampled_from([1, 1000]))
-def test_duplicates(spark, rows, limit):
+@given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["a", "b", None])), max_size=40))
+def test_duplicates(spark, rows):
     frame = spark.createDataFrame(rows, "k int, s string")
-    found = quality.no_duplicate_rows(frame, "t", limit).first()["bad_rows"]
+    found = quality.no_duplicate_rows(frame, "t").first()["bad_rows"]
     assert found == len(rows) - len(set(rows))

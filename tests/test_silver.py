@@ -103,14 +103,21 @@ def test_left_closed_join_keeps_one_row_each(spark):
         attach_window_averages(readings, tumbling_averages(readings), closed="right")
 
 
+@pytest.fixture
+def shuffled_joins(spark):
+    """Joins without broadcasts but those that are asked for."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @pytest.mark.parametrize("closed", ["both", "left"])
-@pytest.mark.parametrize("limit", [1, 3])
-def test_join_beyond_the_broadcast_limit(spark, closed, limit):
+def test_shuffled_join(spark, shuffled_joins, closed):
     readings = clean(spark, EDGE + [(450, float(n)) for n in range(40)])
-    windows = tumbling_averages(readings)
-    small = attach_window_averages(readings, windows, closed=closed, broadcast_rows=100)
-    large = attach_window_averages(readings, windows, closed=closed, broadcast_rows=limit)
-    assert values(large) == values(small)
+    shuffled = values(attach_window_averages(readings, tumbling_averages(readings), closed=closed))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    assert values(attach_window_averages(readings, tumbling_averages(readings), closed=closed)) == shuffled
 
 
 def test_join_equals_the_interval_condition(spark, medium):
@@ -148,17 +155,17 @@ def test_window_parts_add_up(spark):
     assert values(averages_of_sums(parts).select(whole.columns)) == values(whole)
 
 
-def test_attach_by_key_splits_hot_keys(spark):
+def test_attach_by_key_splits_hot_keys(spark, shuffled_joins):
     rows = spark.createDataFrame(
         [("hot", n) for n in range(50)] + [(f"k{n}", n) for n in range(20)] + [(None, 1)], "k string, n int"
     )
     lookup = rows.filter("k is not null").groupBy("k").agg(F.count("*").alias("c"), F.max("n").alias("m"))
-    small = attach_by_key(rows, lookup, ["k"], "c", broadcast_rows=100)
-    large = attach_by_key(rows, lookup, ["k"], "c", broadcast_rows=5)
-    assert values(large.select(small.columns)) == values(small)
-    assert large.count() == 71
-    plan = large._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("rightHint=(strategy=broadcast)") == 2 and "LeftAnti" in plan
+    found = attach_by_key(rows, lookup, ["k"], "c")
+    expected = rows.join(lookup.drop("c"), ["k"], "left")
+    assert values(found.select(expected.columns)) == values(expected)
+    text = plan(found)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" in text
+    assert "hashpartitioning(k" in text and "_part" in text.split("hashpartitioning(k")[1][:40]
 
 
 def brute_rolling(rows, seconds):
@@ -174,9 +181,8 @@ ROLLING = [(3599, 1.0), (3600, 2.0), (3650, 3.0), (3900, 4.0), (3900, 6.0), (390
 
 
 @pytest.mark.parametrize("seconds", [60, 300, 10_000])
-@pytest.mark.parametrize("limit", [100, 2])
-def test_rolling_averages(spark, seconds, limit):
-    moving = rolling.rolling_averages(clean(spark, ROLLING), seconds, broadcast_rows=limit)
+def test_rolling_averages(spark, seconds):
+    moving = rolling.rolling_averages(clean(spark, ROLLING), seconds)
     rows = values(moving.select("temperature", F.round("rolling_temp", 9)))
     assert rows == brute_rolling(ROLLING, seconds)
 

@@ -1,21 +1,23 @@
+from pathlib import Path
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.helpers import column, raw, values
-from tidegauge.plans.ingest import convert_drop
+from tidegauge.plans.ingest import convert_drop, load_bronze
 from tidegauge.schema import RAW_COLUMNS, RAW_SCHEMA
 from tidegauge.sinks import tables
 from tidegauge.sources import files
 from tidegauge.sources.event_readings import readings_from_events
-from tidegauge.sources.workspace import materialize, shared_folder
+from tidegauge.sources.workspace import Scratch, materialize, shared_folder
 
 HEADER = ",".join(RAW_COLUMNS) + "\n"
 
 
 def write(folder, name, text):
-    folder.mkdir(exist_ok=True)
+    folder.mkdir(parents=True, exist_ok=True)
     (folder / name).write_text(text)
     return str(folder)
 
@@ -32,10 +34,37 @@ def test_csv_drop(spark, tmp_path):
     assert rows == [("0", "1.50", "5"), ("1", "a", None), ("2", "1", "5"), ("3", "x\ny", "5")]
 
 
-def test_csv_drop_refuses_another_header(spark, tmp_path):
-    path = write(tmp_path / "csv", "a.csv", "Temperature,Time,Humidity,Air_Quality,Light,Loudness\n1,2,3,4,5,6\n")
-    with pytest.raises(Exception, match="CSV header"):
-        files.read_csv_drop(spark, path).collect()
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    folder = tmp_path / "csv"
+    write(folder, "a.csv", HEADER + "0,1,2,3,4,5\n")
+    write(folder, "b c.csv", "Temperature,Time,Battery,Humidity,Air_Quality,Light\n1,2,full,3,4,5\n")
+    write(folder, "odd.csv", "x,y\n1,2\n")
+    write(folder, "twice.csv", "Time,Time\n1,2\n")
+    path = write(folder, "empty.csv", "")
+    rows = values(files.read_csv_drop(spark, path, extras=True), "Time", "Temperature", "Loudness", "_extra")
+    assert rows == [("0", "1", "5", None), ("2", "1", None, '{"Battery":"full"}')]
+    assert [name.rsplit("/", 1)[1] for name in files.odd_csv_files(spark, path)] == ["odd.csv", "twice.csv"]
+    assert files.read_csv_drop(spark, path).columns == list(RAW_COLUMNS)
+
+
+def test_no_field_of_a_csv_row_is_lost(spark, tmp_path):
+    path = write(tmp_path / "csv", "a.csv", HEADER + "0,1,2,3,4,5\n1,2\n2,1,2,3,4,5,more\n")
+    rows = files.read_csv_drop(spark, path, extras=True)
+    assert values(rows, "Time", "_corrupt_record") == [("0", None), ("1", "1,2"), ("2", "2,1,2,3,4,5,more")]
+
+
+def test_drop_without_a_readable_file(spark, tmp_path):
+    path = write(tmp_path / "csv", "a.csv", "x,y\n1,2\n")
+    assert files.read_csv_drop(spark, path).collect() == []
+
+
+def test_json_lines_in_nested_folders(spark, tmp_path):
+    write(tmp_path / "json" / "2025" / "08", "a.json", '{"Time":"1"}\n')
+    path = str(tmp_path / "json")
+    assert column(files.read_json_lines(spark, path), "Time") == ["1"]
+    assert load_bronze(spark, path, str(tmp_path / "bronze")) == 1
+    assert load_bronze(spark, path, str(tmp_path / "bronze")) == 1
+    assert files.bronze_records(spark.read.parquet(str(tmp_path / "bronze"))).count() == 1
 
 
 def test_rows_per_file(spark, tmp_path):
@@ -59,8 +88,8 @@ def test_convert_drop(spark, tmp_path):
 
 
 def test_decode_key(spark):
-    frame = spark.createDataFrame([("a+b%2Fc%20d",), ("%zz",)], "k string")
-    assert column(frame.select(files.decode_key(F.col("k")).alias("k")), "k") == ["a b/c d", None]
+    frame = spark.createDataFrame([("a+b%2Fc%20d",), ("%zz",), ("100%",), ("%41%4",)], "k string")
+    assert column(frame.select(files.decode_key(F.col("k")).alias("k")), "k") == ["%zz", "100%", "A%4", "a b/c d"]
 
 
 JSON_LINES = "\n".join(
@@ -86,7 +115,7 @@ def test_json_lines(spark, tmp_path):
 def test_bronze_keeps_bad_lines_apart(spark, tmp_path):
     path = write(tmp_path / "json", "a.json", JSON_LINES)
     target = str(tmp_path / "bronze")
-    files.write_bronze(files.read_json_lines(spark, path), target)
+    files.write_bronze(files.read_json_lines(spark, path), target, "one")
     stored = spark.read.parquet(target)
     assert column(files.bronze_records(stored), "Time") == ["0", "1", "2"]
     assert column(files.quarantined_lines(stored), "line") == ["{bad json"]
@@ -145,3 +174,26 @@ def test_materialize_uses_the_shared_folder(spark):
     assert column(frame, "v") == [0, 1, 2]
     assert shared_folder(spark) in frame.inputFiles()[0]
     assert "Range" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_days_of_a_log_are_replaced(spark):
+    def rows(*pairs):
+        return spark.createDataFrame(pairs, "v int, event_day string")
+
+    tables.write_days(rows((1, "a"), (2, "b"), (3, "none")), "day_log", ["a", "b", "none"])
+    tables.write_days(rows((1, "a"), (4, "c")), "day_log", ["a", "c", "none"])
+    assert values(spark.read.table("day_log"), "event_day", "v") == [("a", 1), ("b", 2), ("c", 4)]
+    with pytest.raises(ValueError, match="columns"):
+        tables.write_days(rows((1, "a")).withColumn("w", F.lit(1)), "day_log", ["a"])
+    spark.sql("DROP TABLE day_log")
+
+
+def test_scratch_tables_end(spark):
+    scratch = Scratch(spark, "ending")
+    frame = scratch.table(spark.range(3).toDF("v"), "a")
+    assert frame.count() == 3 and Path(scratch.folder, "a").exists()
+    scratch.drop("a")
+    assert not Path(scratch.folder, "a").exists()
+    scratch.table(spark.range(3).toDF("v"), "b")
+    scratch.close()
+    assert not Path(scratch.folder).exists()

@@ -1,18 +1,21 @@
 import json
+from pathlib import Path
 
 import pytest
 from tests.helpers import clean, column, epoch, values
 from tidegauge.operators.anomalies import anomaly_log, flag_anomalies
-from tidegauge.operators.baseline import baseline
 from tidegauge.operators.cleaning import clean_readings
-from tidegauge.operators.rollups import anomaly_rate_of, summarize_flagged
+from tidegauge.operators.rollups import anomaly_rate, device_stats
 from tidegauge.operators.windows import (
     attach_window_averages,
     averages_of_sums,
+    merged_sums,
     tumbling_averages,
+    window_sums,
 )
 from tidegauge.schema import CORRUPT, RAW_COLUMNS
 from tidegauge.sources.files import bronze_records, quarantined_lines
+from tidegauge.sources.workspace import shared_folder
 from tidegauge.streaming import bronze, gold
 
 
@@ -122,39 +125,24 @@ def test_csv_drop_becomes_json_lines(spark, feed):
     assert json.loads(lines[1])["Loudness"] is None
 
 
-def test_windows_come_out_once_closed(spark, feed):
+def test_closed_windows_with_a_watermark(spark, feed):
+    """The operators themselves take streams; a watermark then holds back and drops."""
     for lines in ((line(0), line(300), "{broken"), (line(5000),), (line(9000),)):
         feed.drop(*lines)
-        late = gold.with_lateness(feed.readings(spark))
-        feed.append(tumbling_averages(late))
+        feed.append(tumbling_averages(feed.readings(spark).withWatermark("event_time", "10 minutes")))
     stored = spark.read.parquet(feed.target)
     assert column(stored.select(epoch("window_start")), "window_start") == [0, 300, 4800]
 
 
-def test_closed_stream_windows_equal_the_batch_rollup(spark, feed):
-    rows = [(n * 97, float(n % 7)) for n in range(120)]
-    feed.drop(*(line(time, temperature) for time, temperature in rows))
-    feed.append(tumbling_averages(gold.with_lateness(feed.readings(spark))))
-    feed.drop(line(10**6))
-    feed.append(tumbling_averages(gold.with_lateness(feed.readings(spark))))
-    stored = spark.read.parquet(feed.target)
-    batch = tumbling_averages(clean(spark, rows))
-    assert values(stored.select(batch.columns)) == values(batch)
+STATS = "mean_temp double, std_temp double, mean_humidity double, std_humidity double"
 
 
-def test_scored_stream_rollups(spark, feed):
-    rows = [(n * 60, 1.0) for n in range(30)] + [(1800, 50.0)]
-    stats = baseline(clean(spark, rows))
-    feed.drop(*(line(time, temperature) for time, temperature in rows))
-    feed.drop(line(10**6))
-    flagged = gold.with_lateness(flag_anomalies(feed.readings(spark), stats))
-    feed.append(anomaly_rate_of(summarize_flagged(flagged)))
-    stored = spark.read.parquet(feed.target)
-    assert values(stored.select(epoch("window_start"), "anomaly_count")) == [(1800, 1)]
+def stats_row(spark):
+    return spark.createDataFrame([(3.0, 4.0, 1.0, 0.5)], STATS)
 
 
 def gold_run(spark, feed, stats, root):
-    folders = gold.GoldFolders(*(str(root / name) for name in ("windows", "flagged", "log")))
+    folders = gold.GoldFolders.below(str(root / "gold"))
     query = gold.start_gold(
         feed.readings(spark), lambda: stats, folders, checkpoint=feed.checkpoint, trigger=bronze.ONCE
     )
@@ -162,48 +150,79 @@ def gold_run(spark, feed, stats, root):
     return folders
 
 
+def batch_rows(spark, rows):
+    whole = clean(spark, rows)
+    return attach_window_averages(whole, tumbling_averages(whole))
+
+
+def same_as_batch(spark, folders, rows, stats):
+    """All live results equal those of the batch operators over the same readings."""
+    flagged = flag_anomalies(batch_rows(spark, rows), stats)
+    assert values(gold.live_flagged(spark, folders)) == values(flagged)
+    assert values(gold.live_device_stats(spark, folders)) == values(device_stats(flagged))
+    assert values(gold.live_anomaly_rate(spark, folders)) == values(anomaly_rate(flagged))
+    assert values(gold.live_log(spark, folders)) == values(anomaly_log(flagged))
+    windows = tumbling_averages(clean(spark, rows))
+    assert values(gold.live_windows(spark, folders).select(windows.columns)) == values(windows)
+
+
 def test_gold_batches(spark, feed, tmp_path):
     first = [(0, 1.0), (100, 2.0), (300, 3.0)]
     second = [(301, 90.0), (600, 5.0)]
-    stats = spark.createDataFrame(
-        [(3.0, 4.0, 1.0, 0.5)],
-        "mean_temp double, std_temp double, mean_humidity double, std_humidity double",
-    )
     for rows in (first, second):
         feed.drop(*(line(time, temperature) for time, temperature in rows))
-        folders = gold_run(spark, feed, stats, tmp_path)
-    flagged = spark.read.parquet(folders.flagged)
-    whole = clean(spark, first + second)
-    batch = attach_window_averages(whole, tumbling_averages(whole))
-    assert flagged.count() == batch.count() == 7
-    newest = flagged.filter("batch_id = 1").select("temperature", "avg_temp_5min")
-    assert values(newest) == [(5.0, 5.0), (5.0, 46.5), (90.0, 46.5)]
+        folders = gold_run(spark, feed, stats_row(spark), tmp_path)
+    same_as_batch(spark, folders, first + second, stats_row(spark))
+    assert gold.live_flagged(spark, folders).count() == 7
     assert values(spark.read.parquet(folders.log), "temp_value", "batch_id") == [(90.0, 1)]
 
 
-def test_window_sums_survive_a_change_of_generation(spark, tmp_path, monkeypatch):
+def test_batches_out_of_order_and_a_stray_time(spark, feed, tmp_path):
+    """The window before an edge comes later; one far-off time changes its own window only."""
+    batches = [[(300, 90.0), (900, 2.0), (1623781100000, 3.0)], [(10, 1.0), (600, 91.0)], [(5, 4.0), (9000, 92.0), (20000, 5.0)]]
+    for rows in batches:
+        feed.drop(*(line(time, temperature) for time, temperature in rows))
+        folders = gold_run(spark, feed, stats_row(spark), tmp_path)
+    near = [row for rows in batches for row in rows if row[0] < 10**6]
+    flagged = flag_anomalies(batch_rows(spark, near), stats_row(spark))
+    live = gold.live_flagged(spark, folders).where("event_time < '2100-01-01'")
+    assert values(live) == values(flagged)
+    assert live.where("event_time = timestamp_seconds(300)").count() == 2
+    windows = gold.live_windows(spark, folders)
+    assert windows.count() == 7 and windows.where("window_start > '2100-01-01'").count() == 1
+
+
+def test_sums_survive_a_change_of_generation(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(gold, "BATCHES_PER_GENERATION", 2)
     path = str(tmp_path / "windows")
     batches = [[(0, 1.0)], [(10, 2.0)], [(20, 3.0), (300, 4.0)], [], [(30, 6.0)], [(301, 8.0)]]
     for batch_id, rows in enumerate(batches):
         for _ in range(2):
-            parts = gold._store_window_sums(clean(spark, rows), path, batch_id, 300)
+            parts = gold.store_parts(window_sums(clean(spark, rows)), merged_sums, path, batch_id)
         whole = clean(spark, [row for batch in batches[: batch_id + 1] for row in batch])
         expected = tumbling_averages(whole).select("window_start", "readings", "avg_temp_5min")
-        assert values(averages_of_sums(parts).select(expected.columns)) == values(expected)
+        for found in (parts, gold.read_parts(spark, path)):
+            assert values(averages_of_sums(found).select(expected.columns)) == values(expected)
     assert parts.count() < 5
+    assert sorted(p.name for p in (tmp_path / "windows").iterdir()) == ["generation=1", "generation=2"]
 
 
 def test_a_replayed_batch_doubles_nothing(spark, tmp_path):
-    stats = spark.createDataFrame(
-        [(3.0, 4.0, 1.0, 0.5)],
-        "mean_temp double, std_temp double, mean_humidity double, std_humidity double",
-    )
-    folders = gold.GoldFolders(*(str(tmp_path / name) for name in ("windows", "flagged", "log")))
-    write = gold.batch_writer(lambda: stats, folders)
-    write(clean(spark, [(0, 1.0), (300, 90.0), (None, 91.0)]), 0)
-    write(clean(spark, [(310, 92.0)]), 1)
-    write(clean(spark, [(310, 92.0)]), 1)
-    write(clean(spark, [(None, 93.0)]), 2)
-    assert column(spark.read.parquet(folders.log), "temp_value") == [90.0, 90.0, 91.0, 92.0, 93.0]
-    assert anomaly_log(spark.read.parquet(folders.flagged)).count() == 5
+    folders = gold.GoldFolders.below(str(tmp_path))
+    write = gold.batch_writer(lambda: stats_row(spark), folders)
+    rows = [[(0, 1.0), (300, 90.0), (None, 91.0)], [(310, 92.0)], [(None, 93.0)]]
+    for batch_id, times in ((0, 1), (1, 2), (2, 1), (2, 1)):
+        for _ in range(times):
+            write(clean(spark, rows[batch_id]), batch_id)
+    same_as_batch(spark, folders, [row for batch in rows for row in batch], stats_row(spark))
+    assert column(gold.live_log(spark, folders), "temp_value") == [90.0, 90.0, 91.0, 92.0, 93.0]
+
+
+def test_batches_leave_no_scratch_folders(spark, tmp_path):
+    def left():
+        return [p for p in Path(shared_folder(spark)).iterdir() if p.name.startswith("micro-batch")]
+
+    write = gold.batch_writer(lambda: stats_row(spark), gold.GoldFolders.below(str(tmp_path)))
+    for batch_id in range(3):
+        write(clean(spark, [(batch_id * 300, 1.0)]), batch_id)
+    assert left() == []

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # Characters that become "_" and characters that are removed.
 TO_UNDERSCORE = " -"
 REMOVED = "(){};=\n\t"
+# Fixed value: what str.strip() takes for white space, as a regular expression's class.
+BLANKS = r"\x09-\x0D\x1C-\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
 _NAME_TABLE = str.maketrans(TO_UNDERSCORE, "_" * len(TO_UNDERSCORE), REMOVED)
 
@@ -29,6 +31,6 @@ def clean_names(df: DataFrame) -> DataFrame:
 
 def clean_text(text: Column) -> Column:
     """The same rule for values, e.g. names that arrive as data."""
-    stripped = F.regexp_replace(text, r"^\s+|\s+$", "")
+    stripped = F.regexp_replace(text, rf"^[{BLANKS}]+|[{BLANKS}]+$", "")
     # translate() drops the characters that have no partner in the second list.
     return F.translate(stripped, TO_UNDERSCORE + REMOVED, "_" * len(TO_UNDERSCORE))

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tidegauge.schema import METRIC_MAX_AGE_DAYS
 
 MICROS = 1_000_000
-# Timestamps hold 64-bit microseconds; the margin leaves room to shift them.
-MAX_SECONDS = 9_000_000_000_000
+# Timestamps hold 64-bit microseconds.
+MAX_SECONDS = (2**63 - 1) // MICROS
 
 
 def epoch_to_timestamp(text: Column) -> Column:
@@ -18,8 +18,13 @@ def epoch_to_timestamp(text: Column) -> Column:
     The way over decimal takes "12.7" without taking "NaN" or "1d". A number
     too large for a timestamp gives NULL too, where the conversion would raise.
     """
-    seconds = text.try_cast("decimal(20,6)").try_cast("bigint")
-    return F.timestamp_seconds(F.when(F.abs(seconds) <= MAX_SECONDS, seconds))
+    seconds = text.try_cast("decimal(38,6)").try_cast("bigint")
+    return F.timestamp_seconds(F.when(seconds.between(-MAX_SECONDS, MAX_SECONDS), seconds))
+
+
+def is_plausible(time: Column, first: Column, last: Column) -> Column:
+    """False for a time that is there but outside of what the source can have seen."""
+    return time.isNull() | time.between(first, last)
 
 
 def bucket_start(time: Column, seconds: int) -> Column:
@@ -29,11 +34,12 @@ def bucket_start(time: Column, seconds: int) -> Column:
     without a time, and the interval join has to keep them.
     """
     micros = F.unix_micros(time)
-    return F.timestamp_micros(micros - F.pmod(micros, F.lit(seconds * MICROS)))
+    return F.timestamp_micros(F.try_subtract(micros, F.pmod(micros, F.lit(seconds * MICROS))))
 
 
 def shift_seconds(time: Column, seconds: int) -> Column:
-    return F.timestamp_micros(F.unix_micros(time) + F.lit(seconds * MICROS))
+    """The time moved; NULL where no timestamp can hold the result."""
+    return F.timestamp_micros(F.try_add(F.unix_micros(time), F.lit(seconds * MICROS).cast("bigint")))
 
 
 def on_bucket_edge(time: Column, seconds: int) -> Column:

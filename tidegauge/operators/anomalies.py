@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions import deviates, zscore
 from tidegauge.operators.baseline import baseline_by_key, mean_name, std_name
-from tidegauge.operators.keyed_join import BROADCAST_ROWS, attach_by_key
+from tidegauge.operators.keyed_join import attach_by_key
 from tidegauge.schema import (
     ANOMALY_DETAILS,
     DECIMALS,
@@ -58,11 +58,10 @@ def flag_anomalies_by_key(
     keys: list[str],
     metrics: tuple[str, ...] = SCORED_METRICS,
     sigmas: float = SIGMAS,
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """The same against each key's own baseline; rows without a key get no flag."""
     stats = baseline_by_key(readings, keys, metrics)
-    scored = attach_by_key(readings, stats, keys, "readings", broadcast_rows)
+    scored = attach_by_key(readings, stats, keys, "readings")
     return scored.withColumns(_flags(F.col, metrics, sigmas)).select(
         *readings.columns, *(flag(metric) for metric in metrics), OVERALL_FLAG
     )

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tidegauge.sources.workspace import materialize
 
-BROADCAST_ROWS = 500_000
+#: Shares of a shuffle partition that one key's rows may take before they are split.
+HOT_SHARE = 0.25
 
 
 def attach_by_key(
@@ -18,39 +19,39 @@ def attach_by_key(
     lookup: DataFrame,
     keys: list[str],
     count_column: str,
-    broadcast_rows: int = BROADCAST_ROWS,
     *,
     stored: bool = False,
 ) -> DataFrame:
     """Left join of ``rows`` with ``lookup``, which has one row per key.
 
-    ``count_column`` says how many of ``rows`` carry the key. The lookup is
-    written once, unless it is ``stored`` already, and measured:
-
-    * up to ``broadcast_rows`` keys: broadcast, so the large side never moves;
-    * more keys: those holding more than ``1/broadcast_rows`` of all rows are
-      split off. There are fewer than ``broadcast_rows`` of them by arithmetic,
-      so they can be broadcast; only the others are shuffled, and none of those
-      keys is large enough to fill a task. Rows without a key stay where they are.
-
-    Both ways give the same rows.
+    ``count_column`` says how many of ``rows`` carry the key. The lookup is written
+    once, unless it is ``stored`` already, so Spark knows its bytes and broadcasts it
+    only where they are few. For the other case, keys that hold more than a quarter of
+    an even shuffle partition are split: their rows are dealt to as many tasks as that
+    needs, to each of which goes a copy of the key's row. With ``P`` partitions there are
+    fewer than ``4 P`` such keys by arithmetic, so the list of them, which marks the
+    rows, is small at any size. Rows without a key are dealt out evenly. ``rows`` is
+    read once.
     """
     if not stored:
         lookup = materialize(lookup, "lookup")
-    size = lookup.agg(F.count("*").alias("keys"), F.sum(count_column).alias("rows")).first()
-    values = lookup.drop(count_column)
-    if size["keys"] <= broadcast_rows:
-        return rows.join(F.broadcast(values), keys, "left")
-
-    is_hot = F.col(count_column) > F.lit(size["rows"] / broadcast_rows)
-    hot = lookup.filter(is_hot).drop(count_column)
-    cold = lookup.filter(~is_hot).drop(count_column)
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = lookup.agg(F.coalesce(F.sum(count_column), F.lit(0))).first()[0]
+    share = max(1.0, total * HOT_SHARE / partitions)
+    splits = F.least(F.ceil(F.col(count_column) / share), F.lit(partitions)).cast("int")
+    is_hot = F.col(count_column) > share
+    hot = lookup.where(is_hot).select(*keys, splits.alias("_splits"))
+    copies = lookup.withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.when(is_hot, splits - 1).otherwise(0)))
+    ).drop(count_column)
     has_key = reduce(and_, (F.col(key).isNotNull() for key in keys))
-    marked = F.broadcast(hot.withColumn("is_hot", F.lit(True)))
-    unmoved = rows.join(marked, keys, "left").filter(F.col("is_hot") | ~has_key).drop("is_hot")
-    moved = (
-        rows.filter(has_key)
-        .join(F.broadcast(hot.select(keys)), keys, "left_anti")
-        .join(cold, keys, "left")
+    # the input partition, which a retried task keeps, tells equal rows apart
+    spread = F.xxhash64(F.spark_partition_id(), *rows.columns)
+    parts = F.when(has_key, F.coalesce("_splits", F.lit(1))).otherwise(F.lit(partitions))
+    return (
+        rows.join(F.broadcast(hot), keys, "left")
+        .withColumn("_part", F.pmod(spread, parts).cast("int"))
+        .drop("_splits")
+        .join(copies, [*keys, "_part"], "left")
+        .drop("_part")
     )
-    return unmoved.unionByName(moved)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions import clamp_timestamp, shift_seconds
+from tidegauge.functions import clamp_timestamp, shift_seconds, utc_wall_clock
 from tidegauge.schema import (
     DIMENSIONS_TYPE,
     METRIC_NAMESPACE,
@@ -72,8 +72,12 @@ def alert_spikes(rate: DataFrame, threshold: int) -> DataFrame:
 def retain(
     readings: DataFrame, days: int, now: Column | dt.datetime | None = None, time: str = TIME
 ) -> DataFrame:
-    """Readings of the last ``days`` days."""
-    return readings.filter(F.col(time) >= shift_seconds(as_instant(now), -days * 24 * 3600))
+    """Readings of the last ``days`` days; of a table by ``event_date``, only these are read."""
+    since = shift_seconds(as_instant(now), -days * 24 * 3600)
+    kept = readings.filter(F.col(time) >= since)
+    if "event_date" in readings.columns:
+        kept = kept.filter(F.col("event_date") >= F.to_date(utc_wall_clock(since)))
+    return kept
 
 
 def in_key_order(readings: DataFrame, keys: list[str], time: str = TIME) -> DataFrame:

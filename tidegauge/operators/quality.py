@@ -10,7 +10,6 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.operators.keyed_join import BROADCAST_ROWS
 from tidegauge.schema import METRICS, OVERALL_FLAG, SCORED_METRICS, SENSOR_LIMITS, flag
 from tidegauge.sources.workspace import materialize
 
@@ -20,11 +19,11 @@ RESULT_SCHEMA = "check string, target string, bad_rows bigint, status string"
 
 @dataclass(frozen=True)
 class Check:
-    """A check that one aggregate over the rows can answer."""
+    """A check that one aggregate over the rows can answer, or the schema alone."""
 
     name: str
     columns: tuple[str, ...]
-    bad_rows: Column
+    bad_rows: Column | int
 
 
 def not_empty() -> Check:
@@ -35,7 +34,7 @@ def not_empty() -> Check:
 def has_columns(df: DataFrame, expected: Iterable[str]) -> Check:
     """All expected columns are there; counts the missing ones, from the schema."""
     missing = [name for name in expected if name not in df.columns]
-    return Check("schema_columns", (), F.lit(len(missing)).cast("bigint"))
+    return Check("schema_columns", (), len(missing))
 
 
 def flags_are_binary(
@@ -57,20 +56,20 @@ def within_limits(limits: Mapping[str, tuple[float, float]] = SENSOR_LIMITS) ->
 def run_checks(df: DataFrame, target: str, checks: Iterable[Check]) -> DataFrame:
     """Answer all checks in a single scan of the columns they need.
 
-    A check whose column is missing reports an error, the others still run.
+    A check whose column is missing reports an error, the others still run. What the
+    schema answers needs no scan. Checks may have the same name.
     """
-    checks = list(checks)
-    able = [check for check in checks if set(check.columns) <= set(df.columns)]
-    counts = df.agg(
-        *(F.coalesce(check.bad_rows, F.lit(0)).alias(check.name) for check in able)
-    ) if able else df.sparkSession.range(1)
-    results = [
-        F.struct(
-            F.lit(check.name).alias("check"),
-            (F.col(check.name) if check in able else F.lit(None).cast("bigint")).alias("bad_rows"),
-        )
-        for check in checks
-    ]
+    aggregates, results = [], []
+    for i, check in enumerate(checks):
+        if not set(check.columns) <= set(df.columns):
+            value = F.lit(None).cast("bigint")
+        elif isinstance(check.bad_rows, int):
+            value = F.lit(check.bad_rows).cast("bigint")
+        else:
+            aggregates.append(F.coalesce(check.bad_rows, F.lit(0)).alias(f"check_{i}"))
+            value = F.col(f"check_{i}")
+        results.append(F.struct(F.lit(check.name).alias("check"), value.alias("bad_rows")))
+    counts = df.agg(*aggregates) if aggregates else df.sparkSession.range(1)
     return _result(counts.select(F.inline(F.array(*results))), target)
 
 
@@ -93,16 +92,14 @@ def unique_windows(
     )
 
 
-def no_duplicate_rows(
-    df: DataFrame, target: str, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def no_duplicate_rows(df: DataFrame, target: str) -> DataFrame:
     """No two equal rows; counts the rows beyond the first of each kind.
 
-    Only a 64-bit hash per row is grouped first. Rows whose hash occurs once
-    have no copy; the others are compared in full, so a hash collision cannot
-    count as a copy. If too many hashes repeat for a broadcast, whole rows are
-    grouped at once.
+    The rows are written once. Only a 64-bit hash per row is grouped first. Rows whose
+    hash occurs once have no copy; the others, found by an ordinary join whose way Spark
+    chooses by bytes, are compared in full, so a hash collision cannot count as a copy.
     """
+    df = materialize(df, "checked")
     row_hash = F.xxhash64(*df.columns)
     repeated = materialize(
         df.groupBy(row_hash.alias("row_hash"))
@@ -111,13 +108,9 @@ def no_duplicate_rows(
         .select("row_hash"),
         "repeated",
     )
-    suspects = df
-    if repeated.count() <= broadcast_rows:
-        suspects = (
-            df.withColumn("row_hash", row_hash)
-            .join(F.broadcast(repeated), "row_hash", "left_semi")
-            .drop("row_hash")
-        )
+    suspects = (
+        df.withColumn("row_hash", row_hash).join(repeated, "row_hash", "left_semi").drop("row_hash")
+    )
     copies = suspects.groupBy(*df.columns).agg((F.count("*") - 1).alias("copies"))
     return _result(
         copies.agg(F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("bad_rows")).select(

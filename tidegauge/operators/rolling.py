@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions import bucket_start
 from tidegauge.functions.times import MICROS
-from tidegauge.operators.keyed_join import BROADCAST_ROWS, attach_by_key
-from tidegauge.operators.parts import average_of_parts, sums_of
+from tidegauge.operators.keyed_join import attach_by_key
+from tidegauge.operators.parts import average_of_parts, part_names, sums_of
 from tidegauge.schema import AVERAGE_SECONDS, METRICS, TIME, short
 
-CHUNK_SECONDS = 3600
-
 
 def rolling_name(metric: str) -> str:
     return f"rolling_{short(metric)}"
@@ -26,39 +24,47 @@ def moment_averages(
 ) -> DataFrame:
     """For each moment, the average over ``[moment - seconds, moment]``.
 
-    Readings are first summed per moment, which folds any pile-up at one time.
-    The moments are then cut into chunks of at least an hour, and those that the
-    next chunk still looks back to are copied there. With times in whole seconds
-    a window partition holds at most ``chunk + seconds`` rows whatever the input.
+    Readings are first summed per moment, which folds any pile-up at one time. Time is
+    cut into blocks as long as the width, so the moments that count are the end of the
+    block before and the begin of the own block. One running sum forwards and one
+    backwards over each block give both; the cost does not depend on the width, and
+    nothing is ever subtracted. With times in whole seconds a window partition holds at
+    most two rows per second of the width.
     """
-    chunk = max(CHUNK_SECONDS, seconds) * MICROS
-    back = seconds * MICROS
+    width = seconds * MICROS
+    names = part_names(metrics)
     moments = (
         readings.filter(F.col(TIME).isNotNull())
         .groupBy(*keys, TIME)
         .agg(F.count("*").alias("readings"), *sums_of(metrics))
-        .withColumn("micros", F.unix_micros(TIME))
-        .withColumn("own_chunk", F.col("micros") - F.pmod("micros", F.lit(chunk)))
-        .withColumn("next_chunk", F.col("own_chunk") + F.lit(chunk))
+        .withColumn("at", F.unix_micros(TIME))
+        .withColumn("block", F.col("at") - F.pmod("at", F.lit(width)))
+    )
+    # each moment also asks the block before for its sums from the moment less the width
+    asks = moments.withColumns(
+        {
+            **{name: F.lit(None).cast(moments.schema[name].dataType) for name in names},
+            "at": F.col("at") - width,
+            "block": F.col("block") - width,
+        }
     )
-    chunks = F.when(
-        F.col("micros") + F.lit(back) >= F.col("next_chunk"), F.array("own_chunk", "next_chunk")
-    ).otherwise(F.array("own_chunk"))
-    frame = (
-        Window.partitionBy(*keys, "chunk").orderBy("micros").rangeBetween(-back, Window.currentRow)
+    rows = moments.withColumn("asks", F.lit(0)).unionByName(asks.withColumn("asks", F.lit(1)))
+    block = Window.partitionBy(*keys, "block")
+    running = (Window.unboundedPreceding, Window.currentRow)
+    ahead = block.orderBy("at", "asks").rowsBetween(*running)
+    back = block.orderBy(F.col("at").desc(), "asks").rowsBetween(*running)
+    sums = rows.select(
+        *keys,
+        TIME,
+        F.when(F.col("asks") == 0, F.col("readings")).alias("readings"),
+        *(
+            F.when(F.col("asks") == 1, F.sum(name).over(back)).otherwise(F.sum(name).over(ahead)).alias(name)
+            for name in names
+        ),
     )
-    return (
-        moments.withColumn("chunk", F.explode(chunks))
-        .withColumns(
-            {
-                rolling_name(metric): F.try_divide(
-                    F.sum(f"sum_{metric}").over(frame), F.sum(f"n_{metric}").over(frame)
-                )
-                for metric in metrics
-            }
-        )
-        .filter(F.col("chunk") == F.col("own_chunk"))
-        .select(*keys, TIME, "readings", *(rolling_name(metric) for metric in metrics))
+    return sums.groupBy(*keys, TIME).agg(
+        F.max("readings").alias("readings"),
+        *(average_of_parts(metric).alias(rolling_name(metric)) for metric in metrics),
     )
 
 
@@ -67,14 +73,13 @@ def rolling_averages(
     seconds: int = AVERAGE_SECONDS,
     metrics: tuple[str, ...] = METRICS,
     keys: tuple[str, ...] = (),
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add to each reading the averages of the ``seconds`` up to and including it.
 
     Readings without a time, or without a key, keep NULL averages.
     """
     lookup = moment_averages(readings, seconds, metrics, keys)
-    return attach_by_key(readings, lookup, [*keys, TIME], "readings", broadcast_rows)
+    return attach_by_key(readings, lookup, [*keys, TIME], "readings")
 
 
 def sliding_averages(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
@@ -109,20 +110,22 @@ def anomaly_rate_of(summary: DataFrame) -> DataFrame:
     )
 
 
-def fill_gaps(rate: DataFrame, *, seconds: int = RATE_SECONDS) -> DataFrame:
-    """Add the missing windows between the first and the last one, with count 0.
+def fill_gaps(
+    rate: DataFrame, first: dt.datetime, last: dt.datetime, *, seconds: int = RATE_SECONDS
+) -> DataFrame:
+    """Add the missing windows from that of ``first`` to that of ``last``, with count 0.
 
-    The window starts come from a distributed range, so the length of the time
-    span never sits in one row or one task. A single far-off time stretches the
-    span; use ``retain`` before where such times occur.
+    The window starts come from a distributed range, so the length of the time span
+    never sits in one row or one task. The caller names the ends, so a stray time cannot
+    stretch the output; a window outside of them raises ``ValueError``.
     """
     rate = materialize(rate, "rate")
-    micros = F.unix_micros("window_start")
-    ends = rate.agg(F.min(micros).alias("first"), F.max(micros).alias("last")).first()
-    if ends["first"] is None:
-        return rate
     step = seconds * 1_000_000
-    starts = rate.sparkSession.range(ends["first"], ends["last"] + step, step).select(
+    low, high = (_micros(end) // step * step for end in (first, last))
+    outside = rate.where(~F.unix_micros("window_start").between(low, high)).first()
+    if outside is not None:
+        raise ValueError(f"a window at {outside['window_start']} is outside of {first} to {last}")
+    starts = rate.sparkSession.range(low, high + step, step).select(
         F.timestamp_micros("id").alias("window_start")
     )
     return starts.join(rate, "window_start", "left").select(
@@ -132,6 +135,12 @@ def fill_gaps(rate: DataFrame, *, seconds: int = RATE_SECONDS) -> DataFrame:
     )
 
 
+def _micros(time: dt.datetime) -> int:
+    if time.tzinfo is None:
+        time = time.replace(tzinfo=dt.timezone.utc)
+    return (time - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+
+
 def temperature_trend(readings: DataFrame) -> DataFrame:
     """Average temperature per moment; readings without a time form one group.
 

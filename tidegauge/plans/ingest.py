@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 
 from tidegauge.sinks.tables import counted, write_json_lines
@@ -15,8 +17,12 @@ def convert_drop(spark: SparkSession, csv_path: str, json_path: str) -> int:
     return seen.get["rows"]
 
 
-def load_bronze(spark: SparkSession, json_path: str, bronze_path: str) -> int:
-    """Append JSON lines to the raw layer; returns the number of lines."""
+def load_bronze(spark: SparkSession, json_path: str, bronze_path: str, load_id: str | None = None) -> int:
+    """Add a folder of JSON lines to the raw layer; returns the number of lines.
+
+    Loading the same folder, or with the same ``load_id``, again replaces its rows.
+    """
     lines, seen = counted(read_json_lines(spark, json_path), "load_bronze")
-    write_bronze(lines, bronze_path)
+    name = load_id or hashlib.sha256(json_path.rstrip("/").encode()).hexdigest()[:16]
+    write_bronze(lines, bronze_path, name)
     return seen.get["rows"]

@@ -28,9 +28,9 @@ from tidegauge.schema import (
     TIME,
     window_average,
 )
-from tidegauge.sinks.tables import overwrite_table, write_run
+from tidegauge.sinks.tables import overwrite_table, write_days
 from tidegauge.sources.files import bronze_records, load_table
-from tidegauge.sources.workspace import materialize
+from tidegauge.sources.workspace import Scratch, materialize
 
 WINDOW_AVERAGES = [window_average(metric) for metric in METRICS]
 
@@ -45,23 +45,34 @@ class Readings:
 
     clean: DataFrame
     closed: str = "both"
+    scratch: Scratch | None = None
 
     @classmethod
-    def from_raw(cls, raw: DataFrame, keep: tuple[str, ...] = (), closed: str = "both") -> Readings:
+    def from_raw(
+        cls,
+        raw: DataFrame,
+        keep: tuple[str, ...] = (),
+        closed: str = "both",
+        scratch: Scratch | None = None,
+    ) -> Readings:
+        """``scratch`` takes the intermediate tables, and whoever made it closes it."""
         check_closed(closed)
-        return cls(clean_readings(raw, keep), closed)
+        return cls(clean_readings(raw, keep), closed, scratch)
+
+    def _stored(self, df: DataFrame, label: str) -> DataFrame:
+        return self.scratch.table(df, label) if self.scratch else materialize(df, label)
 
     @cached_property
     def window_summary(self) -> DataFrame:
         """One row per window; see ``summarize_windows``."""
-        summary = materialize(summarize_windows(self.clean), "summary")
+        summary = self._stored(summarize_windows(self.clean), "summary")
         if self.closed == "left":
             return summary
-        return materialize(with_previous(summary, WINDOW_AVERAGES), "windows")
+        return self._stored(with_previous(summary, WINDOW_AVERAGES), "windows")
 
     @cached_property
     def baseline(self) -> DataFrame:
-        return materialize(baseline_of(self.window_summary, closed=self.closed), "baseline")
+        return self._stored(baseline_of(self.window_summary, closed=self.closed), "baseline")
 
     def _attach(self, columns: list[str]) -> DataFrame:
         windows = self.window_summary.filter(F.col("window_start").isNotNull())
@@ -121,14 +132,20 @@ def refresh_silver(
     raw = load_table(spark, bronze_table)
     if QUARANTINED in raw.columns:
         raw = bronze_records(raw)
-    readings = Readings.from_raw(raw, closed=closed)
-    silver = readings.silver.select(*SILVER_COLUMNS)
-    if partition_by_date:
-        silver = silver.withColumn("event_date", F.to_date(utc_wall_clock(F.col(TIME))))
-        silver = silver.hint("rebalance", "event_date")
-    overwrite_table(
-        silver, silver_table, partition_by=("event_date",) if partition_by_date else ()
-    )
+    scratch = Scratch(spark, "silver")
+    try:
+        # parsed once; both passes read typed columns
+        clean = scratch.table(clean_readings(raw), "clean")
+        check_closed(closed)
+        silver = Readings(clean, closed, scratch).silver.select(*SILVER_COLUMNS)
+        if partition_by_date:
+            silver = silver.withColumn("event_date", F.to_date(utc_wall_clock(F.col(TIME))))
+            silver = silver.hint("rebalance", "event_date")
+        overwrite_table(
+            silver, silver_table, partition_by=("event_date",) if partition_by_date else ()
+        )
+    finally:
+        scratch.close()
 
 
 @dataclass(frozen=True)
@@ -152,23 +169,41 @@ def refresh_gold(
 ) -> None:
     """Rebuild the gold tables from the silver table.
 
-    Silver is read three times, each time with only the columns it takes: for
-    the baseline, for both rollups together, and for the log. The rollups and
-    metrics then come from the small summary. The same ``run_id`` again replaces
-    its log rows.
+    Silver is read twice: for the baseline, with two columns, and to write the flagged
+    readings. The rollups and metrics come from one summary of those, the log from a scan
+    of them with the anomaly flag pushed down. The log holds each anomaly once, by day:
+    the days of this run replace what the log had for them, with ``run_id`` beside.
     """
-    silver = load_table(spark, silver_table)
-    stats = materialize(baseline(silver), "baseline")
-    flagged = flag_anomalies(silver, stats)
-    summary = materialize(summarize_flagged(flagged), "rollup")
-    hourly = device_stats_of(summary, digits=DECIMALS)
-    rate = anomaly_rate_of(summary)
-    overwrite_table(hourly, tables.device_stats)
-    overwrite_table(rate, tables.anomaly_rate)
-    write_run(anomaly_log(flagged), tables.anomaly_log, run_id)
-    if tables.baseline:
-        overwrite_table(stats, tables.baseline)
-    if tables.metrics:
-        overwrite_table(metric_records(hourly, rate, now), tables.metrics)
-    if tables.flagged:
-        overwrite_table(flagged, tables.flagged)
+    scratch = Scratch(spark, "gold")
+    try:
+        silver = load_table(spark, silver_table)
+        stats = scratch.table(baseline(silver), "baseline")
+        flagged = flag_anomalies(silver, stats)
+        if tables.flagged:
+            overwrite_table(flagged, tables.flagged)
+            flagged = load_table(spark, tables.flagged)
+        else:
+            flagged = scratch.table(flagged, "flagged")
+        summary = scratch.table(summarize_flagged(flagged), "rollup")
+        hourly = device_stats_of(summary, digits=DECIMALS)
+        rate = anomaly_rate_of(summary)
+        overwrite_table(hourly, tables.device_stats)
+        overwrite_table(rate, tables.anomaly_rate)
+        days = [row[0] for row in summary.select(_day("window_start")).distinct().collect()]
+        log = anomaly_log(flagged).withColumn("run_id", F.lit(run_id))
+        write_days(log.select("*", _day("detected_at")), tables.anomaly_log, [*days, NO_DAY])
+        if tables.baseline:
+            overwrite_table(stats, tables.baseline)
+        if tables.metrics:
+            overwrite_table(metric_records(hourly, rate, now), tables.metrics)
+    finally:
+        scratch.close()
+
+
+#: The log's day of readings without a time.
+NO_DAY = "none"
+
+
+def _day(time: str) -> Column:
+    day = F.to_date(utc_wall_clock(F.col(time))).cast("string")
+    return F.coalesce(day, F.lit(NO_DAY)).alias("event_day")

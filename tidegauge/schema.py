@@ -27,6 +27,8 @@ SENSOR_LIMITS = {"temperature": (-50.0, 100.0), "humidity": (0.0, 100.0)}
 TIME = "event_time"
 CORRUPT = "_corrupt_record"
 QUARANTINED = "quarantined"
+LOAD = "load_id"
+EXTRA = "_extra"
 
 
 def short(metric: str) -> str:

@@ -45,6 +45,32 @@ def overwrite_table(
     df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name, format=fmt)
 
 
+def write_days(df: DataFrame, name: str, days: list[str], day_column: str = "event_day") -> None:
+    """Put the rows of whole days into a log table in place of what it had for them.
+
+    ``days`` are all days that were computed anew, also those without a row now; rows of
+    other days stay. So a run over all of history logs nothing twice.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        df.write.partitionBy(day_column).saveAsTable(name, format="parquet")
+        return
+    columns = spark.read.table(name).columns
+    if set(columns) != set(df.columns):
+        raise ValueError(f"{name} has columns {columns}, not {df.columns}")
+    there = {row[0] for row in df.select(day_column).distinct().collect()}
+    stored = {row[0] for row in spark.read.table(name).select(day_column).distinct().collect()}
+    mode = "spark.sql.sources.partitionOverwriteMode"  # an insert takes no option for it
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*columns).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
+    for day in sorted(stored & set(days) - there):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({day_column} = '{day}')")
+
+
 def write_run(df: DataFrame, name: str, run_id: str, run_column: str = "run_id") -> None:
     """Add one run's rows to a log table; the same run again replaces its rows."""
     spark = df.sparkSession

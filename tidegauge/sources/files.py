@@ -2,13 +2,44 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.functions import clean_names
-from tidegauge.schema import CORRUPT, QUARANTINED, RAW_SCHEMA
+from tidegauge.schema import CORRUPT, EXTRA, LOAD, QUARANTINED, RAW_SCHEMA
+
+
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """``source_file, header`` of all CSV files of a drop folder: the first line with text."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    lines = lines.select(
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+        "value",
+    )
+    first = F.min_by("value", F.struct("start", "place"))
+    return lines.where(F.trim("value") != "").groupBy("source_file").agg(first.alias("header"))
+
+
+def _names(header: str) -> list[str]:
+    return next(csv.reader([header.lstrip("\ufeff")]))
+
+
+def _readable(names: list[str], schema: T.StructType) -> bool:
+    return len(set(names)) == len(names) and not set(names).isdisjoint(schema.fieldNames())
+
+
+def odd_csv_files(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> list[str]:
+    """The files of a drop folder that no column can be read from by name."""
+    rows = csv_headers(spark, path).collect()
+    return sorted(row.source_file for row in rows if not _readable(_names(row.header), schema))
 
 
 def read_csv_drop(
@@ -17,22 +48,64 @@ def read_csv_drop(
     schema: T.StructType = RAW_SCHEMA,
     *,
     multiline: bool = True,
+    extras: bool = False,
+    source: bool = False,
 ) -> DataFrame:
-    """All CSV files of a drop folder, every column as text.
-
-    Short rows are filled with NULL, extra fields dropped, blank lines skipped.
-    A file whose header does not match raises instead of shifting values.
-    ``multiline`` keeps quoted line breaks but makes each file one task; turn it
-    off for huge files without such breaks, which can then be split.
+    """All CSV files of a drop folder, every column as text, found by the header's names.
+
+    Files may have their columns in any order. A column that a file lacks is NULL; a file
+    without any of them, or with a name twice, is left to :func:`odd_csv_files` and does
+    not stop the others. Short rows are filled with NULL, blank lines skipped. ``extras``
+    adds two columns that lose nothing: ``_extra``, a JSON object of the columns that are
+    not in the schema, and ``_corrupt_record``, the whole line of a row with too few or
+    too many fields. ``source`` adds ``source_file``. ``multiline`` keeps quoted line breaks but makes each file one task;
+    turn it off for huge files without such breaks, which can then be split.
+
+    The headers take one more scan of the folder as text; the list of files, which Spark's
+    own listing holds as well, is grouped on the driver.
     """
-    return (
-        spark.read.schema(schema)
+    files_of: dict[str, list[str]] = {}
+    for row in csv_headers(spark, path).collect():
+        files_of.setdefault(row.header, []).append(unquote(row.source_file))
+    added = (*((EXTRA, CORRUPT) if extras else ()), *(("source_file",) if source else ()))
+    parts = [
+        _with_header(spark, paths, _names(header), schema, multiline, added)
+        for header, paths in sorted(files_of.items())
+        if _readable(_names(header), schema)
+    ]
+    if not parts:
+        return spark.createDataFrame([], ", ".join(f"{name} string" for name in (*schema.fieldNames(), *added)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _with_header(
+    spark: SparkSession,
+    paths: list[str],
+    names: list[str],
+    schema: T.StructType,
+    multiline: bool,
+    added: tuple[str, ...],
+) -> DataFrame:
+    fields = [T.StructField(name, T.StringType()) for name in (*names, CORRUPT)]
+    rows = (
+        spark.read.schema(T.StructType(fields))
         .option("header", True)
-        .option("enforceSchema", False)
         .option("multiLine", multiline)
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True)
-        .csv(path)
+        .csv(paths)
     )
+    columns = [
+        (F.col(f"`{name}`") if name in names else F.lit(None).cast("string")).alias(name)
+        for name in schema.fieldNames()
+    ]
+    if EXTRA in added:
+        others = [F.col(f"`{name}`").alias(name) for name in names if name not in schema.fieldNames()]
+        extra = F.to_json(F.struct(*others)) if others else F.lit(None).cast("string")
+        columns += [extra.alias(EXTRA), F.col(CORRUPT)]
+    if "source_file" in added:
+        columns.append(file_path().alias("source_file"))
+    return rows.select(*columns)
 
 
 def file_path() -> Column:
@@ -41,8 +114,8 @@ def file_path() -> Column:
 
 
 def decode_key(key: Column) -> Column:
-    """Undo the URL escapes of an object key; NULL for a broken escape."""
-    return F.try_url_decode(key)
+    """Undo the URL escapes of an object key; a broken escape stays as it is."""
+    return F.try_url_decode(F.regexp_replace(key, "%(?![0-9A-Fa-f]{2})", "%25"))
 
 
 def count_rows_per_file(df: DataFrame) -> DataFrame:
@@ -51,7 +124,8 @@ def count_rows_per_file(df: DataFrame) -> DataFrame:
     The file path is the one column the scan has to produce, and the counts are
     combined before the shuffle.
     """
-    return df.groupBy(file_path().alias("source_file")).agg(F.count("*").alias("records"))
+    path = F.col("source_file") if "source_file" in df.columns else file_path()
+    return df.groupBy(path.alias("source_file")).agg(F.count("*").alias("records"))
 
 
 def summarize_ingest(counts: DataFrame) -> DataFrame:
@@ -70,10 +144,14 @@ def json_schema(schema: T.StructType = RAW_SCHEMA) -> T.StructType:
 def read_json_lines(
     spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA
 ) -> DataFrame:
-    """JSON lines with a fixed schema; unreadable lines land in ``_corrupt_record``."""
+    """JSON lines of a folder and all folders in it, with a fixed schema.
+
+    Unreadable lines land in ``_corrupt_record``.
+    """
     return (
         spark.read.schema(json_schema(schema))
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("recursiveFileLookup", True)
         .json(path)
     )
 
@@ -89,18 +167,25 @@ def mark_quarantined(parsed: DataFrame) -> DataFrame:
     return renamed.withColumn(QUARANTINED, F.col(CORRUPT).isNotNull())
 
 
-def write_bronze(parsed: DataFrame, path: str) -> None:
-    """Append raw records and unreadable lines, each in a partition of its own.
+def write_bronze(parsed: DataFrame, path: str, load_id: str) -> None:
+    """Add raw records and unreadable lines of one load, each in a partition of its own.
 
-    Both come out of a single parse, and Spark does not let raw JSON files be
-    asked for their unreadable lines alone.
+    The same load again replaces its rows. Both kinds come out of a single parse, and
+    Spark does not let raw JSON files be asked for their unreadable lines alone.
     """
-    mark_quarantined(parsed).write.mode("append").partitionBy(QUARANTINED).parquet(path)
+    (
+        mark_quarantined(parsed)
+        .withColumn(LOAD, F.lit(load_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(LOAD, QUARANTINED)
+        .parquet(path)
+    )
 
 
 def bronze_records(bronze: DataFrame) -> DataFrame:
     """Readable records; only their partition is read."""
-    return bronze.filter(~_is_quarantined()).drop(QUARANTINED, CORRUPT)
+    return bronze.filter(~_is_quarantined()).drop(QUARANTINED, CORRUPT, LOAD)
 
 
 def quarantined_lines(bronze: DataFrame) -> DataFrame:

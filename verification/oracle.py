@@ -86,9 +86,6 @@ flagged AS (
                  AS INTEGER) AS overall_anomaly
   FROM marked)"""
 
-# A stream scores its readings before any join, so each counts once.
-_FLAGGED_ONCE = _FLAGGED.replace("joined.*", "clean.*").replace("FROM joined", "FROM clean")
-
 _HOURLY = f"""
 hourly AS (
   SELECT time_bucket(INTERVAL '1 hour', event_time) AS window_start,
@@ -129,10 +126,13 @@ _BASELINE = (
     f" {_round('mean_humidity')} AS mean_humidity, {_round('std_humidity')} AS std_humidity"
     " FROM stats"
 )
+_IF_GOOD = "CASE WHEN raw.temperature_text <> 'bad' OR raw.temperature_text IS NULL THEN typed.{m} END AS {m}"
 _GOOD_AND_BAD = (
-    "SELECT CASE WHEN temperature_text = 'bad' THEN 'bad' ELSE 'good' END AS kind,"
-    " light_text AS light FROM raw"
+    "SELECT CASE WHEN raw.temperature_text = 'bad' THEN 'bad' ELSE 'good' END AS kind, "
+    + ", ".join(_IF_GOOD.format(m=m) for m in ("time", *METRICS) if m != "light")
+    + ", typed.light FROM raw JOIN typed USING (event_id)"
 )
+_BROKEN = "CASE WHEN event_id % 2 = 0 THEN '%zz-100%' ELSE '' END"
 _HOURLY_ROWS = "SELECT * FROM hourly"
 _REASONS = ", ".join(
     f"CASE WHEN {m} IS NULL THEN '{m} missing' WHEN {m} < 0 THEN '{m} below 0' END"
@@ -225,7 +225,6 @@ def _metric(name: str, value: str, source: str) -> str:
     )
 
 
-_CLOSED = "window_end <= (SELECT max(event_time) FROM clean) - INTERVAL '10 minutes'"
 _FIRST_20 = " ORDER BY window_start LIMIT 20"
 
 ORACLE: dict[str, str] = {
@@ -237,13 +236,22 @@ ORACLE: dict[str, str] = {
     ),
     "ingest_summary": "SELECT CAST(1 AS INTEGER) AS has_files, count(*) AS records FROM events",
     "decode_keys": (
-        "SELECT event_id, concat_ws('/', 'drop a+b', event_type, props, event_id) AS object_key"
-        " FROM events"
+        "SELECT event_id, concat_ws('/', 'drop a+b', event_type, props, event_id)"
+        f" || {_BROKEN} AS object_key FROM events"
     ),
     "csv_to_json_lines": _sql((_RAW, _TYPED), _TYPED_VALUES),
     "bronze_read": _sql((_RAW, _TYPED), _TYPED_VALUES),
-    "bronze_quarantine": _sql((_RAW,), _GOOD_AND_BAD),
-    "bronze_stream": _sql((_RAW,), _GOOD_AND_BAD),
+    "bronze_read_nested": _sql((_RAW, _TYPED), _TYPED_VALUES),
+    "load_twice": _sql((_RAW, _TYPED), _TYPED_VALUES),
+    "ingest_csv_mixed_headers": _sql(
+        (_RAW, _TYPED),
+        f"SELECT time, {_each('{m}', METRICS[:-1])},"
+        " CASE WHEN event_id % 3 <> 2 THEN loudness END AS loudness,"
+        " CASE WHEN event_id % 3 = 1 THEN 'b,' || event_id END AS battery FROM typed",
+    ),
+    "bronze_quarantine": _sql((_RAW, _TYPED), _GOOD_AND_BAD),
+    "bronze_stream": _sql((_RAW, _TYPED), _GOOD_AND_BAD),
+    "bronze_restarted": _sql((_RAW, _TYPED), _GOOD_AND_BAD),
     "ndjson_roundtrip": _sql(
         (_RAW, _TYPED),
         "SELECT CAST(CASE WHEN raw.time IS NULL THEN 1 ELSE 0 END"
@@ -280,8 +288,8 @@ ORACLE: dict[str, str] = {
     "rolling_day_by_key": _sql(
         _TO_CLEAN,
         "SELECT event_id, user_id, "
-        + _rolling("86400 seconds", "PARTITION BY user_id", "temperature")
-        + " AS rolling_temp FROM clean",
+        + _each(_rolling("86400 seconds", "PARTITION BY user_id") + " AS rolling_{s}")
+        + " FROM clean",
     ),
     "sliding_5min": _sql(
         _TO_CLEAN,
@@ -292,7 +300,11 @@ ORACLE: dict[str, str] = {
         " - to_minutes(CAST(back AS INTEGER)) AS window_start"
         " FROM clean, range(5) AS steps(back) WHERE event_time IS NOT NULL) GROUP BY window_start",
     ),
-    "key_order": _sql(_TO_CLEAN, "SELECT event_id, user_id, event_time FROM clean"),
+    "key_order": _sql(
+        _TO_CLEAN,
+        "SELECT user_id, event_time, lag(event_time) OVER"
+        " (PARTITION BY user_id ORDER BY event_time NULLS FIRST) AS previous_time FROM clean",
+    ),
     "global_baseline": _sql((*_TO_JOINED, _STATS), _BASELINE),
     "global_baseline_from_windows": _sql((*_TO_JOINED, _STATS), _BASELINE),
     "anomaly_flags": _sql(
@@ -320,14 +332,36 @@ ORACLE: dict[str, str] = {
         " FROM joined, stats",
     ),
     "anomaly_log": _sql(_TO_GOLD, "SELECT * FROM log"),
-    "stream_gold": _sql(_TO_GOLD, "SELECT * FROM log"),
+    "refreshed_log": _sql(_TO_GOLD, "SELECT * FROM log"),
+    "stream_log": _sql(_TO_GOLD, "SELECT * FROM log"),
+    "stream_gold": _sql(
+        _TO_FLAGGED,
+        _SILVER.replace("event_id, ", "") + ", temp_anomaly, humidity_anomaly, overall_anomaly FROM flagged",
+    ),
+    "merged_table": _sql(
+        _TO_CLEAN, "SELECT event_id, CAST(NULL AS DOUBLE) AS temperature, humidity FROM clean"
+    ),
+    "dq_tables": _sql(
+        _TO_GOLD,
+        _UNION.join(
+            (
+                "SELECT unnest(['row_count', 'schema_columns', 'anomaly_flags', 'temperature_range',"
+                " 'humidity_range', 'duplicate_rows']) AS \"check\", 'no_such_table' AS target,"
+                " CAST(NULL AS BIGINT) AS bad_rows, 'skipped' AS status",
+                _dq("row_count", "hourly", _EMPTY, "hourly"),
+                _dq("schema_columns", "hourly", "0", "stats"),
+                _dq("unique_window", "hourly", "count(*)", _repeats("window_start", "hourly")),
+                _dq("duplicate_rows", "hourly", "sum(n)", _copies("hourly", "hourly")),
+            )
+        ),
+    ),
     "anomaly_rate": _sql(_TO_GOLD, "SELECT * FROM rate"),
     "anomaly_rate_filled": _sql(
         _TO_GOLD,
         "SELECT spine.window_start, spine.window_start + INTERVAL '10 minutes' AS window_end,"
         " coalesce(anomaly_count, 0) AS anomaly_count FROM"
-        " (SELECT unnest(generate_series((SELECT min(window_start) FROM rate),"
-        " (SELECT max(window_start) FROM rate), INTERVAL '10 minutes')) AS window_start) AS spine"
+        " (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-01',"
+        " INTERVAL '10 minutes')) AS window_start) AS spine"
         " LEFT JOIN rate USING (window_start)",
     ),
     "alert_spikes": _sql(
@@ -376,9 +410,24 @@ ORACLE: dict[str, str] = {
         " UNION ALL SELECT 'valid', count(*) FROM clean"
         " UNION ALL SELECT 'silver', count(*) FROM joined",
     ),
-    "dq_row_count": _sql(_TO_GOLD, _dq("row_count", "device_stats", _EMPTY, "hourly")),
-    "dq_schema": _sql(_TO_FLAGGED, _dq("schema_columns", "flagged", "0", "stats")),
-    "dq_flags": _sql(_TO_FLAGGED, _dq("anomaly_flags", "flagged", _DQ_FLAGS, "flagged")),
+    "dq_row_count": _sql(
+        _TO_GOLD,
+        _dq("row_count", "device_stats", _EMPTY, "hourly")
+        + _UNION
+        + _dq("row_count", "nothing", _EMPTY, "hourly WHERE total_anomalies < 0"),
+    ),
+    "dq_schema": _sql(
+        _TO_FLAGGED,
+        _dq("schema_columns", "flagged", "0", "stats")
+        + _UNION
+        + _dq("schema_columns", "less", "2", "stats"),
+    ),
+    "dq_flags": _sql(
+        _TO_FLAGGED,
+        _dq("anomaly_flags", "flagged", _DQ_FLAGS, "flagged")
+        + _UNION
+        + _dq("anomaly_flags", "doubled", "count(*) FILTER (temp_anomaly = 1)", "flagged"),
+    ),
     "dq_ranges": _sql(
         _TO_FLAGGED,
         _UNION.join(_dq(check, "flagged", bad, "flagged") for check, bad in _DQ_RANGES),
@@ -420,12 +469,8 @@ ORACLE: dict[str, str] = {
     ),
     "stream_tumbling": _sql(
         (*_TO_CLEAN, _WIN),
-        f"SELECT window_start, window_end, {_AVERAGES_5MIN}, readings FROM win WHERE {_CLOSED}",
-    ),
-    "stream_device_stats": _sql(
-        (*_TO_JOINED, _STATS, _FLAGGED_ONCE, _HOURLY), f"SELECT * FROM hourly WHERE {_CLOSED}"
-    ),
-    "stream_anomaly_rate": _sql(
-        (*_TO_JOINED, _STATS, _FLAGGED_ONCE, _RATE), f"SELECT * FROM rate WHERE {_CLOSED}"
+        f"SELECT window_start, window_end, {_AVERAGES_5MIN}, readings FROM win",
     ),
+    "stream_device_stats": _sql(_TO_GOLD, _HOURLY_ROWS),
+    "stream_anomaly_rate": _sql(_TO_GOLD, "SELECT * FROM rate"),
 }

@@ -8,9 +8,10 @@ because the last bit of a float average depends on the order of addition.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,16 +20,21 @@ from tidegauge.operators import metrics as metric_ops
 from tidegauge.operators import quality, rolling, rollups
 from tidegauge.operators.anomalies import (
     anomaly_log,
-    flag_anomalies,
     flag_anomalies_by_key,
     zscores,
 )
 from tidegauge.operators.baseline import baseline
 from tidegauge.operators.cleaning import clean_readings, rejected, to_typed
 from tidegauge.operators.windows import tumbling_averages
-from tidegauge.plans.checks import check_flagged, check_rollup
-from tidegauge.plans.ingest import convert_drop
-from tidegauge.plans.layers import Readings, layer_counts
+from tidegauge.plans.checks import check_flagged, check_rollup, check_tables
+from tidegauge.plans.ingest import convert_drop, load_bronze
+from tidegauge.plans.layers import (
+    GoldTables,
+    Readings,
+    layer_counts,
+    refresh_gold,
+    refresh_silver,
+)
 from tidegauge.schema import (
     CORRUPT,
     FLAGGED_COLUMNS,
@@ -40,7 +46,7 @@ from tidegauge.schema import (
     short,
     window_average,
 )
-from tidegauge.sinks.tables import to_json_lines, write_json_lines
+from tidegauge.sinks.tables import overwrite_table, to_json_lines, write_json_lines
 from tidegauge.sources import files
 from tidegauge.sources.event_readings import readings_from_events
 from tidegauge.sources.workspace import materialize, scratch_path
@@ -52,6 +58,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 NOW = dt.datetime(2024, 1, 22, tzinfo=dt.timezone.utc)
 ALERT_THRESHOLD = 2
 RETAIN_DAYS = 7
+RATE_SPAN = (dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1))
 IDENTITY = ("event_id", "user_id")
 WINDOW_AVERAGES = tuple(window_average(metric) for metric in METRICS)
 ROLLUP_AVERAGES = tuple(rollup_average(metric) for metric in METRICS)
@@ -115,7 +122,25 @@ def _dropped_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("ts").alias("day"), *RAW_COLUMNS
     )
     dropped.write.partitionBy("day").option("header", True).csv(path)
-    return files.read_csv_drop(spark, path)
+    return files.read_csv_drop(spark, path, source=True)
+
+
+def ingest_csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drops with columns in another order, one more or one fewer, and an odd file."""
+    root = scratch_path(spark, "mixed")
+    raw = raw_readings(spark, sf_dir, ("event_id",))
+    drops = (
+        raw.select(*RAW_COLUMNS, "event_id"),
+        raw.select("event_id", *reversed(RAW_COLUMNS), F.concat(F.lit("b,"), "event_id").alias("Battery")),
+        raw.select("event_id", *RAW_COLUMNS[:-1]),
+    )
+    for i, drop in enumerate(drops):
+        part = drop.where(F.pmod("event_id", F.lit(3)) == i).drop("event_id")
+        part.write.option("header", True).csv(f"{root}/{i}")
+    spark.range(3).select(F.col("id").alias("x")).write.option("header", True).csv(f"{root}/odd")
+    rows = files.read_csv_drop(spark, root, extras=True)
+    battery = F.get_json_object("_extra", "$.Battery").alias("battery")
+    return to_typed(rows.withColumn("battery", battery), ("battery",)).drop(TIME)
 
 
 def ingest_file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,9 +157,12 @@ def ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Object keys with blanks, braces and quotes, encoded and decoded."""
+    """Object keys with blanks, braces and quotes, encoded and decoded; some are broken."""
     key = F.concat_ws("/", F.lit("drop a+b"), "event_type", "props", "event_id")
-    encoded = events(spark, sf_dir).select("event_id", F.url_encode(key).alias("encoded"))
+    broken = F.when(F.col("event_id") % 2 == 0, F.lit("%zz-100%")).otherwise(F.lit(""))
+    encoded = events(spark, sf_dir).select(
+        "event_id", F.concat(F.url_encode(key), broken).alias("encoded")
+    )
     return encoded.select("event_id", files.decode_key(F.col("encoded")).alias("object_key"))
 
 
@@ -145,6 +173,26 @@ def bronze_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_typed(files.good_records(files.read_json_lines(spark, path))).drop(TIME)
 
 
+def bronze_read_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines in dated sub-folders."""
+    path = scratch_path(spark, "nested")
+    raw = readings_from_events(events(spark, sf_dir), ("ts",))
+    days = raw.select(F.to_date("ts").alias("day"), F.hour("ts").alias("hour"), *RAW_COLUMNS)
+    record = F.to_json(F.struct(*RAW_COLUMNS), {"ignoreNullFields": "false"})
+    lines = days.select("day", "hour", record.alias("value"))
+    lines.repartition("day").write.partitionBy("day", "hour").text(path)
+    return to_typed(files.good_records(files.read_json_lines(spark, path))).drop(TIME)
+
+
+def load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder loaded into the raw layer twice holds each reading once."""
+    source, target = scratch_path(spark, "lines"), scratch_path(spark, "bronze")
+    write_json_lines(raw_readings(spark, sf_dir), source)
+    for _ in range(2):
+        load_bronze(spark, source, target)
+    return to_typed(files.bronze_records(spark.read.parquet(target))).drop(TIME)
+
+
 def _lines_with_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines in which every reading with an unreadable temperature is broken."""
     line = F.col("value")
@@ -157,10 +205,12 @@ def _lines_with_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _good_and_bad(stored: DataFrame) -> DataFrame:
     inside = r'"Light":"(\d+)"'
     good, bad = files.bronze_records(stored), files.quarantined_lines(stored)
-    return good.select(F.lit("good").alias("kind"), F.col("Light").alias("light")).unionByName(
-        bad.select(
-            F.lit("bad").alias("kind"), F.regexp_extract("line", inside, 1).alias("light")
-        )
+    light = F.regexp_extract("line", inside, 1).cast("double").alias("light")
+    return (
+        to_typed(good)
+        .drop(TIME)
+        .withColumn("kind", F.lit("good"))
+        .unionByName(bad.select(F.lit("bad").alias("kind"), light), allowMissingColumns=True)
     )
 
 
@@ -168,7 +218,7 @@ def bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unreadable lines are set aside whole, the others kept."""
     source, target = scratch_path(spark, "lines"), scratch_path(spark, "bronze")
     _lines_with_broken(spark, sf_dir).write.text(source)
-    files.write_bronze(files.read_json_lines(spark, source), target)
+    files.write_bronze(files.read_json_lines(spark, source), target, "only")
     return _good_and_bad(spark.read.parquet(target))
 
 
@@ -238,7 +288,8 @@ def rolling_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rolling_day_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = readings(spark, sf_dir).clean
     moving = rolling.rolling_averages(clean, seconds=24 * 3600, keys=("user_id",))
-    return shown(moving.select("event_id", "user_id", "rolling_temp"), ("rolling_temp",))
+    averages = tuple(rolling.rolling_name(metric) for metric in METRICS)
+    return shown(moving.select("event_id", "user_id", *averages), averages)
 
 
 def sliding_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,10 +299,13 @@ def sliding_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def key_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings in time order per device."""
+    """Readings in time order per device, each with the time of the one before it."""
     clean = readings(spark, sf_dir).clean
     ordered = metric_ops.in_key_order(clean, ["user_id"])
-    return shown(ordered.select("event_id", "user_id", TIME))
+    place = F.monotonically_increasing_id().alias("place")
+    stored = materialize(ordered.select("user_id", TIME, place), "ordered")
+    before = F.lag(TIME).over(Window.partitionBy("user_id").orderBy("place"))
+    return shown(stored.select("user_id", TIME, before.alias("previous_time")))
 
 
 # --- gold -------------------------------------------------------------------------
@@ -309,7 +363,7 @@ def anomaly_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def anomaly_rate_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(rollups.fill_gaps(_rate(spark, sf_dir)))
+    return shown(rollups.fill_gaps(_rate(spark, sf_dir), *RATE_SPAN))
 
 
 def alert_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,17 +432,26 @@ def counts_per_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = rollups.device_stats(readings(spark, sf_dir).scored, ordered=False)
-    return quality.run_checks(stats, "device_stats", [quality.not_empty()])
+    nothing = stats.where(F.col("total_anomalies") < 0)
+    return quality.run_checks(stats, "device_stats", [quality.not_empty()]).unionByName(
+        quality.run_checks(nothing, "nothing", [quality.not_empty()])
+    )
 
 
 def dq_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = readings(spark, sf_dir).flagged
-    return quality.run_checks(flagged, "flagged", [quality.has_columns(flagged, FLAGGED_COLUMNS)])
+    less = flagged.drop("light", "overall_anomaly")
+    return quality.run_checks(
+        flagged, "flagged", [quality.has_columns(flagged, FLAGGED_COLUMNS)]
+    ).unionByName(quality.run_checks(less, "less", [quality.has_columns(less, FLAGGED_COLUMNS)]))
 
 
 def dq_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = readings(spark, sf_dir).scored
-    return quality.run_checks(scored, "flagged", [quality.flags_are_binary()])
+    doubled = scored.withColumn("temp_anomaly", F.col("temp_anomaly") * 2)
+    return quality.run_checks(scored, "flagged", [quality.flags_are_binary()]).unionByName(
+        quality.run_checks(doubled, "doubled", [quality.flags_are_binary()])
+    )
 
 
 def dq_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -454,62 +517,126 @@ def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _good_and_bad(spark.read.parquet(target))
 
 
-def _clean_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = scratch_path(spark, "feed")
-    write_json_lines(raw_readings(spark, sf_dir), source)
-    stream = bronze_stream_ops.stream_json_lines(spark, source)
-    return clean_readings(stream.drop(CORRUPT))
+def bronze_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that looks for files every two seconds, stopped and started again."""
+    source, target, checkpoint = (
+        scratch_path(spark, label) for label in ("feed", "bronze", "commits")
+    )
+    lines = _lines_with_broken(spark, sf_dir)
+    for part in range(2):
+        half = lines.where(F.pmod(F.xxhash64("value"), F.lit(2)) == part)
+        half.write.mode("append").text(source)
+        query = bronze_stream_ops.start_bronze(
+            bronze_stream_ops.stream_json_lines(spark, source), checkpoint=checkpoint, path=target
+        )
+        query.processAllAvailable()
+        query.stop()
+    return _good_and_bad(spark.read.parquet(target))
 
 
-def _stored(spark: SparkSession, stream: DataFrame) -> DataFrame:
-    target, checkpoint = scratch_path(spark, "stored"), scratch_path(spark, "commits")
-    _finish(
-        bronze_stream_ops.start_append(
-            stream, checkpoint=checkpoint, path=target, trigger=bronze_stream_ops.ONCE
+def _streamed(spark: SparkSession, sf_dir: str) -> gold_stream_ops.GoldFolders:
+    """The readings in three micro-batches that are out of order, with one far-off time.
+
+    Each batch holds every third second, so windows fill and edges repeat across batches.
+    """
+    stats = readings(spark, sf_dir).baseline
+    folders = gold_stream_ops.GoldFolders.below(scratch_path(spark, "gold"))
+    source, checkpoint = scratch_path(spark, "feed"), scratch_path(spark, "commits")
+    raw = raw_readings(spark, sf_dir)
+    stray = raw.where("Time is not null").limit(1).withColumn("Time", F.concat("Time", F.lit("000")))
+    part = F.pmod(F.xxhash64(F.col("Time")), F.lit(3))
+    for i in range(3):
+        rows = raw.where(part == i)
+        rows = rows.unionByName(stray) if i == 0 else rows
+        write_json_lines(rows, source, mode="append")
+        stream = bronze_stream_ops.stream_json_lines(spark, source)
+        _finish(
+            gold_stream_ops.start_gold(
+                clean_readings(stream.drop(CORRUPT)),
+                lambda: stats,
+                folders,
+                checkpoint=checkpoint,
+                trigger=bronze_stream_ops.ONCE,
+            )
         )
-    )
-    return spark.read.schema(stream.schema).parquet(target)
+    return folders
+
+
+#: Far-off times lie after this.
+FAR_OFF = "2100-01-01"
 
 
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Window averages of a stream; only windows behind the watermark come out."""
-    late = gold_stream_ops.with_lateness(_clean_stream(spark, sf_dir))
-    return shown(_stored(spark, tumbling_averages(late)), WINDOW_AVERAGES)
+    """Window averages of a stream."""
+    windows = gold_stream_ops.live_windows(spark, _streamed(spark, sf_dir))
+    return shown(windows.where(F.col("window_start") < FAR_OFF), WINDOW_AVERAGES)
 
 
 def stream_device_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly rollup of a stream that is scored against the stored baseline."""
-    stats = readings(spark, sf_dir).baseline
-    scored = flag_anomalies(_clean_stream(spark, sf_dir), stats)
-    late = gold_stream_ops.with_lateness(scored)
-    rollup = rollups.device_stats(late, digits=None, ordered=False)
-    return shown(_stored(spark, rollup), ROLLUP_AVERAGES)
+    """Hourly rollup of a stream."""
+    stats = gold_stream_ops.live_device_stats(spark, _streamed(spark, sf_dir), digits=None)
+    return shown(stats.where(F.col("window_start") < FAR_OFF), ROLLUP_AVERAGES)
 
 
 def stream_anomaly_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anomalies per 10 minutes of a stream."""
-    stats = readings(spark, sf_dir).baseline
-    scored = flag_anomalies(_clean_stream(spark, sf_dir), stats)
-    summary = rollups.summarize_flagged(gold_stream_ops.with_lateness(scored))
-    return shown(_stored(spark, rollups.anomaly_rate_of(summary)))
+    rate = gold_stream_ops.live_anomaly_rate(spark, _streamed(spark, sf_dir))
+    return shown(rate.where(F.col("window_start") < FAR_OFF))
 
 
 def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Join, flags and log per micro-batch of a stream."""
-    stats = readings(spark, sf_dir).baseline
-    folders = gold_stream_ops.GoldFolders(
-        *(scratch_path(spark, label) for label in ("windows", "flagged", "log"))
-    )
-    _finish(
-        gold_stream_ops.start_gold(
-            _clean_stream(spark, sf_dir),
-            lambda: stats,
-            folders,
-            checkpoint=scratch_path(spark, "commits"),
-            trigger=bronze_stream_ops.ONCE,
-        )
-    )
-    return shown(spark.read.parquet(folders.log).drop("batch_id"))
+    """Flagged readings of a stream, with their window averages."""
+    flagged = gold_stream_ops.live_flagged(spark, _streamed(spark, sf_dir))
+    near = flagged.where(F.col(TIME).isNull() | (F.col(TIME) < FAR_OFF))
+    return shown(near, WINDOW_AVERAGES)
+
+
+def stream_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The anomaly log of a stream."""
+    log = gold_stream_ops.live_log(spark, _streamed(spark, sf_dir))
+    return shown(log.where(F.col("detected_at").isNull() | (F.col("detected_at") < FAR_OFF)))
+
+
+# --- tables -----------------------------------------------------------------------
+
+
+def _table(label: str) -> str:
+    return f"verification_{label}_{uuid.uuid4().hex}"
+
+
+def refreshed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: raw to gold tables twice, under two run ids; the log holds each anomaly once."""
+    bronze, silver = _table("bronze"), _table("silver")
+    tables = GoldTables(_table("hourly"), _table("rate"), _table("log"))
+    raw_readings(spark, sf_dir).write.saveAsTable(bronze)
+    refresh_silver(spark, bronze, silver, partition_by_date=True)
+    for run in ("first", "second"):
+        refresh_gold(spark, silver, tables, run)
+    log = spark.read.table(tables.anomaly_log)
+    rows = materialize(log.select("temp_value", "humidity_value", "detected_at", "details"), "log")
+    for name in (bronze, silver, tables.device_stats, tables.anomaly_rate, tables.anomaly_log):
+        spark.sql(f"DROP TABLE {name}")
+    return shown(rows)
+
+
+def merged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written, replaced with other columns, and read back by name."""
+    name = _table("merged")
+    clean = readings(spark, sf_dir).clean
+    overwrite_table(clean.select("event_id", "temperature"), name)
+    overwrite_table(clean.select("event_id", "humidity"), name)
+    rows = materialize(files.load_table(spark, name), "merged")
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
+def dq_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks on a stored rollup; those on a missing table are skipped."""
+    name = _table("hourly")
+    overwrite_table(rollups.device_stats(readings(spark, sf_dir).scored, ordered=False), name)
+    results = materialize(check_tables(spark, "no_such_table", name), "results")
+    spark.sql(f"DROP TABLE {name}")
+    return results.withColumn("target", F.when(F.col("target") == name, "hourly").otherwise(F.col("target")))
 
 
 QUERIES: dict[str, Query] = {
@@ -520,6 +647,9 @@ QUERIES: dict[str, Query] = {
     "ingest_summary": ingest_summary,
     "decode_keys": decode_keys,
     "bronze_read": bronze_read,
+    "bronze_read_nested": bronze_read_nested,
+    "load_twice": load_twice,
+    "ingest_csv_mixed_headers": ingest_csv_mixed_headers,
     "bronze_quarantine": bronze_quarantine,
     "ndjson_roundtrip": ndjson_roundtrip,
     "clean_names": clean_column_names,
@@ -563,6 +693,11 @@ QUERIES: dict[str, Query] = {
     "dq_summary": dq_summary,
     "profile": profile,
     "bronze_stream": bronze_stream,
+    "bronze_restarted": bronze_restarted,
+    "refreshed_log": refreshed_log,
+    "merged_table": merged_table,
+    "dq_tables": dq_tables,
+    "stream_log": stream_log,
     "stream_tumbling": stream_tumbling,
     "stream_device_stats": stream_device_stats,
     "stream_anomaly_rate": stream_anomaly_rate,
