@@ -3,6 +3,7 @@
 import pytest
 
 from tests.helpers import plan
+from tidegauge.sources.workspace import Scratch
 from verification.compare import differences
 from verification.oracle import ORACLE
 from verification.queries import QUERIES
@@ -14,9 +15,22 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+@pytest.fixture
+def written(monkeypatch):
+    """The plans of all intermediate tables, as they are written."""
+    plans, write = [], Scratch.table
+
+    def table(self, df, label):
+        plans.append(plan(df))
+        return write(self, df, label)
+
+    monkeypatch.setattr(Scratch, "table", table)
+    return plans
+
+
 @pytest.mark.parametrize("name", QUERIES)
-def test_query(spark, medium, name):
+def test_query(spark, medium, written, name):
     frame = QUERIES[name](spark, medium)
-    text = plan(frame)
-    assert [operator for operator in SLOW_OPERATORS if operator in text] == []
+    for text in (*written, plan(frame)):
+        assert [operator for operator in SLOW_OPERATORS if operator in text] == []
     assert differences(frame, name, medium) == []
