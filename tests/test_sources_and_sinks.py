@@ -11,7 +11,7 @@ from tidegauge.schema import RAW_COLUMNS, RAW_SCHEMA
 from tidegauge.sinks import tables
 from tidegauge.sources import files
 from tidegauge.sources.event_readings import readings_from_events
-from tidegauge.sources.workspace import Scratch, materialize, shared_folder
+from tidegauge.sources.workspace import Scratch, ending_scratch, materialize, shared_folder
 
 HEADER = ",".join(RAW_COLUMNS) + "\n"
 
@@ -188,6 +188,16 @@ def test_days_of_a_log_are_replaced(spark):
     spark.sql("DROP TABLE day_log")
 
 
+def test_scratch_made_inside_ends(spark):
+    outer = Scratch(spark, "outer")
+    outer.table(spark.range(1).toDF("v"), "a")
+    with ending_scratch():
+        folder = Scratch(spark, "inner").folder
+        materialize(spark.range(1).toDF("v"), "made")
+    assert Path(outer.folder).exists() and not Path(folder).exists()
+    outer.close()
+
+
 def test_scratch_tables_end(spark):
     scratch = Scratch(spark, "ending")
     frame = scratch.table(spark.range(3).toDF("v"), "a")

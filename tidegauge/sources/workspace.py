@@ -10,6 +10,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from py4j.protocol import Py4JError
@@ -40,6 +42,20 @@ def remove_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+_OPEN: list[Scratch] = []
+
+
+@contextmanager
+def ending_scratch() -> Iterator[None]:
+    """Close all scratch folders that are made inside, once nothing lazy reads them."""
+    before = len(_OPEN)
+    try:
+        yield
+    finally:
+        for scratch in _OPEN[before:]:
+            scratch.close()
+
+
 class Scratch:
     """The intermediate tables of one job, below one fresh folder."""
 
@@ -50,6 +66,7 @@ class Scratch:
         where = context._jvm.org.apache.hadoop.fs.Path(self.folder)
         self._system = where.getFileSystem(context._jsc.hadoopConfiguration())
         self._where = where
+        _OPEN.append(self)
         atexit.register(self.close)
 
     def path(self, label: str) -> str:
@@ -72,6 +89,8 @@ class Scratch:
     def close(self) -> None:
         """Remove the folder with all that is left in it."""
         atexit.unregister(self.close)
+        if self in _OPEN:
+            _OPEN.remove(self)
         try:
             self._system.delete(self._where, True)
         except (Py4JError, OSError):
