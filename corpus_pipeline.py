@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.llm import decontaminate, line_templates, mixing, ngram_join, quality_rules
-from tidegauge.sources.workspace import Scratch
+from tidegauge.sources.workspace import Scratch, ending_scratch
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,5 +52,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "corpus")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = scratch.table(stage(spark, docs, sf_dir), name)
+        with ending_scratch():
+            docs = scratch.table(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
