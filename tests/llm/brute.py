@@ -106,7 +106,7 @@ def template_lines(texts: list[str | None], least_docs: int = 3) -> set[str]:
     leaves = defaultdict(list)
     for line, tokens in lines.items():
         if len(tokens) >= 3:
-            leaves[len(tokens), tuple(tokens[:3])].append(line)
+            leaves[len(tokens), tuple(tokens[:4])].append(line)
     template = {line: line for line in lines}
     for leaf, members in leaves.items():
         if len(members) < 2 or len(set().union(*(where[line] for line in members))) < 2:

@@ -26,12 +26,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.frames import by_piece, hash_bitmap, in_bitmap, lookup, with_columns_by_piece
+from tidegauge.llm.frames import by_piece, hash_bitmap, in_bitmap, let, lookup, with_columns_by_piece
 from tidegauge.llm.tokens import AS_IS, ODD, hash_words, list_array, mix, signed, split_words, text_bytes
 from tidegauge.sources.workspace import Scratch
 
 #: Leading tokens on the way to a leaf.
-DEPTH = 3
+DEPTH = 4
 #: Lines of fewer tokens are left alone.
 LEAST_TOKENS = 3
 #: A token is constant if it has this share of the line's usual support.
@@ -171,20 +171,21 @@ def _templates(docs: DataFrame, lines: DataFrame, scratch: Scratch) -> DataFrame
     whole = (
         placed.join(support, ["leaf", "place", "token"])
         .groupBy("line", "leaf")
-        .agg(F.array_sort(F.collect_list(F.struct("place", "token", "support"))).alias("tokens"))
-    )
-    ordered = F.array_sort(F.transform("tokens", lambda x: x["support"]))
-    usual = F.element_at(ordered, (F.size(ordered) / 2).cast("int") + 1)
-    steady = F.transform(
-        "tokens", lambda x: F.when(x["support"] >= STEADY * F.col("usual"), x["token"]).otherwise(F.lit(0))
-    )
-    return (
-        whole.withColumn("usual", usual)
-        .where("usual > 1")
-        .withColumn("steady", steady)
-        .where(F.size(F.filter("steady", lambda x: x != 0)) >= ALIKE * F.size("steady"))
-        .select("line", F.xxhash64("leaf", "steady").alias("template"))
+        .agg(F.sort_array(F.collect_list(F.struct("place", "token", "support"))).alias("tokens"))
     )
+    supports = F.sort_array(F.transform("tokens", lambda x: x["support"]))
+    usual = let(supports, lambda x: F.element_at(x, (F.size(x) / 2).cast("int") + 1))
+
+    def name(usual: Column) -> Column:
+        steady = F.transform("tokens", lambda x: F.when(x["support"] >= STEADY * usual, x["token"]).otherwise(0))
+        return let(steady, lambda kept: F.when((usual > 1) & _alike(kept), F.xxhash64("leaf", kept)))
+
+    named = whole.select("line", let(usual, name).alias("template"))
+    return named.where("template is not null")
+
+
+def _alike(kept: Column) -> Column:
+    return F.size(F.filter(kept, lambda token: token != 0)) >= ALIKE * F.size(kept)
 
 
 def boilerplate(docs: DataFrame, scratch: Scratch, least_docs: int = LEAST_DOCS) -> DataFrame:
