@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 
 from tests.llm import brute
 from tidegauge.llm import frames, tokens
+from tidegauge.sources.workspace import materialize
 
 TEXTS = st.lists(
     st.none() | st.text(alphabet="abAB \t\n\x0b\x1c.é漢", max_size=30), min_size=1, max_size=8
@@ -53,3 +54,20 @@ def test_bitmap(spark):
     assert frames.in_bitmap(bitmap, hashes).all()
     others = np.arange(100, 200, dtype=np.uint64)
     assert not frames.in_bitmap(bitmap, others).any()
+
+
+def test_lookup_both_ways(spark):
+    """A small side that is broadcast and one that is salted give the same rows."""
+    many = spark.createDataFrame([("hot", i) for i in range(60)] + [("a", 1), ("b", 2), (None, 3)], "k string, i int")
+    few = spark.createDataFrame([("hot", 7), ("a", 8), ("c", 9)], "k string, v int")
+    few = materialize(few, "few")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for how in ("inner", "left", "left_anti"):
+        found = []
+        for threshold in ("100m", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            frame = frames.lookup(many, few, "k", ["i"], how)
+            assert ("BroadcastHashJoin" in frame._jdf.queryExecution().executedPlan().toString()) == (threshold != "-1")
+            found.append(sorted(map(str, frame.collect())))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        assert found[0] == found[1]

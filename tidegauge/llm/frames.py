@@ -14,6 +14,8 @@ from tidegauge.llm.tokens import pieces
 
 #: Copies of the small side of a lookup whose keys may hold a third of all rows.
 SALTS = 16
+#: Times the bytes of a written table that its rows may take in memory.
+IN_MEMORY = 4
 
 
 Work = Callable[[pa.RecordBatch], pa.RecordBatch]
@@ -96,14 +98,27 @@ def salt(*columns: str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
 
 
+def _is_small(df: DataFrame) -> bool:
+    """Whether Spark's estimate of ``df``, in bytes, is well below what it broadcasts."""
+    most = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size * IN_MEMORY <= most
+
+
 def lookup(
     many: DataFrame, few: DataFrame, key: str, spread: list[str], how: str = "inner", keep_salt: bool = False
 ) -> DataFrame:
     """Join rows with the one row of ``few`` for their key, without gathering a hot key.
 
-    The rows of a key are dealt to ``SALTS`` tasks by ``spread``, to each of which
-    goes a copy of the key's row. ``keep_salt`` leaves the task's number as ``_salt``.
+    Where the size of ``few`` is known to be small, as of a written table, it is
+    broadcast. Otherwise the rows of a key are dealt to ``SALTS`` tasks by ``spread``, to
+    each of which goes a copy of the key's row. Both give the same rows. ``keep_salt``
+    leaves the task's number as ``_salt``.
     """
-    copies = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    found = many.withColumn("_salt", salt(*spread)).join(copies, [key, "_salt"], how)
+    many = many.withColumn("_salt", salt(*spread))
+    if _is_small(few):
+        found = many.join(F.broadcast(few), key, how)
+    else:
+        copies = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        found = many.join(copies.hint("merge"), [key, "_salt"], how)
     return found if keep_salt else found.drop("_salt")
