@@ -43,6 +43,41 @@ def test_against_all_windows(spark, seed):
     assert len(found) >= 0.95 * len(expected)
 
 
+def edited(seed: int) -> tuple[list, list]:
+    """Items of several lengths, each with a tail, a middle block, or single words changed up to the limit."""
+    chance = random.Random(seed)
+    vocabulary = [f"v{i}" for i in range(500)]
+    docs, items = [], []
+    for i in range(120):
+        n = (10, 15, 20, 30, 60, 200)[i % 6]
+        item = chance.choices(vocabulary[: 20 if i % 5 == 4 else 500], k=n)
+        items.append((i, " ".join(item)))
+        most = (n - 4) // 5  # shingles that may be lost
+        if i % 3 == 0:
+            places = range(n - most, n)
+        elif i % 3 == 1:
+            at = chance.randrange(4, n - most)
+            places = range(at, at + max(0, most - 4))
+        else:
+            places = chance.sample(range(n), most // 5)
+        for place in places:
+            item[place] = chance.choice(vocabulary)
+        docs.append((i, " ".join([*chance.choices(vocabulary, k=20), *item, *chance.choices(vocabulary, k=20)])))
+    return docs, items
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_edits_up_to_the_limit_are_all_found(spark, seed):
+    docs, items = edited(seed)
+    expected = brute.contamination(docs, items)
+    assert len(expected) >= 100
+    documents, benchmark = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    got = decontaminate.contaminated(documents, benchmark).collect()
+    assert {(row.doc_id, row.item_id): pytest.approx(row.similarity) for row in got} == expected
+    clean = {row.doc_id for row in decontaminate.drop_contaminated(documents, benchmark).collect()}
+    assert clean == {doc for doc, _ in docs} - {doc for doc, _ in expected}
+
+
 def test_first_word(spark):
     items = [(1, "alpha beta gamma delta epsilon zeta eta theta")]
     docs = [(5, "x y z Alpha, beta gamma-delta epsilon zeta eta theta end")]

@@ -10,11 +10,14 @@ windows of ``n`` words; a document with fewer words is one window.
 2. The SimHash of each window left is compared with the items of its size. The 64 bits
    are cut into ``RADIUS + 1`` blocks; fingerprints within ``RADIUS`` bits agree in a
    block at least, so an equality join on size, block and bits finds them all.
-3. Of what is within the radius, the shingles, each weighing as often as it occurs,
-   are compared exactly.
-
-The only loss is that of SimHash itself: an item with a fifth of its shingles changed
-may lie outside the radius. Unchanged passages never do.
+3. An edited item may lie outside the radius. The shingles of windows and items are
+   therefore also put in one order, and those that share one of their first ones are
+   candidates too: of two lists that share ``need(n)`` shingles, the first ones up to
+   all but ``need(n) - 1`` have one in common. This loses nothing.
+4. Of the candidates, the shingles, each weighing as often as it occurs, are compared
+   exactly.
+
+Every window that is similar enough is found.
 """
 
 from __future__ import annotations
@@ -53,8 +56,23 @@ def _by_size(grams: np.ndarray, n: np.ndarray) -> np.ndarray:
     return mix(grams ^ (n.astype(np.uint64) * ODD[3]))
 
 
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum([len(part) for part in parts])]).astype(np.int64)
+    return list_array(signed(np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)), ends)
+
+
+def leading(grams: np.ndarray, n: int) -> np.ndarray:
+    """The first of a list's shingles, one of which any list that is similar enough shares.
+
+    A shingle's second and later occurrences count as shingles of their own.
+    """
+    grams = np.sort(grams)
+    nth = np.arange(len(grams)) - np.searchsorted(grams, grams)
+    return np.sort(mix(grams + nth.astype(np.uint64) * ODD[2]))[: max(0, len(grams) - need(n) + 1)]
+
+
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """``item_id, n, fingerprint, grams, sized`` of each item that has words."""
+    """``item_id, n, fingerprint, grams, sized, leading`` of each item that has words."""
 
     def work(piece: pa.RecordBatch) -> pa.RecordBatch:
         words = split_words(*text_bytes(piece.column("text")), BETWEEN)
@@ -65,6 +83,7 @@ def items_of(benchmark: DataFrame) -> DataFrame:
         prints = [simhash(hashes[words.first[i] : words.first[i + 1]]) for i in rows]
         ends = np.append(bounds[rows], len(grams))
         sized = _by_size(grams, np.repeat(n, np.diff(bounds)))
+        first = [leading(grams[bounds[i] : bounds[i + 1]], int(n[i])) for i in rows]
         return pa.RecordBatch.from_arrays(
             [
                 piece.column("item_id").take(pa.array(rows)),
@@ -72,14 +91,15 @@ def items_of(benchmark: DataFrame) -> DataFrame:
                 pa.array(prints, pa.int64()),
                 list_array(signed(grams), ends),
                 list_array(signed(sized), ends),
+                _lists(first),
             ],
-            ["item_id", "n", "fingerprint", "grams", "sized"],
+            ["item_id", "n", "fingerprint", "grams", "sized", "leading"],
         )
 
     texts = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
     )
-    schema = "item_id long, n long, fingerprint long, grams array<long>, sized array<long>"
+    schema = "item_id long, n long, fingerprint long, grams array<long>, sized array<long>, leading array<long>"
     return by_piece(texts, ["item_id", "text"], work, schema)
 
 
@@ -95,7 +115,7 @@ def _starts(places: np.ndarray, n: int, low: int, high: int) -> np.ndarray:
 
 
 def windows_of(docs: DataFrame, any_size: np.ndarray, own_size: np.ndarray, sizes: list[int]) -> DataFrame:
-    """``digest, doc_id, start, n, fingerprint, grams`` of the windows not ruled out."""
+    """``digest, doc_id, start, n, fingerprint, grams, leading`` of the windows not ruled out."""
     sent = docs.sparkSession.sparkContext.broadcast((any_size, own_size, sizes))
 
     def work(piece: pa.RecordBatch) -> pa.RecordBatch:
@@ -124,8 +144,6 @@ def windows_of(docs: DataFrame, any_size: np.ndarray, own_size: np.ndarray, size
                     prints.append(simhash(word_hashes[start : start + width]))
                     parts.append(own[start : start + max(1, width - SIZE + 1)])
         take = pa.array(rows, pa.int64())
-        ends = np.concatenate([[0], np.cumsum([len(part) for part in parts])]).astype(np.int64)
-        all_parts = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
         return pa.RecordBatch.from_arrays(
             [
                 piece.column("digest").take(take),
@@ -133,12 +151,15 @@ def windows_of(docs: DataFrame, any_size: np.ndarray, own_size: np.ndarray, size
                 pa.array(starts, pa.int64()),
                 pa.array(lengths, pa.int64()),
                 pa.array(prints, pa.int64()),
-                list_array(signed(all_parts), ends),
+                _lists(parts),
+                _lists([leading(part, n) for part, n in zip(parts, lengths, strict=True)]),
             ],
-            ["digest", "doc_id", "start", "n", "fingerprint", "grams"],
+            ["digest", "doc_id", "start", "n", "fingerprint", "grams", "leading"],
         )
 
-    schema = "digest string, doc_id long, start long, n long, fingerprint long, grams array<long>"
+    schema = (
+        "digest string, doc_id long, start long, n long, fingerprint long, grams array<long>, leading array<long>"
+    )
     return by_piece(docs, ["digest", "doc_id", "text"], work, schema)
 
 
@@ -176,7 +197,7 @@ def _similarity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _matches(docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> DataFrame:
     """``digest, doc_id, item_id, start, similarity`` of every window like an item."""
-    items = scratch.table(items_of(benchmark), "items")
+    items = scratch.table(items_of(benchmark).withColumn("item", F.monotonically_increasing_id()), "items")
     any_size = hash_bitmap(items.select(F.explode("grams").alias("gram")), "gram", FILTER_BITS)
     own_size = hash_bitmap(items.select(F.explode("sized").alias("gram")), "gram", FILTER_BITS)
     sizes = [row[0] for row in items.select("n").distinct().orderBy("n").collect()]
@@ -190,25 +211,27 @@ def _matches(docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> DataFra
         "windows",
     )
     near = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= RADIUS
-    pairs = (
+    near_pairs = (
         _indexed(windows.select("window", "n", "fingerprint"))
         .join(
-            _indexed(items.select("item_id", "n", "fingerprint")).select(
-                "n", "block", "bits", "item_id", F.col("fingerprint").alias("item_print")
+            _indexed(items.select("item", "n", "fingerprint")).select(
+                "n", "block", "bits", "item", F.col("fingerprint").alias("item_print")
             ),
             ["n", "block", "bits"],
         )
         .where(near)
-        .select("window", "n", "item_print")
-        .distinct()
+        .select("window", "item")
     )
-    by_print = items.select(
-        "n", F.col("fingerprint").alias("item_print"), "item_id", F.col("grams").alias("item_grams")
+    shared_pairs = (
+        windows.select("window", "n", F.explode("leading").alias("gram"))
+        .join(items.select("item", "n", F.explode("leading").alias("gram")), ["n", "gram"])
+        .select("window", "item")
     )
+    pairs = near_pairs.union(shared_pairs).distinct()
     return (
-        windows.drop("n", "fingerprint")
+        windows.select("window", "digest", "doc_id", "start", "grams")
         .join(pairs, "window")
-        .join(by_print, ["n", "item_print"])
+        .join(items.select("item", "item_id", F.col("grams").alias("item_grams")), "item")
         .select("digest", "doc_id", "item_id", "start", "grams", "item_grams")
         .mapInArrow(_similarity, "digest string, doc_id long, item_id long, start long, similarity double")
         .where(F.col("similarity") >= PERCENT / 100)
