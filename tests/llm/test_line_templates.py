@@ -60,6 +60,26 @@ def test_copies_keep_their_lines(spark):
     assert {row.n_dropped for row in got} == {0}
 
 
+def test_boilerplate_that_outweighs_the_text(spark):
+    """A passage goes however short the pages are that it sits in; near copies stay."""
+    chance = random.Random(8)
+    words = lambda n: " ".join("".join(chance.choices("abcdefghij", k=6)) for _ in range(n))
+    passage, header, footer, article = words(60), words(25), words(25), [words(20) for _ in range(9)]
+    pages = [(i, f"{passage}\n{words(50)}") for i in range(8)]
+    pages += [(100 + i, f"{header}\n{words(20)}\n{footer}") for i in range(12)]
+    copies = []
+    for i in range(60):
+        lines = [line.split() for line in article]
+        lines[i % 9][i % 20] = words(1)
+        copies.append((200 + i, "\n".join(" ".join(line) for line in lines)))
+    got = line_templates.drop_report(spark.createDataFrame(pages + copies, SCHEMA).repartition(5)).collect()
+    gone = {row.doc_id: row.text for row in got}
+    for doc, text in pages:
+        assert gone[doc] == text.split("\n")[1]
+    for doc, text in copies:
+        assert gone[doc] == text
+
+
 def test_rows_keep_their_other_columns(spark):
     rows = [(i, f"{chr(97 + i) * 3} is all its own\nBuilt by us with care\n{chr(97 + i) * 4} too is its own", "x", 7) for i in range(8)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, hits string, gone int")

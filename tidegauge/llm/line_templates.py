@@ -9,9 +9,12 @@ constants, because nothing else in its leaf is like it, is a template of its own
 
 A template recurs when it occurs in several documents. Copies of a document share all
 templates, so templates alone would delete every copied document. Documents therefore
-count only if less than half of their words are in recurring templates: only these
-show that a line goes with different surroundings. Templates with enough such documents
-are boilerplate, and all their lines are dropped, everywhere.
+count by what surrounds a template: fully if less than half of their words are in
+recurring templates, and otherwise by the words of their own lines as a share of those
+that recur. A line that begins or ends like one of another document is an edit of it
+and no line of its own, so near copies show nothing, while pages of little text under
+much boilerplate add up. Templates with enough such documents are boilerplate, and all
+their lines are dropped, everywhere.
 
 Texts are split into lines on executors; what is shuffled is one small row per line,
 tokens only of lines in leaves that hold different lines of different documents, and
@@ -40,8 +43,12 @@ STEADY = 0.8
 ALIKE = 0.6
 #: Documents with other content that a template must occur in to be dropped.
 LEAST_DOCS = 3
-#: Documents of which at least this share of words recurs show nothing.
+#: Documents of which less than this share of words recurs count fully.
 OWN_SHARE = 0.5
+#: Most tokens at either end of a line that an edit of it has too.
+EDGE = 4
+#: What a document that counts fully adds up to.
+WHOLE = 1_000_000
 FILTER_BITS = 24
 
 DIGIT = np.zeros(256, dtype=bool)
@@ -88,6 +95,17 @@ def leaves_of(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return leaf
 
 
+def edges_of(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The beginning and the end of each line: up to ``EDGE`` tokens, half of its tokens at most."""
+    width = np.clip(np.diff(first) // 2, 1, EDGE)
+    head, tail = width.astype(np.uint64), width.astype(np.uint64) + np.uint64(EDGE)
+    for place in range(EDGE):
+        has = (width > place) & (np.diff(first) > 0)
+        head[has] = mix(head[has] * ODD[place] + hashes[first[:-1][has] + place])
+        tail[has] = mix(tail[has] * ODD[place] + hashes[first[1:][has] - 1 - place])
+    return head, tail
+
+
 def _parts(texts: list) -> tuple[list[str], np.ndarray, np.ndarray]:
     """All lines, their hashes, and each text's first line."""
     lines = [(text or "").split("\n") for text in texts]
@@ -97,7 +115,7 @@ def _parts(texts: list) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """``doc, line, leaf, words`` of each distinct line of each distinct text of a piece.
+    """``doc, line, leaf, head, tail, tokens, words`` of each distinct line of each distinct text of a piece.
 
     ``doc`` is a hash of the text, so exact copies are one document. ``words`` counts
     the line as often as the text has it.
@@ -108,6 +126,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
         lines, hashes, first = _parts(texts)
         tokens, at = tokens_of(pa.array(lines, pa.string()))
         n, leaf = np.diff(at), leaves_of(tokens, at)
+        head, tail = edges_of(tokens, at)
         docs, kept, words = [], [], []
         for i, text in enumerate(texts):
             own = slice(first[i], first[i + 1])
@@ -124,13 +143,15 @@ def lines_of(docs: DataFrame) -> DataFrame:
                 pa.array(signed(np.concatenate(docs)[long])),
                 pa.array(signed(hashes[rows][long])),
                 pa.array(signed(leaf[rows][long])),
+                pa.array(signed(head[rows][long])),
+                pa.array(signed(tail[rows][long])),
                 pa.array(n[rows][long], pa.int64()),
                 pa.array(np.concatenate(words)[long]),
             ],
-            ["doc", "line", "leaf", "tokens", "words"],
+            ["doc", "line", "leaf", "head", "tail", "tokens", "words"],
         )
 
-    schema = "doc long, line long, leaf long, tokens long, words long"
+    schema = "doc long, line long, leaf long, head long, tail long, tokens long, words long"
     return by_piece(docs, ["text"], work, schema)
 
 
@@ -188,6 +209,39 @@ def _alike(kept: Column) -> Column:
     return F.size(F.filter(kept, lambda token: token != 0)) >= ALIKE * F.size(kept)
 
 
+def _evidence(lines: DataFrame, marked: DataFrame, scratch: Scratch) -> DataFrame:
+    """``doc, weight`` of the documents that show a template among lines of their own."""
+    shares = scratch.table(
+        marked.groupBy("doc")
+        .agg(F.sum("words").alias("all"), F.sum(F.when(F.col("recurs"), F.col("words"))).alias("again"))
+        .where("again < all"),
+        "shares",
+    )
+    telling = F.col("again") < OWN_SHARE * F.col("all")
+    own = scratch.table(
+        marked.where("recurs is null")
+        .join(shares.where(~telling).select("doc", "again"), "doc")
+        .select("doc", "line", "words", "again")
+        .join(lines.select("doc", "line", "head", "tail"), ["doc", "line"]),
+        "own",
+    )
+    edges = scratch.table(own.select(F.explode(F.array("head", "tail")).alias("edge")).distinct(), "edges")
+    shared = scratch.table(
+        lookup(lines.select("doc", F.explode(F.array("head", "tail")).alias("edge")), edges, "edge", ["doc"])
+        .groupBy("edge")
+        .agg(F.min("doc").alias("a"), F.max("doc").alias("z"))
+        .where("a <> z")
+        .select("edge"),
+        "shared",
+    )
+    for end in ("head", "tail"):
+        own = lookup(own, shared.withColumnRenamed("edge", end), end, ["doc"], "left_anti")
+    weak = own.groupBy("doc").agg(
+        F.least(F.lit(WHOLE), (WHOLE * F.sum("words") / F.max("again")).cast("long")).alias("weight")
+    )
+    return shares.where(telling).select("doc", F.lit(WHOLE).cast("long").alias("weight")).union(weak)
+
+
 def boilerplate(docs: DataFrame, scratch: Scratch, least_docs: int = LEAST_DOCS) -> DataFrame:
     """``line``: hashes of the lines whose templates recur across documents."""
     texts = docs.select(F.col("text").cast("string").alias("text"))
@@ -196,7 +250,7 @@ def boilerplate(docs: DataFrame, scratch: Scratch, least_docs: int = LEAST_DOCS)
     long = lines.where(F.col("tokens") >= LEAST_TOKENS)
     templates = scratch.table(_templates(texts, long, scratch), "templates")
     named = scratch.table(
-        lookup(lines.drop("leaf"), templates, "line", ["doc"], "left").withColumn(
+        lookup(lines.drop("leaf", "head", "tail"), templates, "line", ["doc"], "left").withColumn(
             "template", F.coalesce("template", "line")
         ),
         "named",
@@ -208,18 +262,14 @@ def boilerplate(docs: DataFrame, scratch: Scratch, least_docs: int = LEAST_DOCS)
         .select("template", F.lit(True).alias("recurs"))
     )
     marked = scratch.table(lookup(named, recurring, "template", ["doc"], "left"), "marked")
-    telling = (
-        marked.groupBy("doc")
-        .agg(F.sum("words").alias("all"), F.sum(F.when(F.col("recurs"), F.col("words"))).alias("again"))
-        .where(F.col("again") < OWN_SHARE * F.col("all"))
-        .select("doc")
-    )
     dropped = (
         marked.where(F.col("recurs") & (F.col("tokens") >= LEAST_TOKENS))
-        .join(telling, "doc")
+        .select("template", "doc")
+        .distinct()
+        .join(_evidence(lines, marked, scratch), "doc")
         .groupBy("template")
-        .agg(F.countDistinct("doc").alias("docs"))
-        .where(F.col("docs") >= least_docs)
+        .agg(F.sum("weight").alias("weight"))
+        .where(F.col("weight") >= least_docs * WHOLE)
         .select("template")
     )
     result = scratch.table(
@@ -228,7 +278,9 @@ def boilerplate(docs: DataFrame, scratch: Scratch, least_docs: int = LEAST_DOCS)
         .distinct(),
         "dropped",
     )
-    scratch.drop("lines", "several", "placed", "templates", "named", "marked")
+    scratch.drop(
+        "lines", "several", "placed", "templates", "named", "marked", "shares", "own", "edges", "shared"
+    )
     return result
 
 
