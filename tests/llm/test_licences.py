@@ -33,6 +33,23 @@ def test_variants_of_known_texts(spark):
     assert {(d, w) for d, w, _, _ in got if d in (1, 2, 3)} == {(1, "MIT"), (2, "MIT"), (3, "MIT")}
 
 
+def test_long_texts(spark):
+    texts = {name: (licences.LONG_TEXTS / f"{name}.txt").read_text() for name in (*licences.LONG, "BSD-2-Clause")}
+    rows = [(name, text) for name, text in texts.items()]
+    rows += [(name, "\n\n" + text.replace(" ", "  ").upper()) for name, text in texts.items()]
+    rows += [(None, text.replace(" not ", " ")) for text in texts.values() if " not " in text]
+    bsd = texts["BSD-2-Clause"].partition("\n")[2]
+    rows.append(("BSD-2-Clause", "BSD 2-Clause License\n\nCopyright (c) 2020, A\nAll rights reserved.\n" + bsd.replace(", ", ",\n")))
+    rows.append(("BSD-3-Clause", "Copyright 2021 A\n" + bsd.replace("THIS SOFTWARE IS", "3. " + licences.THIRD_CLAUSE + "\nTHIS SOFTWARE IS")))
+    rows.append(("Apache-2.0", texts["Apache-2.0"].partition("END OF TERMS")[0]))
+    rows.append(("Apache-2.0", "Copyright 2020 A\n" + texts["Apache-2.0"].partition("[name of copyright owner]")[2]))
+    header = texts["GPL-3.0-only"].partition("<name of author>\n")[2].partition("\nAlso add")[0]
+    rows.append(("GPL-3.0-or-later", "Copyright (C) 2020 A\n" + header))
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], SCHEMA)
+    got = {row.doc_id: row.licence for row in licences.scan(docs).collect()}
+    assert got == {i: name for i, (name, _) in enumerate(rows)}
+
+
 def test_own_texts(spark):
     docs = spark.createDataFrame([(1, "Do, as You  like!"), (2, "do as you like, but")], SCHEMA)
     got = licences.scan(docs, [("FREE", "do as you like")]).orderBy("doc_id").collect()

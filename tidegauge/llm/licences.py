@@ -6,12 +6,15 @@ and notices go through the same expressions; a digest of the whole canonical tex
 the key of a hash join. The same is done for every line, so that a notice inside a
 document is found by its own whole text; a match is always of an entire text or line.
 
-The table of known texts is a constant of this module, ``KNOWN_MOST`` rows at most, and
-is broadcast.
+The known texts are fixed: short ones are here, long ones in ``licence_texts``, read by
+the driver. They are ``KNOWN_MOST`` rows at most, and their digests are broadcast.
 """
 
 from __future__ import annotations
 
+from itertools import product
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,6 +93,22 @@ TEXTS = (
     ("0BSD", "Zero-Clause BSD\n" + ZERO_BSD_TEXT + NO_WARRANTY),
 )
 
+#: Entire texts, one file for each identifier.
+LONG_TEXTS = Path(__file__).with_name("licence_texts")
+LONG = ("Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0", "CC0-1.0", "CC-BY-SA-4.0")
+END = "END OF TERMS AND CONDITIONS"
+#: Headers that a long text asks for: its identifier, what comes before and after, the header's identifier.
+HEADERS = (
+    ("Apache-2.0", "[name of copyright owner]\n", None, "Apache-2.0"),
+    ("GPL-2.0-only", "<name of author>\n", "\nAlso add information", "GPL-2.0-or-later"),
+    ("GPL-3.0-only", "<name of author>\n", "\nAlso add information", "GPL-3.0-or-later"),
+    ("LGPL-2.1-only", "<name of author>\n", "\nAlso add information", "LGPL-2.1-or-later"),
+)
+THIRD_CLAUSE = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+    " products derived from this software without specific prior written permission.\n"
+)
+
 # Spellings that mean the same: a text that must be there, a pattern and
 # what it becomes. They see lower case, with single spaces for punctuation.
 SPELLINGS = (
@@ -145,10 +164,44 @@ def canonical(text: Column) -> Column:
     return let(plain, forms)
 
 
+def _long_text(name: str) -> str:
+    return (LONG_TEXTS / f"{name}.txt").read_text(encoding="utf-8")
+
+
+def long_texts() -> list[tuple[str, str]]:
+    """Texts of many lines, with and without what follows their terms, and the headers they ask for."""
+    found = []
+    for name in LONG:
+        text = _long_text(name)
+        terms, end, _ = text.partition(END)
+        found += [(name, form) for form in dict.fromkeys((text, terms + end, terms))]
+    for name, before, after, licence in HEADERS:
+        header = _long_text(name).partition(before)[2]
+        found.append((licence, header.partition(after)[0] if after else header))
+    return found
+
+
+def bsd_texts() -> list[tuple[str, str]]:
+    """The BSD licences, with and without heading and numbers, for one holder or several."""
+    body = _long_text("BSD-2-Clause").partition("\n")[2]
+    found = []
+    for clauses, numbered, several in product((2, 3), (True, False), (True, False)):
+        text = body
+        if clauses == 3:
+            text = text.replace("THIS SOFTWARE IS PROVIDED", f"3. {THIRD_CLAUSE}\nTHIS SOFTWARE IS PROVIDED")
+        for i in () if numbered else (1, 2, 3):
+            text = text.replace(f"{i}. ", "* ")
+        if several:
+            text = text.replace("THE COPYRIGHT HOLDER OR", "THE COPYRIGHT HOLDERS OR")
+        for heading in ("", f"BSD {clauses}-Clause License\n", f"The BSD {clauses}-Clause License\n"):
+            found.append((f"BSD-{clauses}-Clause", heading + text))
+    return found
+
+
 def known_texts() -> list[tuple[str, str]]:
-    """Identifier and wording of all known texts: those spelled out, and notices by rule."""
+    """Identifier and wording of all known texts: entire ones, and notices by rule."""
     notices = [(spdx, notice.format(name)) for spdx, names in NAMES for name in names for notice in NOTICES]
-    return [*TEXTS, *notices]
+    return [*TEXTS, *long_texts(), *bsd_texts(), *notices]
 
 
 def known_digests(spark: SparkSession, texts: list[tuple[str, str]]) -> DataFrame:
