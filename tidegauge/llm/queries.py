@@ -13,6 +13,7 @@ from tidegauge.llm import (
     line_templates,
     mixing,
     ngram_join,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     secrets,
@@ -68,6 +69,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.with_repeats(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     name: value for name, value in list(globals().items()) if name.startswith("op") and callable(value)
 }
