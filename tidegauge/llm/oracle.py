@@ -197,9 +197,54 @@ SELECT doc_id, source, size, source_size, target, taken,
 FROM timed, demand
 """
 
+OP11 = r"""
+WITH found AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'),
+           lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS terms
+  FROM documents
+), places AS (
+  SELECT id, lang, source, unnest(terms) AS term FROM found
+), kept AS (
+  SELECT lang, term FROM places GROUP BY ALL HAVING count(DISTINCT id) >= 3
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM places JOIN kept USING (lang, term) GROUP BY ALL
+), sites AS (
+  SELECT DISTINCT lang, source FROM found
+), site_shares AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+         1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1)
+             // (sum(coalesce(c.n, 0)) OVER w + count(*) OVER w) AS p
+  FROM sites s JOIN kept k ON s.lang = k.lang
+  LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+  WINDOW w AS (PARTITION BY s.lang, s.source)
+), lang_counts AS (
+  SELECT lang, term, sum(n) AS n FROM counts GROUP BY ALL
+), lang_shares AS (
+  SELECT lang, term, 1 + 1000000000::HUGEINT * (n + 1) // (sum(n) OVER w + count(*) OVER w) AS q
+  FROM lang_counts WINDOW w AS (PARTITION BY lang)
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM site_shares a JOIN site_shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+), scored AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM sites a JOIN sites b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q
+  FROM site_shares JOIN lang_shares USING (lang, term) WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM scored
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 ORACLE: dict[str, str] = {
     "op3_quality_rules": OP3,
     "op4_ngram_jaccard_join": OP4,
     "op8_licence_scan": OP8,
     "op9_source_mix": OP9,
+    "op11_source_audit": OP11,
 }

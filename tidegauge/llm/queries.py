@@ -17,6 +17,7 @@ from tidegauge.llm import (
     quality_classifier,
     quality_rules,
     secrets,
+    source_audit,
     toxicity,
 )
 
@@ -69,6 +70,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.with_repeats(table(spark, sf_dir, "documents")))
 
