@@ -241,10 +241,42 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 FROM ranked WHERE part = 'pair' OR rank <= 200
 """
 
+OP12 = """
+WITH texts AS (
+  SELECT row_number() OVER () AS id, doc_id, hex(encode(coalesce(text, ''))) AS body FROM documents
+), sized AS (
+  SELECT *, length(body) // 2 AS n FROM texts
+), places AS (
+  SELECT id, body, unnest(range(0, n - 199)) AS i FROM sized WHERE n >= 200
+), strings AS (
+  SELECT id, i, md5_number(substr(body, 2 * i + 1, 400)) AS string FROM places
+), repeated AS (
+  SELECT string FROM strings GROUP BY string HAVING count(*) > 1
+), begun AS (
+  SELECT id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY id ORDER BY i) + 200 THEN 0 ELSE 1 END AS new
+  FROM strings WHERE string IN (SELECT string FROM repeated)
+), numbered AS (
+  SELECT id, i, sum(new) OVER (PARTITION BY id ORDER BY i) AS span FROM begun
+), spans AS (
+  SELECT id, span, min(i) AS low, max(i) + 200 AS high FROM numbered GROUP BY id, span
+), gaps AS (
+  SELECT id, low, high, coalesce(lag(high) OVER (PARTITION BY id ORDER BY low), 0) AS since FROM spans
+), cut AS (
+  SELECT id, sum(high - low) AS n_removed, count(*) AS n_spans, max(high) AS last,
+         string_agg(substr(body, 2 * since + 1, 2 * (low - since)), '' ORDER BY low) AS left_over
+  FROM gaps JOIN texts USING (id) GROUP BY id
+)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(left_over, '') || substr(body, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM sized LEFT JOIN cut USING (id)
+"""
+
 ORACLE: dict[str, str] = {
     "op3_quality_rules": OP3,
     "op4_ngram_jaccard_join": OP4,
     "op8_licence_scan": OP8,
     "op9_source_mix": OP9,
     "op11_source_audit": OP11,
+    "op12_suffix_array_dedup": OP12,
 }

@@ -16,6 +16,7 @@ from tidegauge.llm import (
     periodic_runs,
     quality_classifier,
     quality_rules,
+    repeated_bytes,
     secrets,
     source_audit,
     toxicity,
@@ -74,6 +75,10 @@ def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes.removal_digests(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.with_repeats(table(spark, sf_dir, "documents")))
 
