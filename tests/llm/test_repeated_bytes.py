@@ -84,7 +84,7 @@ def test_every_string_has_one_context_and_its_own_anchor(seed, monkeypatch):
     bounds = np.cumsum([0, *map(len, texts)])
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     seen, keys = [], {}
-    for block, begin, anchors in byte_anchors.anchors_of(data, bounds, 200):
+    for (block, begin, _), anchors in byte_anchors.anchors_of(data, bounds, 200):
         for text, low, high, place, key in zip(*(column.tolist() for column in anchors), strict=True):
             for i in range(low, high + 1):
                 seen.append(begin + i)

@@ -16,9 +16,9 @@ import numpy as np
 from tidegauge.llm.tokens import ODD, mix
 
 #: Bytes whose smallest hash makes an anchor; half of the shortest stretch at most.
-RUN = 64
+RUN = 48
 #: Bytes of a text that are hashed at a time.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
@@ -31,19 +31,29 @@ def _byte_values(seed: int) -> np.ndarray:
 VALUES = (_byte_values(3), _byte_values(4))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers; those of a block are kept for the next one."""
+    kept = _POWERS.get(base)
+    if kept is None or len(kept) < n:
+        kept = np.full(n, base, dtype=np.uint64)
+        kept[:1] = 1
+        np.multiply.accumulate(kept, out=kept)
+        if n <= 2 * BLOCK_BYTES:
+            _POWERS[base] = kept
+    return kept[:n]
+
+
 class Hashes:
     """Hashes of any stretches of ``data``."""
 
     def __init__(self, data: np.ndarray, which: int = 0) -> None:
-        base = BASES[which]
-        powers = np.full(len(data) + 1, base, dtype=np.uint64)
-        powers[0] = 1
-        np.multiply.accumulate(powers, out=powers)
-        self.totals = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(VALUES[which][data] * powers[:-1], out=self.totals[1:])
-        powers.fill(pow(base, -1, 1 << 64))
-        powers[0] = 1
-        self.inverse = np.multiply.accumulate(powers, out=powers)
+        base, n = BASES[which], len(data) + 1
+        self.totals = np.zeros(n, dtype=np.uint64)
+        np.cumsum(VALUES[which][data] * _powers(base, n)[:-1], out=self.totals[1:])
+        self.inverse = _powers(pow(base, -1, 1 << 64), n)
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         totals = self.totals[ends] - self.totals[starts]
@@ -77,8 +87,16 @@ def smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (width - size)], values[width - size :])
 
 
-def anchors_of(data: np.ndarray, bounds: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, int, Anchors]]:
-    """Blocks of bytes, each with its place in ``data`` and its anchors.
+class Block(NamedTuple):
+    """Some of the bytes, where they begin, and the hashes of their stretches."""
+
+    data: np.ndarray
+    begin: int
+    hashes: Hashes
+
+
+def anchors_of(data: np.ndarray, bounds: np.ndarray, length: int) -> Iterator[tuple[Block, Anchors]]:
+    """Blocks of bytes, each with its anchors.
 
     Places are those in the block. ``bounds`` are the texts' ends in ``data``; no stretch
     goes over one.
@@ -86,7 +104,8 @@ def anchors_of(data: np.ndarray, bounds: np.ndarray, length: int) -> Iterator[tu
     window = length - RUN + 1
     for begin in range(0, len(data) - length + 1, BLOCK_BYTES):
         block = data[begin : begin + BLOCK_BYTES + length - 1]
-        hashes = Hashes(block).of_all(RUN)
+        all_hashes = Hashes(block)
+        hashes = all_hashes.of_all(RUN)
         place = np.arange(len(hashes), dtype=np.uint64)
         keys = (hashes >> np.uint64(32) << np.uint64(32)) | (np.uint64(0xFFFFFFFF) - place)
         least = smallest(keys, window)
@@ -102,4 +121,4 @@ def anchors_of(data: np.ndarray, bounds: np.ndarray, length: int) -> Iterator[tu
         turns = np.flatnonzero(np.concatenate([new | ~whole, [True]]))
         high = turns[np.searchsorted(turns, low, side="right")] - 1
         place = (np.uint64(0xFFFFFFFF) - (least[low] & np.uint64(0xFFFFFFFF))).astype(np.int64)
-        yield block, begin, Anchors(text[low], low, high, place, hashes[place])
+        yield Block(block, begin, all_hashes), Anchors(text[low], low, high, place, hashes[place])

@@ -38,9 +38,9 @@ from tidegauge.sources.workspace import Scratch
 #: Bytes of a string that is removed if it occurs twice.
 LENGTH = 200
 #: Different contexts of an anchor that go to one task.
-MOST_CONTEXTS = 8192
+MOST_CONTEXTS = 4096
 #: Bytes of contexts whose suffixes are sorted at a time, if whole anchors are shorter.
-SORTED_BYTES = 2 << 20
+SORTED_BYTES = 1 << 20
 #: Offsets from the anchor that strings of one key may have, by level after the first.
 OFFSETS = (12, 1)
 #: 2 ** these many bits tell anchors that may recur, and texts that may lose bytes.
@@ -84,7 +84,7 @@ def count_anchors(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data, bounds in _pieces(batches):
-            for _, _, anchors in anchors_of(data, bounds, LENGTH):
+            for _, anchors in anchors_of(data, bounds, LENGTH):
                 hashes, counts = np.unique(anchors.hash, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(hashes)), pa.array(counts)], ["hash", "n"])
 
@@ -116,12 +116,12 @@ def find_contexts(texts: DataFrame, recurring: np.ndarray) -> DataFrame:
         for data, bounds in _pieces(batches):
             digests = text_digests(data.tobytes(), bounds)
             told = np.zeros(len(bounds) - 1, dtype=bool)
-            for block, begin, anchors in anchors_of(data, bounds, LENGTH):
+            for (block, begin, hashes), anchors in anchors_of(data, bounds, LENGTH):
                 may = in_bitmap(bitmap.value, anchors.hash)
                 text, low, high, place, hashed = (column[may] for column in anchors)
                 if not len(text):
                     continue
-                d1, d2 = (Hashes(block, which).of(low, high + LENGTH) for which in (0, 1))
+                d1, d2 = (known.of(low, high + LENGTH) for known in (hashes, Hashes(block, 1)))
                 _, first, own, n = np.unique(d1 ^ (d2 << np.uint64(1)), return_index=True, return_inverse=True, return_counts=True)
                 yield rows_of(
                     {

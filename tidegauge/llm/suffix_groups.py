@@ -15,6 +15,8 @@ it begins to the next free places of their groups.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 
 
@@ -63,22 +65,29 @@ def lyndon_groups(symbols: np.ndarray) -> tuple[list[int], list[int], int]:
                 final[place] = taken
                 reach[place] = prefix
             taken += 1
-            counts: dict[int, int] = {}
-            for place in places:
-                at = place - 1
+            parts: dict[tuple[int, int], list[int]] = {}
+            if len(places) == 1:
+                at = places[0] - 1
                 while (up := open_at[at]) != at:
                     open_at[at] = at = open_at[up]
-                if group[at]:
-                    counts[at] = counts.get(at, 0) + 1
-            if len(counts) == 1:
-                ((at, times),) = counts.items()
-                parts = {(group[at], times): [at]}
+                if low := group[at]:
+                    if size[low] == 1:
+                        length[low] += prefix
+                    else:
+                        parts[low, 1] = [at]
             else:
-                parts = {}
+                counts: dict[int, int] = {}
+                for place in places:
+                    at = place - 1
+                    while (up := open_at[at]) != at:
+                        open_at[at] = at = open_at[up]
+                    if group[at]:
+                        counts[at] = counts.get(at, 0) + 1
                 for at, times in counts.items():
                     parts.setdefault((group[at], times), []).append(at)
             # more repetitions are higher, so they are put above their group first
-            for (low, times), grown in sorted(parts.items(), reverse=True) if len(parts) > 1 else parts.items():
+            for low, times in sorted(parts, reverse=True):
+                grown = parts[low, times]
                 if len(grown) == size[low]:
                     length[low] += times * prefix
                     if len(members[low]) > len(grown):
@@ -118,14 +127,11 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     heads = by_end.tolist()
     array = [0] * n_suffixes
 
-    def pass_on(end: int) -> None:
-        for head in heads[bounds[end] : bounds[end + 1]]:
+    # the array grows ahead of the scan, which the separators begin
+    for end in chain(np.flatnonzero(symbols == 0).tolist(), array):
+        for i in range(bounds[end], bounds[end + 1]):
+            head = heads[i]
             to = group[head]
             array[free[to]] = head
             free[to] += 1
-
-    for end in np.flatnonzero(symbols == 0).tolist():
-        pass_on(end)
-    for i in range(n_suffixes):
-        pass_on(array[i])
     return np.array(array, dtype=np.int64)

@@ -17,9 +17,10 @@ import numpy as np
 
 from tidegauge.llm.byte_anchors import Hashes
 from tidegauge.llm.suffix_groups import suffix_array
+from tidegauge.llm.tokens import ODD, mix
 
-SPARSE = 16
-GAP = 95
+SPARSE = 32
+GAP = 150
 LOOK = 4
 #: Longest symbol: a byte, ``GAP`` bytes without a cut, and what determines that.
 WIDTH = GAP + 1 + LOOK
@@ -105,7 +106,7 @@ def repeated_starts(data: np.ndarray, bounds: np.ndarray, copies: np.ndarray, le
     """The starts of all stretches of ``length`` bytes, and which of them occur again.
 
     Strings lie in ``data`` between ``bounds`` and each stands for ``copies`` equal ones.
-    ``length`` is twice ``GAP`` or more.
+    ``length`` is ``WIDTH`` or more.
     """
     cut = Cut(data, bounds)
     places = np.arange(len(data))
@@ -116,23 +117,24 @@ def repeated_starts(data: np.ndarray, bounds: np.ndarray, copies: np.ndarray, le
     common = cut.common_prefixes(order, length)
     rank = np.empty(len(order), dtype=np.int64)
     rank[order] = np.arange(len(order))
-    own = np.searchsorted(cut.at, starts)
+    passed = np.zeros(len(data) + 1, dtype=np.int64)
+    passed[cut.at + 1] = 1
+    own = np.cumsum(passed)[starts]  # the first cut from each start on
     lead = cut.at[own] - starts
     by_lead = np.argsort(lead.astype(np.uint16), kind="stable")
     turns = np.searchsorted(lead[by_lead], np.arange(GAP + 2))
-    agree = np.empty(len(starts), dtype=np.int64)
+    agree = np.empty(len(starts), dtype=np.uint64)
     for before in range(GAP + 1):
         those = by_lead[turns[before] : turns[before + 1]]
         if len(those):
             classes = np.cumsum(common < length - before)
             agree[those] = classes[rank[own[those]]] + before * (len(order) + 1)
-    tails = cut.hashes.of(starts, starts + lead)
-    by_class = np.lexsort((tails, agree))
-    new = np.ones(len(starts), dtype=bool)
-    new[1:] = (agree[by_class][1:] != agree[by_class][:-1]) | (tails[by_class][1:] != tails[by_class][:-1])
-    first = np.flatnonzero(new)
-    string = np.searchsorted(bounds, starts, side="right") - 1
-    total = np.add.reduceat(copies[string][by_class], first)
-    again = np.empty(len(starts), dtype=bool)
-    again[by_class] = np.repeat(total > 1, np.diff(np.append(first, len(starts))))
+    keys = mix(agree * ODD[0] + cut.hashes.of(starts, starts + lead))
+    again = np.repeat(copies > 1, np.diff(bounds))[starts]
+    ranked = np.sort(keys)
+    several = ranked[1:][ranked[1:] == ranked[:-1]]
+    if len(several):
+        alone = np.flatnonzero(~again)
+        at = np.minimum(np.searchsorted(several, keys[alone]), len(several) - 1)
+        again[alone] = several[at] == keys[alone]
     return starts, again
