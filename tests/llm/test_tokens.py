@@ -4,10 +4,11 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tidegauge.llm import frames, tokens
-from tidegauge.sources.workspace import materialize
+from tidegauge.sources.workspace import Scratch, materialize
 
 TEXTS = st.lists(
     st.none() | st.text(alphabet="abAB \t\n\x0b\x1c.é漢", max_size=30), min_size=1, max_size=8
@@ -56,6 +57,19 @@ def test_bitmap(spark):
     assert not frames.in_bitmap(bitmap, others).any()
 
 
+def test_split_by_bitmap(spark):
+    """Every present hash is in the first part, and the parts are all rows."""
+    present = [0, 1, 32767, 32768, 65535, -1, 1 << 40, 987654321]
+    scratch = Scratch(spark, "bitmap")
+    table = frames.bitmap_table(spark.createDataFrame([(x,) for x in present], "h long"), 16, scratch, "bits")
+    rows = spark.createDataFrame([(x, i) for i, x in enumerate([*present, None, *range(100, 3000)])], "h long, i int")
+    may, cannot = frames.split_by(rows, F.col("h"), table, 16)
+    assert {row.h for row in may.collect()} == {*present}
+    assert sorted(row.i for part in (may, cannot) for row in part.collect()) == list(range(rows.count()))
+    empty = frames.bitmap_table(rows.select("h").limit(0), 16, scratch, "none")
+    assert frames.split_by(rows, F.col("h"), empty, 16)[0].collect() == []
+
+
 def test_lookup_both_ways(spark):
     """A small side that is broadcast and one that is salted give the same rows."""
     many = spark.createDataFrame([("hot", i) for i in range(60)] + [("a", 1), ("b", 2), (None, 3)], "k string, i int")

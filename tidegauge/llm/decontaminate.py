@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.frames import by_piece, hash_bitmap, in_bitmap, lookup
+from tidegauge.llm.frames import bitmap_table, by_piece, hash_bitmap, in_bitmap, lookup, split_by
 from tidegauge.llm.tokens import BETWEEN, ODD, hash_words, list_array, mix, shingles, signed, split_words, text_bytes
 from tidegauge.sources.workspace import Scratch
 
@@ -271,4 +271,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.struct("*").alias("row"),
         F.coalesce(F.md5(F.col("text").cast("string").cast("binary")), F.lit("")).alias("digest"),
     ).withColumn("doc_id", F.col("row.doc_id").cast("long"))
-    return lookup(rows, found, "digest", ["doc_id"], "left_anti").select("row.*")
+    # only rows whose digest may be among those found are joined
+    hashes = bitmap_table(found.select(F.xxhash64("digest")), FILTER_BITS, scratch, "hashes")
+    may, clean = split_by(rows, F.xxhash64("digest"), hashes, FILTER_BITS)
+    return clean.select("row.*").union(lookup(may, found, "digest", ["doc_id"], "left_anti").select("row.*"))

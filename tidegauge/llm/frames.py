@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidegauge.llm.tokens import pieces
+from tidegauge.sources.workspace import Scratch
 
 #: Copies of the small side of a lookup whose keys may hold a third of all rows.
 SALTS = 16
@@ -62,6 +63,40 @@ def with_columns_by_piece(
     return rows.mapInArrow(run, schema)
 
 
+def _bit_place(hashed: Column, bits: int) -> Column:
+    """Spark's bit functions count from 1."""
+    return hashed.bitwiseAND(F.lit((1 << bits) - 1)) + 1
+
+
+def bitmap_table(hashes: DataFrame, bits: int, scratch: Scratch, label: str) -> DataFrame:
+    """``bucket, bits`` of the residues modulo 2**bits that the one column of ``hashes`` takes.
+
+    Of fixed size whatever the number of rows, 2**bits / 8 bytes, for :func:`split_by`.
+    """
+    place = _bit_place(F.col(hashes.columns[0]), bits)
+    parts = hashes.select(
+        F.bitmap_bucket_number(place).alias("_bucket"), F.bitmap_bit_position(place).alias("_position")
+    )
+    table = parts.groupBy("_bucket").agg(F.bitmap_construct_agg("_position").alias("_bits"))
+    return scratch.table(table.coalesce(1), label)
+
+
+def split_by(rows: DataFrame, hashed: Column, bitmap: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
+    """The rows whose hash may be in a table of :func:`bitmap_table`, and those whose can't.
+
+    ``bitmap`` is broadcast, as its size is fixed. No row is shuffled, so that a join has
+    to move the first part only; both parts read ``rows`` anew.
+    """
+    place = _bit_place(hashed, bits)
+    position = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("_bits", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.getbit(byte, (position % 8).cast("int"))
+    marked = rows.withColumn("_bucket", F.bitmap_bucket_number(place)).join(F.broadcast(bitmap), "_bucket", "left")
+    marked = marked.withColumn("_may", F.coalesce(bit, F.lit(0)) == 1)
+    may, cannot = marked.where("_may"), marked.where("not _may")
+    return may.select(*rows.columns), cannot.select(*rows.columns)
+
+
 def hash_bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
     """Which residues modulo 2**bits the hashes in ``column`` take, as packed bits.
 
@@ -69,9 +104,8 @@ def hash_bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
     driver. It never misses a hash that is present; others may pass, so an exact join
     must follow. ``bits`` is 15 or more.
     """
-    residue = F.col(column).bitwiseAND(F.lit((1 << bits) - 1)) + 1  # Spark's bits count from 1
     parts = (
-        df.select(residue.alias("residue"))
+        df.select(_bit_place(F.col(column), bits).alias("residue"))
         .groupBy(F.bitmap_bucket_number("residue").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("residue")).alias("bits"))
         .collect()

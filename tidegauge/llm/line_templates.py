@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.frames import by_piece, hash_bitmap, in_bitmap, let, lookup, with_columns_by_piece
+from tidegauge.llm.frames import bitmap_table, by_piece, hash_bitmap, in_bitmap, let, lookup, split_by
 from tidegauge.llm.tokens import AS_IS, ODD, hash_words, list_array, mix, signed, split_words, text_bytes
 from tidegauge.sources.workspace import Scratch
 
@@ -131,7 +131,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
         for i, text in enumerate(texts):
             own = slice(first[i], first[i + 1])
             _, index, inverse = np.unique(hashes[own], return_index=True, return_inverse=True)
-            docs.append(np.full(len(index), xxhash.xxh3_64_intdigest((text or "").encode()), dtype=np.uint64))
+            docs.append(np.full(len(index), xxhash.xxh64_intdigest((text or "").encode(), SEED), dtype=np.uint64))
             kept.append(index + first[i])
             words.append(np.bincount(inverse, weights=n[own]).astype(np.int64))
         if not docs:
@@ -243,7 +243,7 @@ def _evidence(lines: DataFrame, marked: DataFrame, scratch: Scratch) -> DataFram
 
 
 def boilerplate(docs: DataFrame, scratch: Scratch, least_docs: int = LEAST_DOCS) -> DataFrame:
-    """``line``: hashes of the lines whose templates recur across documents."""
+    """``doc, gone``: of each text's hash, those of its lines whose templates recur."""
     texts = docs.select(F.col("text").cast("string").alias("text"))
     found = lines_of(texts).dropDuplicates(["doc", "line"])
     lines = scratch.table(found, "lines")
@@ -274,8 +274,8 @@ def boilerplate(docs: DataFrame, scratch: Scratch, least_docs: int = LEAST_DOCS)
     )
     result = scratch.table(
         lookup(marked.where("recurs").select("template", "line", "doc"), dropped, "template", ["doc"])
-        .select("line")
-        .distinct(),
+        .groupBy("doc")
+        .agg(F.collect_list("line").alias("gone")),
         "dropped",
     )
     scratch.drop(
@@ -287,26 +287,13 @@ def boilerplate(docs: DataFrame, scratch: Scratch, least_docs: int = LEAST_DOCS)
 def _cleaned(docs: DataFrame, scratch: Scratch, least_docs: int) -> DataFrame:
     """``row, text, n_lines, n_dropped``: the text without boilerplate lines."""
     dropped = boilerplate(docs, scratch, least_docs)
-    maybe = docs.sparkSession.sparkContext.broadcast(hash_bitmap(dropped, "line", FILTER_BITS))
-
-    def mark(texts: pa.Array) -> list[pa.Array]:
-        hits, ends, digests = [], [0], []
-        for text in texts.to_pylist():
-            hashes = line_hashes(text)
-            own = np.unique(hashes[in_bitmap(maybe.value, hashes)])
-            hits.append(own)
-            ends.append(ends[-1] + len(own))
-            digests.append(xxhash.xxh3_128_digest((text or "").encode()))
-        flat = np.concatenate(hits) if hits else np.zeros(0, np.uint64)
-        return [list_array(signed(flat.astype(np.uint64)), np.array(ends)), pa.array(digests, pa.binary())]
-
-    rows = scratch.table(with_columns_by_piece(docs, mark, "hits array<long>, digest binary"), "rows")
-    touched, text = F.size("hits") > 0, F.col("row.text").cast("string")
-    hits = rows.where(touched).select("digest", F.explode("hits").alias("line")).distinct()
-    sure = lookup(hits, dropped, "line", ["digest"]).groupBy("digest").agg(F.collect_list("line").alias("gone"))
-    found = lookup(
-        rows.where(touched).withColumn("doc_id", F.col("row.doc_id").cast("long")), sure, "digest", ["doc_id"], "left"
-    ).select("row", text.alias("text"), "gone")
+    text = F.col("row.text").cast("string")
+    doc = F.xxhash64(F.coalesce(text, F.lit("")))
+    rows = docs.select(F.struct("*").alias("row"))
+    marks = bitmap_table(dropped.select("doc"), FILTER_BITS, scratch, "marks")
+    touched, others = split_by(rows, doc, marks, FILTER_BITS)
+    touched = touched.withColumn("doc", doc).withColumn("doc_id", F.col("row.doc_id").cast("long"))
+    found = lookup(touched, dropped, "doc", ["doc_id"], "left").select("row", text.alias("text"), "gone")
     lines = F.split("text", "\n")
     kept = F.filter(lines, lambda line: ~F.array_contains("gone", line_hash(line)))
     n_lines = F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n")))
@@ -315,10 +302,10 @@ def _cleaned(docs: DataFrame, scratch: Scratch, least_docs: int) -> DataFrame:
         .select(
             "row",
             F.array_join("kept", "\n").alias("text"),
-            F.size(lines).alias("n_lines"),
-            (F.size(lines) - F.size("kept")).alias("n_dropped"),
+            n_lines.alias("n_lines"),
+            F.coalesce(F.size(lines) - F.size("kept"), F.lit(0)).alias("n_dropped"),
         )
-        .union(rows.where(~touched).select("row", text, n_lines, F.lit(0)))
+        .union(others.select("row", text, n_lines, F.lit(0)))
     )
 
 

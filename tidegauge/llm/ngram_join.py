@@ -34,7 +34,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.frames import as_texts, by_piece, hash_bitmap, in_bitmap, lookup, with_columns_by_piece
+from tidegauge.llm.frames import (
+    as_texts,
+    bitmap_table,
+    by_piece,
+    hash_bitmap,
+    in_bitmap,
+    lookup,
+    split_by,
+    with_columns_by_piece,
+)
 from tidegauge.llm.graph import components
 from tidegauge.llm.tokens import hash_words, list_array, shingles, signed, words_of
 from tidegauge.sources.workspace import Scratch
@@ -384,22 +393,29 @@ def keep_one_per_component(docs: DataFrame, size: int = SIZE) -> DataFrame:
     kept. All columns of ``docs`` are returned as they are.
     """
     scratch = Scratch(docs.sparkSession, "ngram-keep")
-    _, labels = link_classes(docs, scratch, size)
+    signed_rows, labels = link_classes(docs, scratch, size)
     kept = labels.where("key = component_key").select("key", F.col("component_id").alias("kept_id"), F.lit(True).alias("known"))
+    stays = (F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("kept_id")) & F.col("known")
+    judged = lookup(signed_rows, kept, "key", ["doc_id"], "left")
+    # ids of which a row goes or several may stay; all other rows stay without a join
+    open_ids = (
+        judged.groupBy("doc_id")
+        .agg(F.count("*").alias("rows"), F.count_if(~F.coalesce(stays, F.lit(False))).alias("gone"))
+        .where("rows > 1 or gone > 0 or doc_id is null")
+    )
+    hashes = bitmap_table(open_ids.select(F.xxhash64("doc_id")), FILTER_BITS, scratch, "open")
+    may, sure = split_by(docs.select(F.struct("*").alias("row")), F.xxhash64(F.col("row.doc_id").cast("long")), hashes, FILTER_BITS)
 
     def work(texts: pa.Array) -> list[pa.Array]:
         _, bounds, keys = ngram_sets(texts, size)
         return [pa.array(np.diff(bounds)), pa.array(keys, pa.binary())]
 
-    rows = with_columns_by_piece(docs, work, "n_shingles long, key binary").withColumn(
+    rows = with_columns_by_piece(may.select("row.*"), work, "n_shingles long, key binary").withColumn(
         "doc_id", F.col("row.doc_id").cast("long")
     )
-    found = lookup(rows, kept, "key", ["doc_id"], "left", keep_salt=True).where(
-        (F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("kept_id")) & F.col("known")
-    )
+    found = lookup(rows, kept, "key", ["doc_id"], "left", keep_salt=True).where(stays)
+    # rows without n-grams all stay, and are not gathered by their common key
     same = Window.partitionBy("key", "_salt").orderBy(F.xxhash64("row"))
-    return (
-        found.withColumn("place", F.row_number().over(same))
-        .where("place = 1 or n_shingles = 0")
-        .select("row.*")
-    )
+    first = found.where("n_shingles > 0").withColumn("place", F.row_number().over(same)).where("place = 1")
+    empty = found.where("n_shingles = 0")
+    return sure.select("row.*").union(first.select("row.*")).union(empty.select("row.*"))
