@@ -1,3 +1,5 @@
+import gzip
+import json
 from pathlib import Path
 
 import pytest
@@ -87,6 +89,54 @@ def test_convert_drop(spark, tmp_path):
     assert values(good, "Time", "Loudness") == [("0", "1"), ("0", "1"), ("1", None)]
 
 
+def test_every_column_of_a_drop_is_converted(spark, tmp_path):
+    """Extra columns, files without a known one, names that repeat, rows with more fields."""
+    folder = tmp_path / "csv"
+    write(folder, "a.csv", HEADER.strip() + ",Battery,my key\n0,1,1,1,1,1,low,\n")
+    write(folder, "b.csv", "Battery,Volt\nhigh,3\n")
+    write(folder, "c.csv", "Time,Time\n1,2\n")
+    write(folder, "empty.csv", "\n \n")
+    path = write(folder, "d.csv", "\ufeffTime,Light\n5,6,more\n7\n")
+    target = str(tmp_path / "json")
+    assert convert_drop(spark, path, target) == 5
+    lines = [json.loads(row.value) for row in spark.read.text(target).collect()]
+    assert sorted(map(str, lines)) == sorted(
+        map(
+            str,
+            [
+                {**dict.fromkeys(RAW_COLUMNS, "1"), "Time": "0", "Battery": "low", "my key": None},
+                {"Battery": "high", "Volt": "3"},
+                {"Time": "2"},
+                {"Time": "5", "Light": "6", "_corrupt_record": "5,6,more"},
+                {"Time": "7", "Light": None, "_corrupt_record": "7"},
+            ],
+        )
+    )
+
+
+def test_headers_come_from_the_beginning_of_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "HEAD_BYTES", 8)
+    folder = tmp_path / "csv"
+    write(folder / "x=1", "long.csv", "\n\n" + HEADER + "0,1,2,3,4,5\n")
+    write(folder, "no line break.csv", "Time,é")
+    (folder / "packed.csv.gz").write_bytes(gzip.compress((HEADER + "1,1,1,1,1,1\n").encode()))
+    headers = files.csv_headers(spark, str(folder))
+    names = {header: sorted(name.rsplit("/", 1)[1] for name in paths) for header, paths in headers.items()}
+    assert names == {HEADER.strip(): ["long.csv", "packed.csv.gz"], "Time,é": ["no line break.csv"]}
+    assert column(files.read_csv_drop(spark, str(folder)), "Time") == ["0", "1"]
+
+
+def test_lines_of_odd_files(spark, tmp_path):
+    folder = tmp_path / "csv"
+    write(folder, "a.csv", HEADER + "0,1,1,1,1,1\n")
+    path = write(folder, "odd.csv", "x\n1\n")
+    lines = files.odd_csv_lines(spark, path)
+    assert column(lines, "_corrupt_record") == ["1", "x"]
+    assert {name.rsplit("/", 1)[1] for name in column(lines, "source_file")} == {"odd.csv"}
+    write(tmp_path / "fine", "a.csv", HEADER)
+    assert files.odd_csv_lines(spark, str(tmp_path / "fine")).collect() == []
+
+
 def test_decode_key(spark):
     frame = spark.createDataFrame([("a+b%2Fc%20d",), ("%zz",), ("100%",), ("%41%4",)], "k string")
     assert column(frame.select(files.decode_key(F.col("k")).alias("k")), "k") == ["%zz", "100%", "A%4", "a b/c d"]

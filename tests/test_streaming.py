@@ -2,6 +2,8 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
+
 from tests.helpers import clean, column, epoch, values
 from tidegauge.operators.anomalies import anomaly_log, flag_anomalies
 from tidegauge.operators.cleaning import clean_readings
@@ -16,7 +18,7 @@ from tidegauge.operators.windows import (
 from tidegauge.schema import CORRUPT, RAW_COLUMNS
 from tidegauge.sources.files import bronze_records, quarantined_lines
 from tidegauge.sources.workspace import shared_folder
-from tidegauge.streaming import bronze, gold
+from tidegauge.streaming import bronze, gold, progress
 
 
 def line(time, temperature="1"):
@@ -226,3 +228,79 @@ def test_batches_leave_no_scratch_folders(spark, tmp_path):
     for batch_id in range(3):
         write(clean(spark, [(batch_id * 300, 1.0)]), batch_id)
     assert left() == []
+
+
+HEADER = ",".join(RAW_COLUMNS)
+
+
+def store_csv(spark, feed, max_files=None):
+    query = bronze.start_csv_bronze(
+        bronze.stream_files(spark, str(feed.source), max_files),
+        path=feed.target,
+        checkpoint=feed.checkpoint,
+        trigger=bronze.ONCE,
+    )
+    query.awaitTermination()
+
+
+def test_csv_files_of_any_header_in_one_stream(spark, feed):
+    """Across batches and restarts; files without a known column are set aside whole."""
+    (feed.source / "a.csv").write_text(HEADER + "\n0,1,1,1,1,1\n")
+    (feed.source / "b c.csv").write_text("Light,Battery,Time\n5,low,1\n")
+    (feed.source / "odd.csv").write_text("x,y\n1,2\n")
+    store_csv(spark, feed, max_files=1)
+    (feed.source / "d.csv").write_text("Time\n2\n3,more\n")
+    store_csv(spark, feed)
+    store_csv(spark, feed)
+    stored = spark.read.parquet(feed.target)
+    good = bronze_records(stored)
+    assert values(good, "Time", "Light", "_extra") == [
+        ("0", "1", None), ("1", "5", '{"Battery":"low"}'), ("2", None, None), ("3", None, None)
+    ]
+    assert values(quarantined_lines(stored)) == [("1,2",), ("x,y",)]
+    assert values(stored.where("Time = '3'"), "_corrupt_record") == [("3,more",)]
+
+
+def test_a_csv_batch_that_runs_again_doubles_nothing(spark, feed):
+    (feed.source / "a.csv").write_text(HEADER + "\n0,1,1,1,1,1\n")
+    batch = spark.createDataFrame([(str(feed.source / "a.csv"),)], "path string")
+    write = bronze.csv_batch_writer(feed.target)
+    for _ in range(2):
+        write(batch, 7)
+    assert column(bronze_records(spark.read.parquet(feed.target)), "Time") == ["0"]
+
+
+@pytest.fixture
+def listener(spark, tmp_path):
+    listener = progress.IngestListener(spark, str(tmp_path / "progress"), every=2)
+    spark.streams.addListener(listener)
+    yield listener
+    spark.streams.removeListener(listener)
+
+
+def test_progress_of_every_batch_is_kept(spark, feed, listener):
+    """Rows of all runs of a stream; a stream that observes nothing adds none."""
+    for lines in (("{broken", line(0)), (line(1), line(2)), ("{", "{")):
+        feed.drop(*lines)
+    for _ in range(2):
+        query = bronze.start_bronze(
+            progress.observed(bronze.stream_json_lines(spark, str(feed.source), max_files=1)),
+            checkpoint=feed.checkpoint,
+            path=feed.target,
+            trigger=bronze.ONCE,
+        )
+        query.awaitTermination()
+        assert listener.wait(str(query.runId))
+        feed.drop(line(9))
+    other = bronze.start_append(
+        feed.readings(spark), checkpoint=feed.checkpoint + "2", path=feed.target + "2", trigger=bronze.ONCE
+    )
+    other.awaitTermination()
+    assert listener.wait(str(other.runId))
+    rows = progress.read_progress(spark, listener.path)
+    assert values(rows, "batch_id", "input_rows", "files") == [(0, 2, 1), (1, 2, 1), (2, 2, 1), (3, 1, 1)]
+    total = progress.summarize_progress(rows).first()
+    assert (total.batches, total.files, total.accepted, total.quarantined) == (4, 4, 4, 3)
+    again = rows.withColumn("started", F.col("started") + F.expr("INTERVAL 1 HOUR")).withColumn("accepted", F.lit(5).cast("long"))
+    again.coalesce(1).write.mode("append").partitionBy("day").parquet(listener.path)
+    assert column(progress.read_progress(spark, listener.path), "accepted") == [5, 5, 5, 5]

@@ -6,14 +6,18 @@ import hashlib
 
 from pyspark.sql import SparkSession
 
-from tidegauge.sinks.tables import counted, write_json_lines
-from tidegauge.sources.files import read_csv_drop, read_json_lines, write_bronze
+from tidegauge.sinks.tables import counted
+from tidegauge.sources.files import read_csv_as_json, read_json_lines, write_bronze
 
 
 def convert_drop(spark: SparkSession, csv_path: str, json_path: str) -> int:
-    """CSV drop folder to JSON lines; returns the number of records."""
-    rows, seen = counted(read_csv_drop(spark, csv_path), "convert_drop")
-    write_json_lines(rows, json_path)
+    """CSV drop folder to JSON lines; returns the number of records.
+
+    Each row becomes one object with all columns of its file's header, whatever they are,
+    so no file and no column is left out.
+    """
+    rows, seen = counted(read_csv_as_json(spark, csv_path), "convert_drop")
+    rows.write.text(json_path)
     return seen.get["rows"]
 
 

@@ -42,6 +42,20 @@ def remove_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def read_head(spark: SparkSession, path: str, size: int) -> bytes:
+    """Up to ``size`` bytes from the beginning of a file of any Hadoop file system, decompressed."""
+    gateway, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = gateway.org.apache.hadoop.fs.Path(path)
+    codec = gateway.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
+    stream = where.getFileSystem(conf).open(where)
+    try:
+        if codec is not None:
+            stream = codec.createInputStream(stream)
+        return bytes(stream.readNBytes(size))
+    finally:
+        stream.close()
+
+
 _OPEN: list[Scratch] = []
 
 

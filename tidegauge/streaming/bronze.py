@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegauge.schema import CORRUPT, QUARANTINED, RAW_SCHEMA
+from tidegauge.schema import CORRUPT, LOAD, QUARANTINED, RAW_SCHEMA
 from tidegauge.sinks.tables import to_json_lines
-from tidegauge.sources.files import json_schema, mark_quarantined
+from tidegauge.sources.files import json_schema, mark_quarantined, odd_csv_lines, read_csv_drop
 
 # Fixed value: how often new files are looked for.
 EVERY_TWO_SECONDS: Mapping[str, Any] = {"processingTime": "2 seconds"}
@@ -46,7 +47,10 @@ def stream_csv_drop(
     multiline: bool = True,
     max_files: int | None = None,
 ) -> DataFrame:
-    """New CSV files of a drop folder, every column as text."""
+    """New CSV files of a drop folder that all have one header, every column as text.
+
+    Another header raises; :func:`start_csv_bronze` takes files of any headers.
+    """
     reader = (
         spark.readStream.schema(schema)
         .option("header", True)
@@ -59,6 +63,64 @@ def stream_csv_drop(
     return reader.csv(path)
 
 
+def stream_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """``path`` of each new file of a folder, which is not read."""
+    reader = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("recursiveFileLookup", True)
+    )
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.load(path).select("path")
+
+
+def csv_batch_writer(
+    path: str, schema: T.StructType = RAW_SCHEMA, *, multiline: bool = True
+) -> Callable[[DataFrame, int], None]:
+    """A function that stores the CSV files of one micro-batch, whatever their headers.
+
+    Files are grouped by header and each group is read by it, with the columns that the
+    schema doesn't know in ``_extra``. The lines of files without a known column go to the
+    quarantine. Every batch replaces its own partition, so a replay doubles nothing.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        paths = [row.path for row in batch.collect()]
+        rows = read_csv_drop(spark, paths, schema, multiline=multiline, extras=True, source=True)
+        good = rows.withColumn(QUARANTINED, F.lit(False))
+        odd = odd_csv_lines(spark, paths, schema).withColumn(QUARANTINED, F.lit(True))
+        (
+            good.unionByName(odd, allowMissingColumns=True)
+            .withColumn(LOAD, F.lit(str(batch_id)))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(LOAD, QUARANTINED)
+            .parquet(path)
+        )
+
+    return write
+
+
+def start_csv_bronze(
+    files: DataFrame,
+    *,
+    path: str,
+    checkpoint: str,
+    schema: T.StructType = RAW_SCHEMA,
+    multiline: bool = True,
+    trigger: Mapping[str, Any] = EVERY_TWO_SECONDS,
+) -> StreamingQuery:
+    """Store the rows of CSV files of :func:`stream_files` as they come, each file once."""
+    return (
+        files.writeStream.foreachBatch(csv_batch_writer(path, schema, multiline=multiline))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def start_append(
     stream: DataFrame,
     *,

@@ -117,6 +117,11 @@ def _sql(steps: tuple[str, ...], select: str) -> str:
     return "WITH " + ",".join(steps) + "\n" + select
 
 
+_MIXED = (
+    f"time, {_each('{m}', METRICS[:-1])},"
+    " CASE WHEN event_id % 3 <> 2 THEN loudness END AS loudness,"
+    " CASE WHEN event_id % 3 = 1 THEN 'b,' || event_id END AS battery"
+)
 _TYPED_VALUES = f"SELECT time, {_each('{m}')} FROM typed"
 _AVERAGES_5MIN = ", ".join(f"{_round(f'avg_{_s(m)}_5min')} AS avg_{_s(m)}_5min" for m in METRICS)
 _SILVER = f"""
@@ -243,11 +248,25 @@ ORACLE: dict[str, str] = {
     "bronze_read": _sql((_RAW, _TYPED), _TYPED_VALUES),
     "bronze_read_nested": _sql((_RAW, _TYPED), _TYPED_VALUES),
     "load_twice": _sql((_RAW, _TYPED), _TYPED_VALUES),
-    "ingest_csv_mixed_headers": _sql(
+    "ingest_csv_mixed_headers": _sql((_RAW, _TYPED), f"SELECT {_MIXED} FROM typed"),
+    "csv_to_json_as_is": _sql(
+        (_RAW, _TYPED),
+        f"SELECT {_MIXED}, CAST(NULL AS VARCHAR) AS x FROM typed"
+        f" UNION ALL SELECT NULL, {_each('NULL')}, NULL, CAST(range AS VARCHAR) FROM range(3)",
+    ),
+    "stream_csv_mixed_headers": _sql(
         (_RAW, _TYPED),
-        f"SELECT time, {_each('{m}', METRICS[:-1])},"
-        " CASE WHEN event_id % 3 <> 2 THEN loudness END AS loudness,"
-        " CASE WHEN event_id % 3 = 1 THEN 'b,' || event_id END AS battery FROM typed",
+        f"SELECT {_MIXED}, CAST(NULL AS VARCHAR) AS odd_line FROM typed"
+        f" UNION ALL SELECT NULL, {_each('NULL')}, NULL, line"
+        " FROM (SELECT CAST(range AS VARCHAR) AS line FROM range(3)"
+        # one header line in each of the odd folder's files, which hold a row each
+        " UNION ALL SELECT 'x' FROM range(3))",
+    ),
+    "ingest_progress": _sql(
+        (_RAW,),
+        "SELECT count(*) FILTER (temperature_text IS DISTINCT FROM 'bad') AS accepted,"
+        " count(*) FILTER (temperature_text = 'bad') AS quarantined,"
+        " CAST(1 AS BIGINT) AS files, count(*) AS input_rows FROM raw GROUP BY event_id % 160",
     ),
     "bronze_quarantine": _sql((_RAW, _TYPED), _GOOD_AND_BAD),
     "bronze_stream": _sql((_RAW, _TYPED), _GOOD_AND_BAD),

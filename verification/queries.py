@@ -52,6 +52,7 @@ from tidegauge.sources.event_readings import readings_from_events
 from tidegauge.sources.workspace import materialize, scratch_path
 from tidegauge.streaming import bronze as bronze_stream_ops
 from tidegauge.streaming import gold as gold_stream_ops
+from tidegauge.streaming.progress import IngestListener, observed, read_progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,8 +126,8 @@ def _dropped_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv_drop(spark, path, source=True)
 
 
-def ingest_csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Drops with columns in another order, one more or one fewer, and an odd file."""
+def _mixed_drops(spark: SparkSession, sf_dir: str) -> str:
+    """Drops with columns in another order, one more or one fewer, and an odd file."""
     root = scratch_path(spark, "mixed")
     raw = raw_readings(spark, sf_dir, ("event_id",))
     drops = (
@@ -137,12 +138,42 @@ def ingest_csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, drop in enumerate(drops):
         part = drop.where(F.pmod("event_id", F.lit(3)) == i).drop("event_id")
         part.write.option("header", True).csv(f"{root}/{i}")
-    spark.range(3).select(F.col("id").alias("x")).write.option("header", True).csv(f"{root}/odd")
-    rows = files.read_csv_drop(spark, root, extras=True)
+    spark.range(0, 3, 1, 3).select(F.col("id").alias("x")).write.option("header", True).csv(f"{root}/odd")
+    return root
+
+
+def _with_battery(rows: DataFrame) -> DataFrame:
     battery = F.get_json_object("_extra", "$.Battery").alias("battery")
     return to_typed(rows.withColumn("battery", battery), ("battery",)).drop(TIME)
 
 
+def ingest_csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All files of a drop with different headers."""
+    return _with_battery(files.read_csv_drop(spark, _mixed_drops(spark, sf_dir), extras=True))
+
+
+def csv_to_json_as_is(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: files of any headers to JSON lines with all of their columns, an odd file's too."""
+    target = scratch_path(spark, "json")
+    convert_drop(spark, _mixed_drops(spark, sf_dir), target)
+    schema = T.StructType([*RAW_SCHEMA, *(T.StructField(name, T.StringType()) for name in ("Battery", "x"))])
+    lines = files.good_records(files.read_json_lines(spark, target, schema))
+    renamed = lines.withColumnRenamed("Battery", "battery")
+    return to_typed(renamed, ("battery", "x")).drop(TIME)
+
+
+def stream_csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same drops as a stream; the odd file's lines are in the quarantine."""
+    target, checkpoint = scratch_path(spark, "bronze"), scratch_path(spark, "commits")
+    dropped = bronze_stream_ops.stream_files(spark, _mixed_drops(spark, sf_dir), max_files=5)
+    once = bronze_stream_ops.ONCE
+    _finish(bronze_stream_ops.start_csv_bronze(dropped, path=target, checkpoint=checkpoint, trigger=once))
+    stored = spark.read.parquet(target)
+    good = _with_battery(files.bronze_records(stored)).withColumn("odd_line", F.lit(None).cast("string"))
+    odd = files.quarantined_lines(stored).select(F.col("line").alias("odd_line"))
+    return good.unionByName(odd, allowMissingColumns=True)
+
+
 def ingest_file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: records per file of a drop, added up per day folder."""
     counts = files.count_rows_per_file(_dropped_by_day(spark, sf_dir))
@@ -534,6 +565,37 @@ def bronze_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _good_and_bad(spark.read.parquet(target))
 
 
+PROGRESS_FILES = 160
+
+
+def ingest_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: lines accepted and set aside by each of 160 micro-batches, written by a listener."""
+    source, target, checkpoint, log = (
+        scratch_path(spark, label) for label in ("feed", "bronze", "commits", "progress")
+    )
+    raw = raw_readings(spark, sf_dir, ("event_id",))
+    value = F.to_json(F.struct(*RAW_COLUMNS), {"ignoreNullFields": "false"})
+    broken = F.when(F.col("Temperature") == "bad", F.concat(F.lit("{"), value)).otherwise(value)
+    part = F.pmod("event_id", F.lit(PROGRESS_FILES)).cast("int")
+    lines = raw.select(part.alias("part"), broken.alias("value"))
+    lines.repartition(8, "part").write.partitionBy("part").text(source)
+    listener = IngestListener(spark, log, every=40)
+    spark.streams.addListener(listener)
+    try:
+        query = bronze_stream_ops.start_bronze(
+            observed(bronze_stream_ops.stream_json_lines(spark, source, max_files=1)),
+            checkpoint=checkpoint,
+            path=target,
+            trigger=bronze_stream_ops.ONCE,
+        )
+        _finish(query)
+        if not listener.wait(str(query.runId)):
+            raise RuntimeError("the listener has not been told of the end of the stream")
+    finally:
+        spark.streams.removeListener(listener)
+    return read_progress(spark, log).select("accepted", "quarantined", "files", "input_rows")
+
+
 def _streamed(spark: SparkSession, sf_dir: str) -> gold_stream_ops.GoldFolders:
     """The readings in three micro-batches that are out of order, with one far-off time.
 
@@ -650,6 +712,9 @@ QUERIES: dict[str, Query] = {
     "bronze_read_nested": bronze_read_nested,
     "load_twice": load_twice,
     "ingest_csv_mixed_headers": ingest_csv_mixed_headers,
+    "csv_to_json_as_is": csv_to_json_as_is,
+    "stream_csv_mixed_headers": stream_csv_mixed_headers,
+    "ingest_progress": ingest_progress,
     "bronze_quarantine": bronze_quarantine,
     "ndjson_roundtrip": ndjson_roundtrip,
     "clean_names": clean_column_names,
