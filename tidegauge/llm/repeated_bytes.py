@@ -38,7 +38,7 @@ from tidegauge.sources.workspace import Scratch
 #: Bytes of a string that is removed if it occurs twice.
 LENGTH = 200
 #: Different contexts of an anchor that go to one task.
-MOST_CONTEXTS = 4096
+MOST_CONTEXTS = 512
 #: Bytes of contexts whose suffixes are sorted at a time, if whole anchors are shorter.
 SORTED_BYTES = 1 << 20
 #: Offsets from the anchor that strings of one key may have, by level after the first.
