@@ -8,7 +8,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions import correlation, shift_seconds
+from tidegauge.functions import bucket_start, correlation, shift_seconds
 from tidegauge.operators.anomalies import only_anomalies
 from tidegauge.operators.parts import average_of_parts, sums_of
 from tidegauge.schema import (
@@ -110,6 +110,35 @@ def anomaly_rate_of(summary: DataFrame) -> DataFrame:
     )
 
 
+def summarize_groups(
+    flagged: DataFrame,
+    keys: tuple[str, ...],
+    groupings: tuple[tuple[str, ...], ...],
+    metrics: tuple[str, ...] = METRICS,
+) -> DataFrame:
+    """Averages and anomaly counts by several groupings of keys, ``hour`` and ``day`` at once.
+
+    The readings are read once and summed per key and hour; these sums are then added up
+    by all ``groupings``. A column that a row is not grouped by is NULL there, and
+    ``grouping`` names the columns that it is grouped by, so a NULL key stays apart.
+    Readings without a time have NULL as hour and day.
+    """
+    hour = bucket_start(F.col(TIME), 3600)
+    sums = flagged.groupBy(*keys, hour.alias("hour")).agg(
+        F.count("*").alias("readings"), *sums_of(metrics), F.sum(OVERALL_FLAG).alias("anomalies")
+    )
+    parts = sums.withColumn("day", bucket_start(F.col("hour"), 24 * 3600))
+    columns = [*keys, "hour", "day"]
+    sets = [[F.col(name) for name in grouping] for grouping in groupings]
+    named = F.concat_ws(",", *(F.when(F.grouping(name) == 0, name) for name in columns))
+    return parts.groupingSets(sets, *columns).agg(
+        named.alias("grouping"),
+        F.sum("readings").alias("readings"),
+        *(average_of_parts(metric).alias(rollup_average(metric)) for metric in metrics),
+        F.sum("anomalies").alias("total_anomalies"),
+    )
+
+
 def fill_gaps(
     rate: DataFrame, first: dt.datetime, last: dt.datetime, *, seconds: int = RATE_SECONDS
 ) -> DataFrame:

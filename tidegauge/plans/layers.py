@@ -189,9 +189,9 @@ def refresh_gold(
         rate = anomaly_rate_of(summary)
         overwrite_table(hourly, tables.device_stats)
         overwrite_table(rate, tables.anomaly_rate)
-        days = [row[0] for row in summary.select(_day("window_start")).distinct().collect()]
+        days = [row[0] for row in summary.select(day_of("window_start")).distinct().collect()]
         log = anomaly_log(flagged).withColumn("run_id", F.lit(run_id))
-        write_days(log.select("*", _day("detected_at")), tables.anomaly_log, [*days, NO_DAY])
+        write_days(log.select("*", day_of("detected_at")), tables.anomaly_log, [*days, NO_DAY])
         if tables.baseline:
             overwrite_table(stats, tables.baseline)
         if tables.metrics:
@@ -204,6 +204,7 @@ def refresh_gold(
 NO_DAY = "none"
 
 
-def _day(time: str) -> Column:
+def day_of(time: str) -> Column:
+    """The UTC day of a time as a partition value."""
     day = F.to_date(utc_wall_clock(F.col(time))).cast("string")
     return F.coalesce(day, F.lit(NO_DAY)).alias("event_day")

@@ -80,6 +80,7 @@ class Scratch:
         where = context._jvm.org.apache.hadoop.fs.Path(self.folder)
         self._system = where.getFileSystem(context._jsc.hadoopConfiguration())
         self._where = where
+        self._labels = 0
         _OPEN.append(self)
         atexit.register(self.close)
 
@@ -95,6 +96,11 @@ class Scratch:
         df.write.parquet(self.path(label))
         return self.spark.read.schema(df.schema).parquet(self.path(label))
 
+    def fresh(self, label: str) -> str:
+        """A label that this scratch has not had before."""
+        self._labels += 1
+        return f"{label}-{self._labels}"
+
     def drop(self, *labels: str) -> None:
         """Remove tables that nothing reads any more."""
         for label in labels:

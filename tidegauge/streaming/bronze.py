@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegauge.schema import CORRUPT, LOAD, QUARANTINED, RAW_SCHEMA
-from tidegauge.sinks.tables import to_json_lines
+from tidegauge.sinks.tables import to_json_lines, write_run_path
 from tidegauge.sources.files import json_schema, mark_quarantined, odd_csv_lines, read_csv_drop
+from tidegauge.sources.workspace import Scratch
 
 # Fixed value: how often new files are looked for.
 EVERY_TWO_SECONDS: Mapping[str, Any] = {"processingTime": "2 seconds"}
@@ -75,19 +76,54 @@ def stream_files(spark: SparkSession, path: str, max_files: int | None = None) -
     return reader.load(path).select("path")
 
 
+LEDGER_SCHEMA = "digest string, length bigint, source_file string, batch_id int"
+
+
+def new_contents(spark: SparkSession, paths: list[str], ledger: str, batch_id: int) -> list[str]:
+    """Those of ``paths`` whose contents no file had in an earlier batch or has before it in this.
+
+    Files are told apart by the digest and length of their bytes. ``ledger`` is a folder
+    that names every file taken so far; the same batch again replaces its own part.
+    """
+    found = (
+        spark.read.format("binaryFile")
+        .load(paths)
+        .select(F.sha2("content", 256).alias("digest"), "length", F.col("path").alias("source_file"))
+        .groupBy("digest", "length")
+        .agg(F.min("source_file").alias("source_file"))
+    )
+    scratch = Scratch(spark, "contents")
+    try:
+        own = scratch.table(found, "found")
+        if batch_id > 0:
+            earlier = spark.read.schema(LEDGER_SCHEMA).parquet(ledger).where(F.col("batch_id") < batch_id)
+            own = scratch.table(own.join(earlier, ["digest", "length"], "left_anti"), "new")
+        write_run_path(own, ledger, str(batch_id), "batch_id")
+        return sorted(row.source_file for row in own.select("source_file").collect())
+    finally:
+        scratch.close()
+
+
 def csv_batch_writer(
-    path: str, schema: T.StructType = RAW_SCHEMA, *, multiline: bool = True
+    path: str,
+    schema: T.StructType = RAW_SCHEMA,
+    *,
+    multiline: bool = True,
+    ledger: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A function that stores the CSV files of one micro-batch, whatever their headers.
 
     Files are grouped by header and each group is read by it, with the columns that the
     schema doesn't know in ``_extra``. The lines of files without a known column go to the
-    quarantine. Every batch replaces its own partition, so a replay doubles nothing.
+    quarantine. Every batch replaces its own partition, so a replay doubles nothing. With
+    a ``ledger`` folder a file that is sent again under another name is left out too.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         paths = [row.path for row in batch.collect()]
+        if ledger is not None and paths:
+            paths = new_contents(spark, paths, ledger, batch_id)
         rows = read_csv_drop(spark, paths, schema, multiline=multiline, extras=True, source=True)
         good = rows.withColumn(QUARANTINED, F.lit(False))
         odd = odd_csv_lines(spark, paths, schema).withColumn(QUARANTINED, F.lit(True))
@@ -110,11 +146,12 @@ def start_csv_bronze(
     checkpoint: str,
     schema: T.StructType = RAW_SCHEMA,
     multiline: bool = True,
+    ledger: str | None = None,
     trigger: Mapping[str, Any] = EVERY_TWO_SECONDS,
 ) -> StreamingQuery:
     """Store the rows of CSV files of :func:`stream_files` as they come, each file once."""
     return (
-        files.writeStream.foreachBatch(csv_batch_writer(path, schema, multiline=multiline))
+        files.writeStream.foreachBatch(csv_batch_writer(path, schema, multiline=multiline, ledger=ledger))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

@@ -122,6 +122,27 @@ _MIXED = (
     " CASE WHEN event_id % 3 <> 2 THEN loudness END AS loudness,"
     " CASE WHEN event_id % 3 = 1 THEN 'b,' || event_id END AS battery"
 )
+_MEDIANS = f"""
+overall AS (SELECT {_each("quantile_disc({m}, 0.5) AS median_{s}", METRICS[:2])} FROM clean),
+by_user AS (SELECT user_id, {_each("quantile_disc({m}, 0.5) AS median_{s}", METRICS[:2])} FROM clean GROUP BY user_id)"""
+_ROBUST = "count(*) AS readings, " + _each(
+    "min(median_{s}) AS median_{s}, quantile_disc(abs({m} - median_{s}), 0.5) AS mad_{s}", METRICS[:2]
+)
+_SESSIONS = """
+begun AS (
+  SELECT *, CASE WHEN event_time - lag(event_time) OVER w < INTERVAL '30 minutes' THEN 0 ELSE 1 END AS new
+  FROM clean WHERE event_time IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY event_time)),
+sessions AS (
+  SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY event_time) AS session FROM begun)"""
+_SESSION_ROWS = (
+    "SELECT user_id, min(event_time) AS session_start, max(event_time) + INTERVAL '30 minutes' AS session_end,"
+    f" count(*) AS readings, {', '.join(f'{_round(f'avg({m})')} AS avg_{_s(m)}' for m in METRICS)}"
+    " FROM sessions GROUP BY user_id, session"
+)
+_HOURS_AND_DAYS = """
+dated AS (
+  SELECT *, date_trunc('hour', event_time) AS hour, CAST(date_trunc('day', event_time) AS TIMESTAMP) AS day
+  FROM flagged)"""
 _TYPED_VALUES = f"SELECT time, {_each('{m}')} FROM typed"
 _AVERAGES_5MIN = ", ".join(f"{_round(f'avg_{_s(m)}_5min')} AS avg_{_s(m)}_5min" for m in METRICS)
 _SILVER = f"""
@@ -492,4 +513,60 @@ ORACLE: dict[str, str] = {
     ),
     "stream_device_stats": _sql(_TO_GOLD, _HOURLY_ROWS),
     "stream_anomaly_rate": _sql(_TO_GOLD, "SELECT * FROM rate"),
+    "stream_late_windows": _sql(
+        (*_TO_CLEAN, _WIN),
+        f"SELECT window_start, window_end, {_AVERAGES_5MIN}, readings FROM win",
+    ),
+    "profile_from_sketches": _sql(
+        _TO_CLEAN,
+        _UNION.join(
+            f"SELECT '{m}' AS metric, count({m}) AS non_null, min({m}) AS min_value, max({m}) AS max_value,"
+            " 1 AS distinct_near, 1 AS q50_near, 1 AS q95_near, 1 AS q99_near FROM clean"
+            " WHERE event_time >= TIMESTAMP '2024-01-08' AND event_time < TIMESTAMP '2024-01-15'"
+            for m in METRICS
+        ),
+    ),
+    "robust_baseline": _sql(
+        (*_TO_CLEAN, _MEDIANS),
+        f"SELECT user_id, {_ROBUST} FROM clean JOIN by_user USING (user_id) GROUP BY user_id"
+        f" UNION ALL SELECT NULL, {_ROBUST} FROM clean, overall",
+    ),
+    "spike_episodes": _sql(
+        _TO_GOLD,
+        "SELECT min(window_start) AS episode_start, max(window_end) AS episode_end, count(*) AS windows,"
+        " CAST(sum(anomaly_count) AS BIGINT) AS anomalies, max(anomaly_count) AS peak,"
+        " first(window_start ORDER BY anomaly_count DESC, window_start) AS peak_start FROM ("
+        "SELECT *, window_start - INTERVAL '10 minutes' * row_number() OVER (ORDER BY window_start) AS run"
+        " FROM rate WHERE anomaly_count >= 2) GROUP BY run",
+    ),
+    "device_sessions": _sql((*_TO_CLEAN, _SESSIONS), _SESSION_ROWS),
+    "stream_device_sessions": _sql((*_TO_CLEAN, _SESSIONS), _SESSION_ROWS),
+    "asof_purchase": _sql(
+        (
+            *_TO_CLEAN,
+            "purchases AS (SELECT user_id, date_trunc('second', ts) AS matched_time, max(value) AS value"
+            " FROM events WHERE event_type = 'purchase' GROUP BY ALL)",
+        ),
+        "SELECT event_id, matched_time, value FROM clean ASOF LEFT JOIN purchases"
+        " ON clean.user_id = purchases.user_id AND event_time >= matched_time",
+    ),
+    "grouped_rollups": _sql(
+        (*_TO_FLAGGED, _HOURS_AND_DAYS),
+        "SELECT user_id, hour, day, concat_ws(',', CASE WHEN grouping(user_id) = 0 THEN 'user_id' END,"
+        " CASE WHEN grouping(hour) = 0 THEN 'hour' END, CASE WHEN grouping(day) = 0 THEN 'day' END) AS grouping,"
+        f" count(*) AS readings, {', '.join(f'{_round(f'avg({m})')} AS avg_{_s(m)}' for m in METRICS)},"
+        " CAST(sum(overall_anomaly) AS BIGINT) AS total_anomalies FROM dated"
+        " GROUP BY GROUPING SETS ((user_id, hour), (user_id, day), (user_id), (hour), (day), ())",
+    ),
+    "stream_repeated_drop": _sql((_RAW, _TYPED), _TYPED_VALUES),
+    "expired_silver": _sql(
+        _TO_JOINED,
+        f"SELECT time, {_each('{m}')}, event_time, {_AVERAGES_5MIN}, NULL AS dropped_day FROM joined"
+        " WHERE event_time IS NULL OR event_time >= TIMESTAMP '2024-01-15'"
+        f" UNION ALL SELECT NULL, {_each('NULL')}, NULL, {_each('NULL')}, day"
+        " FROM (SELECT DISTINCT strftime(event_time, '%Y-%m-%d') AS day FROM joined"
+        " WHERE event_time < TIMESTAMP '2024-01-15')",
+    ),
+    "followed_device_stats": _sql(_TO_GOLD, _HOURLY_ROWS),
+    "followed_log": _sql(_TO_GOLD, "SELECT * FROM log"),
 }

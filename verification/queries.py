@@ -7,6 +7,7 @@ because the last bit of a float average depends on the order of addition.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import uuid
 from collections.abc import Callable
@@ -15,9 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.functions import clamp_timestamp, clean_names, clean_text, utc_wall_clock
+from tidegauge.functions import clamp_timestamp, clean_names, clean_text, utc_wall_clock, wall_clock_epoch
+from tidegauge.operators import asof, islands, quality, quantiles, rolling, rollups, sketches
 from tidegauge.operators import metrics as metric_ops
-from tidegauge.operators import quality, rolling, rollups
 from tidegauge.operators.anomalies import (
     anomaly_log,
     flag_anomalies_by_key,
@@ -27,6 +28,7 @@ from tidegauge.operators.baseline import baseline
 from tidegauge.operators.cleaning import clean_readings, rejected, to_typed
 from tidegauge.operators.windows import tumbling_averages
 from tidegauge.plans.checks import check_flagged, check_rollup, check_tables
+from tidegauge.plans.incremental import FollowingTables, follow_loads
 from tidegauge.plans.ingest import convert_drop, load_bronze
 from tidegauge.plans.layers import (
     GoldTables,
@@ -46,12 +48,14 @@ from tidegauge.schema import (
     short,
     window_average,
 )
+from tidegauge.sinks import retention
 from tidegauge.sinks.tables import overwrite_table, to_json_lines, write_json_lines
 from tidegauge.sources import files
 from tidegauge.sources.event_readings import readings_from_events
-from tidegauge.sources.workspace import materialize, scratch_path
+from tidegauge.sources.workspace import Scratch, materialize, scratch_path
 from tidegauge.streaming import bronze as bronze_stream_ops
 from tidegauge.streaming import gold as gold_stream_ops
+from tidegauge.streaming import rollup as rollup_ops
 from tidegauge.streaming.progress import IngestListener, observed, read_progress
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -524,6 +528,77 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.profile(readings(spark, sf_dir).clean)
 
 
+#: The week that is put together from hourly sketches.
+WEEK = ("2024-01-08", "2024-01-15")
+
+
+def profile_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: a week's profile from stored hourly sketches, held against the readings themselves."""
+    clean = readings(spark, sf_dir).clean
+    stored = materialize(sketches.sketch_windows(clean), "sketches")
+    first, end = (F.lit(day).cast("timestamp_ntz") for day in WEEK)
+
+    def in_week(time: str) -> Column:
+        wall = utc_wall_clock(F.col(time))
+        return (wall >= first) & (wall < end)
+
+    names = [f"q{100 * q:g}" for q in sketches.QUANTILES]
+    profile = materialize(sketches.profile_of(stored.where(in_week("window_start"))), "profile")
+    values = F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in METRICS))
+    rows = clean.where(in_week(TIME)).select(F.inline(values)).join(F.broadcast(profile), "metric")
+
+    def near(name: str, q: float) -> Column:
+        below = F.count_if(F.col("value") < F.col(name)) / F.count("value")
+        upto = F.count_if(F.col("value") <= F.col(name)) / F.count("value")
+        return ((below <= q + sketches.RANK_ERROR) & (upto >= q - sketches.RANK_ERROR)).cast("int").alias(f"{name}_near")
+
+    exact = F.count_distinct("value")
+    off = F.abs(F.max("distinct_values") - exact) <= F.ceil(exact * sketches.DISTINCT_ERROR)
+    return rows.groupBy("metric").agg(
+        F.max("non_null").alias("non_null"),
+        F.max("min_value").alias("min_value"),
+        F.max("max_value").alias("max_value"),
+        off.cast("int").alias("distinct_near"),
+        *(near(name, q) for name, q in zip(names, sketches.QUANTILES, strict=True)),
+    )
+
+
+def robust_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: medians and median absolute deviations, overall (no user) and per user."""
+    scratch = Scratch(spark, "robust")
+    clean = materialize(readings(spark, sf_dir).clean, "clean")
+    columns = ["user_id", "readings", "median_temp", "mad_temp", "median_humidity", "mad_humidity"]
+    overall = quantiles.robust_baseline(clean, scratch).withColumn("user_id", F.lit(None).cast("bigint"))
+    by_user = quantiles.robust_baseline(clean, scratch, ("user_id",))
+    return overall.select(columns).unionByName(by_user.select(columns))
+
+
+def spike_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of spike windows with start, end, peak and length."""
+    return shown(islands.spike_episodes(_rate(spark, sf_dir), ALERT_THRESHOLD))
+
+
+def device_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2.12: sessions per user, half an hour apart."""
+    return shown(islands.device_sessions(readings(spark, sf_dir).clean, ["user_id"]), ROLLUP_AVERAGES)
+
+
+def asof_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2.5: each reading with the latest purchase of its user at that time or before."""
+    bought = events(spark, sf_dir).where("event_type = 'purchase'")
+    moment = F.timestamp_seconds(wall_clock_epoch(F.col("ts"))).alias(TIME)
+    purchases = bought.select("user_id", moment, "value")
+    clean = readings(spark, sf_dir).clean.select("event_id", "user_id", TIME)
+    return shown(asof.asof_join(clean, purchases, ["user_id"], ["value"]).drop("user_id", TIME))
+
+
+def grouped_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2.6: averages and anomalies by user, hour and day in one pass."""
+    sets = (("user_id", "hour"), ("user_id", "day"), ("user_id",), ("hour",), ("day",), ())
+    grouped = rollups.summarize_groups(readings(spark, sf_dir).scored, ("user_id",), sets)
+    return shown(grouped, ROLLUP_AVERAGES)
+
+
 # --- streaming --------------------------------------------------------------------
 
 
@@ -659,6 +734,78 @@ def stream_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(log.where(F.col("detected_at").isNull() | (F.col("detected_at") < FAR_OFF)))
 
 
+def stream_device_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2.12: the same sessions from a stream whose batches are out of order.
+
+    A last reading, far later than the others, closes all sessions.
+    """
+    source, target, checkpoint = (scratch_path(spark, label) for label in ("feed", "sessions", "commits"))
+    raw = readings_from_events(events(spark, sf_dir), ("event_id", "user_id"))
+    record = F.to_json(F.struct(*RAW_COLUMNS, "user_id"), {"ignoreNullFields": "false"}).alias("value")
+    last = raw.where("Time is not null").limit(1).withColumn("Time", F.lit("1735689600"))
+    batches = [raw.where(F.pmod("event_id", F.lit(3)) == i) for i in range(3)] + [last.withColumn("user_id", F.lit(-1))]
+    schema = T.StructType([*RAW_SCHEMA, T.StructField("user_id", T.LongType())])
+    for batch in batches:
+        batch.select(record).write.mode("append").text(source)
+        lines = bronze_stream_ops.stream_json_lines(spark, source, schema)
+        clean = clean_readings(lines.drop(CORRUPT), ("user_id",)).withWatermark(TIME, "60 days")
+        _finish(
+            bronze_stream_ops.start_append(
+                islands.session_averages(clean, ["user_id"]),
+                checkpoint=checkpoint,
+                path=target,
+                trigger=bronze_stream_ops.ONCE,
+            )
+        )
+    return shown(spark.read.parquet(target).where("user_id >= 0"), ROLLUP_AVERAGES)
+
+
+def stream_repeated_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2.9: drops of which all files come again under other names, in one batch and later."""
+    root, target, checkpoint, ledger = (
+        scratch_path(spark, label) for label in ("drops", "bronze", "commits", "ledger")
+    )
+    raw = raw_readings(spark, sf_dir, ("event_id",))
+    for i, folder in enumerate(("a", "b", "a again", "b again")):
+        part = raw.where(F.pmod("event_id", F.lit(2)) == i % 2).drop("event_id")
+        part.write.option("header", True).csv(f"{root}/{folder}")
+        if i in (1, 3):
+            dropped = bronze_stream_ops.stream_files(spark, root, max_files=3)
+            _finish(
+                bronze_stream_ops.start_csv_bronze(
+                    dropped, path=target, checkpoint=checkpoint, ledger=ledger, trigger=bronze_stream_ops.ONCE
+                )
+            )
+    return to_typed(files.bronze_records(spark.read.parquet(target))).drop(TIME)
+
+
+def _in_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Raw readings by a third of the month each, a twentieth of them a part later; one stray time."""
+    raw = readings_from_events(events(spark, sf_dir), ("event_id", "ts"))
+    part = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)) + F.when(F.col("event_id") % 20 == 0, 1).otherwise(0)
+    numbered = raw.withColumn("part", F.coalesce(part, F.lit(0)))
+    parts = [numbered.where(F.col("part") == i).select(*RAW_COLUMNS) for i in range(4)]
+    stray = raw.select(*RAW_COLUMNS).where("Time is not null").limit(1)
+    return [parts[0].unionByName(stray.withColumn("Time", F.concat("Time", F.lit("000")))), *parts[1:]]
+
+
+def stream_late_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows held as streaming state, and late readings put right by a batch step."""
+    source, bronze, commits, root = (scratch_path(spark, label) for label in ("feed", "bronze", "commits", "rollup"))
+    folders = rollup_ops.RollupFolders.below(root)
+    once = bronze_stream_ops.ONCE
+    for run, part in enumerate(_in_parts(spark, sf_dir)):
+        write_json_lines(part, source, mode="append")
+        lines = bronze_stream_ops.stream_json_lines(spark, source)
+        _finish(bronze_stream_ops.start_bronze(lines, checkpoint=f"{commits}/bronze", path=bronze, trigger=once))
+        clean = clean_readings(lines.drop(CORRUPT))
+        _finish(rollup_ops.start_rollup(clean, folders, checkpoint=f"{commits}/rollup", trigger=once))
+        stored = clean_readings(files.bronze_records(spark.read.parquet(bronze)))
+        rollup_ops.heal(stored, folders, run)
+    windows = rollup_ops.rolled_up(rollup_ops.all_windows(stored, folders), 300)
+    return shown(windows.where(F.col("window_start") < FAR_OFF), WINDOW_AVERAGES)
+
+
 # --- tables -----------------------------------------------------------------------
 
 
@@ -681,6 +828,38 @@ def refreshed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(rows)
 
 
+def _followed(spark: SparkSession, sf_dir: str) -> FollowingTables:
+    """Tables that followed three loads: most days, one more day, and late readings of all days."""
+    path = scratch_path(spark, "bronze")
+    raw = raw_readings(spark, sf_dir, ("event_id", "ts"))
+    load = F.when(F.col("event_id") % 50 == 0, "late").when(F.dayofmonth("ts") == 15, "day").otherwise("most")
+    tables = FollowingTables.named(_table("following"))
+    for name in ("most", "day", "late"):
+        part = raw.where(load == name).select(*RAW_COLUMNS).withColumn(CORRUPT, F.lit(None).cast("string"))
+        files.write_bronze(part, path, name)
+        follow_loads(spark, spark.read.parquet(path), tables, run_id=name, digits=None)
+    return tables
+
+
+def _dropped_after(spark: SparkSession, tables: FollowingTables, name: str) -> DataFrame:
+    rows = materialize(spark.read.table(name), "followed")
+    for field in dataclasses.fields(tables):
+        spark.sql(f"DROP TABLE {getattr(tables, field.name)}")
+    return rows
+
+
+def followed_device_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: the hourly rollup after three loads, of which each refreshed its days only."""
+    tables = _followed(spark, sf_dir)
+    return shown(_dropped_after(spark, tables, tables.device_stats).drop("event_day"), ROLLUP_AVERAGES)
+
+
+def followed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: the anomaly log after the same loads."""
+    tables = _followed(spark, sf_dir)
+    return shown(_dropped_after(spark, tables, tables.anomaly_log).drop("event_day", "run_id"))
+
+
 def merged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table written, replaced with other columns, and read back by name."""
     name = _table("merged")
@@ -692,6 +871,19 @@ def merged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+def expired_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed table after its old days were dropped."""
+    bronze, silver, audit = _table("bronze"), _table("silver"), _table("audit")
+    raw_readings(spark, sf_dir).write.saveAsTable(bronze)
+    refresh_silver(spark, bronze, silver, partition_by_date=True)
+    retention.expire_table(spark, silver, RETAIN_DAYS, NOW, audit, day_column="event_date")
+    rows = materialize(spark.read.table(silver).drop("event_date"), "silver")
+    dropped = materialize(spark.read.table(audit).select(F.col("day").alias("dropped_day")), "audit")
+    for name in (bronze, silver, audit):
+        spark.sql(f"DROP TABLE {name}")
+    return shown(rows, WINDOW_AVERAGES).unionByName(dropped, allowMissingColumns=True)
+
+
 def dq_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checks on a stored rollup; those on a missing table are skipped."""
     name = _table("hourly")
@@ -757,11 +949,23 @@ QUERIES: dict[str, Query] = {
     "dq_duplicates": dq_duplicates,
     "dq_summary": dq_summary,
     "profile": profile,
+    "profile_from_sketches": profile_from_sketches,
+    "robust_baseline": robust_baseline,
+    "spike_episodes": spike_episodes,
+    "asof_purchase": asof_purchase,
+    "device_sessions": device_sessions,
+    "grouped_rollups": grouped_rollups,
     "bronze_stream": bronze_stream,
     "bronze_restarted": bronze_restarted,
     "refreshed_log": refreshed_log,
     "merged_table": merged_table,
     "dq_tables": dq_tables,
+    "followed_device_stats": followed_device_stats,
+    "followed_log": followed_log,
+    "stream_late_windows": stream_late_windows,
+    "stream_device_sessions": stream_device_sessions,
+    "stream_repeated_drop": stream_repeated_drop,
+    "expired_silver": expired_silver,
     "stream_log": stream_log,
     "stream_tumbling": stream_tumbling,
     "stream_device_stats": stream_device_stats,
