@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import re
+import time
 import zlib
 
 from hypothesis import given, settings
@@ -11,6 +12,7 @@ from hypothesis import strategies as st
 
 from tidegauge.llm import secrets
 
+GOOD_HEAD = base64.urlsafe_b64encode(b'{"alg":"none"}').decode().rstrip("=")
 PIECES = st.sampled_from(
     ["password", "PassWord", "token", "secret", "api_key", "APIKEY", "passwd", "=", ":", " ", '"', "'", "\n", "abc", "abcdef",
      "x" * 7, "AKIA", "akia", "A1" * 9, "deadbeef" * 3, "0123456789ab" * 2, "f" * 23, "İ", "K", "ſecret", "-", "/", "é", "漢"]
@@ -65,6 +67,29 @@ def test_checksums(spark):
     assert rows[8].base_sha256 == hashlib.sha256(b"assign:0:16").hexdigest()
 
 
+def spans(text: str) -> list:
+    return secrets.spans_of(text, secrets.automaton(), secrets.patterns(), re.compile("[0-9a-f]{24,}"))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["eyJ", "EYJ", "eyj", ".", "a", "-", " ", GOOD_HEAD]), max_size=12).map("".join))
+def test_token_runs(text):
+    """The leftmost tokens, as a plain search finds them, whatever hits lie before in a run."""
+    found, at = [], 0
+    while match := re.compile(secrets.JWT).search(text, at):
+        at = match.end()
+        if secrets.is_jwt(match[0]):
+            found.append((match.start(), secrets.KINDS.index("jwt"), match.end()))
+    assert [span for span in spans(text) if span[1] == secrets.KINDS.index("jwt")] == found
+
+
+def test_long_runs_take_linear_time():
+    begin = time.process_time()
+    for piece in ("eyJ", "eyJa.", "AKIA", "password ", "-----BEGIN PRIVATE KEY-----\nAAAA", "ghp_", "0af"):
+        spans(piece * (3_000_000 // len(piece)))
+    assert time.process_time() - begin < 60
+
+
 def test_every_document(spark, medium):
     docs = spark.read.parquet(f"{medium}/documents.parquet")
     texts = {row.doc_id: row.text or "" for row in docs.collect()}

@@ -31,6 +31,7 @@ HEX_LEAST = 24
 # Public formats of tokens that can be validated.
 CRC_TOKEN = r"(?:ghp|gho|ghu|ghs|ghr|npm)_[A-Za-z0-9]{36}(?![A-Za-z0-9])"
 JWT = r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"
+JWT_HEAD, JWT_RUN = "eyJ", re.compile("[A-Za-z0-9_-]+")
 PEM = r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----[A-Za-z0-9+/=\s]+-----END \1-----"
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
@@ -117,6 +118,9 @@ def spans_of(text: str, words, tried: dict, runs: re.Pattern) -> list[tuple[int,
             continue  # inside the previous match of its kind
         pattern, holds = tried[kind]
         match = pattern.match(text, start)
+        if match is None and kind == "jwt" and text.startswith(JWT_HEAD, start):
+            # a hit further on in the same characters would fail where this one did
+            past[kind] = JWT_RUN.match(text, start).end()
         if match:
             past[kind] = match.end()
             if holds(match):
