@@ -2,7 +2,7 @@
 
 import datetime as dt
 from pathlib import Path
-from urllib.parse import urlparse
+from urllib.parse import unquote, urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,7 +27,7 @@ def table(spark):
 
 
 def stored_files(spark, name):
-    return {path: Path(urlparse(path).path).stat().st_mtime_ns for path in spark.read.table(name).inputFiles()}
+    return {path: Path(unquote(urlparse(path).path)).stat().st_mtime_ns for path in spark.read.table(name).inputFiles()}
 
 
 def test_old_days_of_a_table(spark, table):
@@ -36,7 +36,7 @@ def test_old_days_of_a_table(spark, table):
     assert column(spark.read.table(table), "event_day") == DAYS[2:]
     after = stored_files(spark, table)
     assert after.items() <= before.items() and len(after) == 3
-    assert all(not Path(urlparse(path).path).exists() for path in before.keys() - after.keys())
+    assert all(not Path(unquote(urlparse(path).path)).exists() for path in before.keys() - after.keys())
     for _ in range(2):
         assert retention.expire_table(spark, table, 7, NOW, "expired_audit") == []
     audit = spark.read.table("expired_audit")
