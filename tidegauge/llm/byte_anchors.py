@@ -18,7 +18,7 @@ from tidegauge.llm.tokens import ODD, mix
 #: Bytes whose smallest hash makes an anchor; half of the shortest stretch at most.
 RUN = 48
 #: Bytes of a text that are hashed at a time.
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 18
 
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 

@@ -24,12 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidegauge.llm.byte_anchors import Hashes, anchors_of
-from tidegauge.llm.frames import hash_bitmap, in_bitmap, lookup, with_columns_by_piece
+from tidegauge.llm.frames import bitmap_table, hash_bitmap, in_bitmap, lookup, split_by
 from tidegauge.llm.tokens import pieces, signed, text_bytes
 from tidegauge.llm.window_classes import repeated_starts
 from tidegauge.operators.keyed_join import attach_by_key
@@ -40,7 +40,7 @@ LENGTH = 200
 #: Different contexts of an anchor that go to one task.
 MOST_CONTEXTS = 4096
 #: Bytes of contexts whose suffixes are sorted at a time, if whole anchors are shorter.
-SORTED_BYTES = 1 << 20
+SORTED_BYTES = 1 << 19
 #: Offsets from the anchor that strings of one key may have, by level after the first.
 OFFSETS = (12, 1)
 #: 2 ** these many bits tell anchors that may recur, and texts that may lose bytes.
@@ -49,12 +49,13 @@ ANCHOR_BITS, TEXT_BITS = 26, 24
 CONTEXT = "hash long, d1 long, d2 long, place int, n long, bytes binary"
 
 
-def text_digests(raw: bytes, bounds: np.ndarray) -> np.ndarray:
-    """128 bits of each text, as two columns."""
-    digests = b"".join(
-        hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(bounds, bounds[1:], strict=False)
-    )
-    return np.frombuffer(digests, dtype=np.uint64).reshape(-1, 2)
+def text_digests(raw: bytes, bounds: np.ndarray) -> list[bytes]:
+    """The MD5 of each text, as Spark computes it too."""
+    return [hashlib.md5(raw[a:b]).digest() for a, b in zip(bounds, bounds[1:], strict=False)]
+
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
 
 
 def _slices(block: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -95,14 +96,14 @@ def find_contexts(texts: DataFrame, recurring: np.ndarray) -> DataFrame:
     """Contexts of anchors that may recur, and where they are.
 
     A context of a block of text has ``CONTEXT``'s columns, with ``n`` occurrences there.
-    Its places have ``t1, t2``, the text's digest, and ``low, step, times``: ``times``
+    Its places have the text's ``digest`` and ``low, step, times``: ``times``
     contexts one after the other that begin ``step`` bytes apart. ``rows`` says how many
     rows of the block have the text; it is in one place of each.
     """
     bitmap = texts.sparkSession.sparkContext.broadcast(recurring)
-    names = ["hash", "d1", "d2", "place", "n", "bytes", "t1", "t2", "low", "step", "times", "rows"]
-    schema = f"{CONTEXT}, t1 long, t2 long, low long, step int, times long, rows long"
-    types = [pa.int64()] * 3 + [pa.int32(), pa.int64(), pa.binary()] + [pa.int64()] * 3 + [pa.int32()] + [pa.int64()] * 2
+    names = ["hash", "d1", "d2", "place", "n", "bytes", "digest", "low", "step", "times", "rows"]
+    schema = f"{CONTEXT}, digest binary, low long, step int, times long, rows long"
+    types = [pa.int64()] * 3 + [pa.int32(), pa.int64()] + [pa.binary()] * 2 + [pa.int64(), pa.int32()] + [pa.int64()] * 2
 
     def rows_of(columns: dict[str, pa.Array | np.ndarray], size: int) -> pa.RecordBatch:
         arrays = [
@@ -149,8 +150,7 @@ def find_contexts(texts: DataFrame, recurring: np.ndarray) -> DataFrame:
                     {
                         "d1": signed(d1[begins]),
                         "d2": signed(d2[begins]),
-                        "t1": signed(digests[text[begins], 0]),
-                        "t2": signed(digests[text[begins], 1]),
+                        "digest": pa.array([digests[i] for i in text[begins].tolist()], pa.binary()),
                         "low": low[begins] + begin - bounds[text[begins]],
                         "step": np.where(times > 1, step[begins], 0),
                         "times": times,
@@ -341,9 +341,9 @@ def merge_spans(spans: DataFrame) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``t1, t2, rows, spans`` of each text with bytes to remove, as a written table.
+    """``digest, rows, spans`` of each text with bytes to remove, as a written table.
 
-    ``t1, t2`` is the text's digest and ``rows`` the number of documents that have it.
+    ``rows`` is the number of documents that have the text.
     """
     texts = docs.select(F.col("text").cast("string").alias("text"))
     anchors = count_anchors(texts)
@@ -354,7 +354,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     judged = scratch.table(judge_contexts(contexts, scratch), "judged")
     scratch.drop("contexts")
 
-    places = found.where("t1 is not null").select("d1", "d2", "t1", "t2", "low", "step", "times", "rows")
+    places = found.where("digest is not null").select("d1", "d2", "digest", "low", "step", "times", "rows")
     hits = attach_by_key(places, judged, ["d1", "d2"], "n", stored=True)
     reach = F.col("low") + (F.col("times") - 1) * F.col("step") + LENGTH - 1
     spans = F.transform(
@@ -363,8 +363,8 @@ def repeated_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     )
     listed = (
         hits.where("runs is not null or rows > 0")
-        .select("t1", "t2", "rows", F.explode_outer(spans).alias("span"))
-        .groupBy("t1", "t2")
+        .select("digest", "rows", F.explode_outer(spans).alias("span"))
+        .groupBy("digest")
         .agg(F.sum("rows").alias("rows"), F.collect_set("span").alias("spans"))
         .where(F.size("spans") > 0)
     )
@@ -386,20 +386,19 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "repeats")
     spans = repeated_spans(docs, scratch)
-    marks = docs.sparkSession.sparkContext.broadcast(hash_bitmap(spans, "t1", TEXT_BITS))
-
-    def told(texts: pa.Array) -> list[pa.Array]:
-        data, bounds = text_bytes(texts)
-        digests = text_digests(data.tobytes(), bounds)
-        may = in_bitmap(marks.value, digests[:, 0])
-        return [pa.array(signed(digests[:, 0].copy())), pa.array(signed(digests[:, 1].copy())), pa.array(may)]
-
-    marked = with_columns_by_piece(docs, told, "t1 long, t2 long, may boolean")
-    # only texts that may lose bytes are shuffled
-    others = marked.where(~F.col("may")).withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
-    columns = ["row", "spans"]
-    found = attach_by_key(marked.where("may").drop("may"), spans, ["t1", "t2"], "rows", stored=True)
-    return _cut(others.select(columns).unionByName(found.select(columns)))
+    text = F.col("row.text").cast("string")
+    rows = docs.select(F.struct("*").alias("row")).withColumn("digest", _digest(F.col("row.text")))
+    # only texts that may lose bytes are shuffled, and looked at again
+    marks = bitmap_table(spans.select(F.xxhash64("digest")), TEXT_BITS, scratch, "marks")
+    may, others = split_by(rows, F.xxhash64("digest"), marks, TEXT_BITS)
+    whole = F.coalesce(text, F.lit("")).cast("binary")
+    kept = others.select(
+        "row",
+        F.octet_length(whole).cast("long").alias("n_bytes"),
+        F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"),
+        whole.alias("kept"),
+    )
+    return kept.unionByName(_cut(attach_by_key(may, spans, ["digest"], "rows", stored=True).select("row", "spans")))
 
 
 def _cut(rows: DataFrame) -> DataFrame:
