@@ -48,10 +48,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table; each result is written and read again."""
+    """All stages over the documents table; each result is written and read again.
+
+    A stage's table goes when the next one is written.
+    """
     scratch = Scratch(spark, "corpus")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, done = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
         with ending_scratch():
             docs = scratch.table(stage(spark, docs, sf_dir), name)
+        scratch.drop(*done)
+        done = [name]
     return STAGES[-1][1](spark, docs, sf_dir)
