@@ -69,6 +69,28 @@ def test_pipeline(spark, small, tmp_path):
     assert [tuple(row) for row in corpus_pipeline.run(spark, small).collect()] == [tuple(row) for row in mixed]
 
 
+@pytest.mark.parametrize("empty", [True, False])
+def test_pipeline_of_odd_documents(spark, small, tmp_path, empty):
+    """No documents; nulls in every column, repeated rows, names that clash, no n_chars."""
+    for name in ("labels", "benchmark"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{small}/{name}.parquet")
+    good = [" ".join(f"w{i}x{k}" for k in range(60 + i)) for i in range(6)]
+    rows = [(i, text, "en", f"s{i % 2}", "x") for i, text in enumerate(good)]
+    rows += [rows[0], (None, good[5] + " more", None, None, None), (7, None, "en", "s", "x"), (8, "", None, "s", "x"), (9, " \n\t", "en", None, "x")]
+    names = ("key", "digest", "row", "doc", "_may", "_salt")
+    docs = spark.createDataFrame([] if empty else rows, "doc_id long, text string, lang string, source string, extra string")
+    docs = docs.selectExpr("*", *(f"extra AS {name}" for name in names))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    frame = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        frame = written(spark, stage(spark, frame, str(tmp_path)), tmp_path / name)
+        assert frame.columns == docs.columns
+    assert sorted(row.doc_id for row in frame.collect()) == ([] if empty else [0, 1, 2, 3, 4, 5])
+    mixed = corpus_pipeline.STAGES[-1][1](spark, frame, str(tmp_path)).collect()
+    # a source's last pass may end before all of its documents
+    assert {row.doc_id for row in mixed} <= set(range(6)) and bool(mixed) != empty
+
+
 def written(spark, frame, path):
     frame.write.parquet(str(path))
     return spark.read.parquet(str(path))
