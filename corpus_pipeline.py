@@ -15,8 +15,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of templates that recur across documents go; n_chars follows the text."""
+    """Lines of templates that recur across documents go; n_chars, if there, follows the text."""
     clean = line_templates.drop_lines(docs)
+    if "n_chars" not in docs.columns:
+        return clean
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
@@ -50,7 +52,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table; each result is written and read again.
 
-    A stage's table goes when the next one is written.
+    A stage's table goes when the next one is written. No documents give no rows. Texts
+    that are null or empty fail the base rules, so they are not in the result; a null id,
+    language or source is a value like others, and other columns, whatever their names,
+    don't matter. Of rows that repeat one stays.
     """
     scratch = Scratch(spark, "corpus")
     docs, done = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
