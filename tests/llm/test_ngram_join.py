@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import brute
@@ -69,3 +71,55 @@ def test_keep_one_edges(spark):
     assert [i for (_, i), _ in found] == [1, 2, 3, 4, 6, 9, 11, 12, 13, 0]
     empty = spark.createDataFrame([], SCHEMA)
     assert ngram_join.keep_one_per_component(empty).collect() == []
+
+
+def leading_grams(text: str) -> dict[int, int]:
+    """The hashes and places of a text's prefix in hash order."""
+    values, _, _ = ngram_join.ngram_sets(pa.array([text]))
+    length = int(ngram_join.prefix_length(np.array([len(values)]))[0])
+    words = text.split()
+    places = {
+        int(ngram_join.ngram_sets(pa.array([" ".join(words[i : i + 5])]))[0][0]): i for i in range(len(words) - 4)
+    }
+    return {int(value): places[int(value)] for value in values[:length]}
+
+
+def test_pair_that_meets_only_foreign_centers(spark):
+    """Each n-gram that the pair is indexed under also lies in a text that meets more others."""
+    words = [f"t{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:-1], "other"]))]
+    for number, (value, place) in enumerate(leading_grams(rows[0][1]).items()):
+        hub = [f"h{number}x{i}" for i in range(44)]
+        for copy in range(7):
+            for turn in range(1000):
+                tail = [f"u{number}y{copy}y{turn}z{i}" for i in range(11)]
+                text = " ".join([*hub, *(words[place : place + 5] if copy == 0 else tail[:5]), *tail])
+                if copy or value in leading_grams(text):
+                    break
+            rows.append((len(rows) + 1, text))
+    got = ngram_join.ngram_components(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(map(tuple, got.collect())) == sorted(brute.components(rows))
+
+
+@pytest.mark.parametrize("pieces", [1, 300])
+def test_form_letters_do_not_meet_all_others(spark, pieces, monkeypatch):
+    """Texts with 40 words in common and 20 of their own: no pair is similar, few are compared."""
+    seen = []
+    compared = ngram_join._linked
+
+    def counted(pairs, sets):
+        seen.append(pairs.count())
+        return compared(pairs, sets)
+
+    monkeypatch.setattr(ngram_join, "_linked", counted)
+    form = [f"f{i}" for i in range(40)]
+    rows = [(i, " ".join([*form, *(f"o{i}x{j}" for j in range(20))])) for i in range(300)]
+    rows += [(300 + i, " ".join([*form, *(f"o{i}x{j}" for j in range(19)), "last"])) for i in range(0, 300, 50)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10000 if pieces == 1 else 1)
+    try:
+        got = ngram_join.ngram_components(docs.repartition(4) if pieces > 1 else docs.coalesce(1))
+        assert sorted(map(tuple, got.collect())) == sorted(brute.components(rows))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sum(seen) < 10 * len(rows)

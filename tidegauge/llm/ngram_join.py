@@ -15,19 +15,23 @@ every two classes; only what can reach the wanted similarity is computed:
   and one of the next lower band only. Where the block's classes are then connected, no
   other product can change a component. What is left are the entries of classes
   outside the block's largest component, which are multiplied with all others.
+* A block with more than ``OUTER`` such classes is not multiplied, as letters of one form
+  would all meet there. The n-grams of its classes are counted, and these classes get
+  prefixes anew, rarest n-grams first; the blocks of those are multiplied instead.
 
 So a group of thousands of near copies costs a few products per copy, yet no link
-between different components is missed. Where thousands of sets share an n-gram that
-is rare for each of them and yet are not similar, the last step has to compare them;
-this is exact, and quadratic in that one block.
+between different components is missed. Only where thousands of sets are not similar, and
+each is made up of n-grams that very many of them have, does the last step compare many
+pairs; it stays exact.
 
-The order's weights are counts of n-grams that occur twice in some piece of the input,
-kept in a table of fixed size. They only steer the cost, never the result.
+The first order's weights are counts of n-grams that occur twice in some piece of the
+input, kept in a table of fixed size. They only steer the cost, never the result.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +57,8 @@ WEIGHT_BITS = 20
 FILTER_BITS = 24
 #: Jaccard as a share of the union, in hundredths.
 PERCENT = 80
+#: Classes outside of a block's largest component up to which the block is multiplied.
+OUTER = 16
 
 
 def ngram_sets(texts: pa.Array, size: int = SIZE) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -229,42 +235,39 @@ def link_classes(docs: DataFrame, scratch: Scratch, size: int = SIZE) -> tuple[D
         .withColumn("node", node),
         "classes",
     )
-    # Incidence entries of the shared n-grams: those of one class only add to no overlap.
-    band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / PERCENT))).cast("int")
-    shared = scratch.table(
-        classes.select(F.explode("prefix").alias("shingle"), "node", F.col("n").cast("int").alias("n"))
-        .withColumn("members", F.count("*").over(Window.partitionBy("shingle")))
-        .where("members > 1")
-        .select("shingle", "members", band.alias("band"), "node", "n"),
-        "shared",
-    )
-    own = Window.partitionBy("node")
-    entries = scratch.table(
-        shared.withColumn("held", F.count("*").over(own))
-        .withColumn("met", F.sum("members").over(own))
-        .withColumn("place", F.row_number().over(own.orderBy("members", "shingle")))
-        .drop("members"),
-        "entries",
-    )
+    entries = _incidence(classes, scratch, "entries")
     nodes = scratch.table(classes.select("node", "key", "doc_id"), "nodes")
-    scratch.drop("classes", "shared")
+    scratch.drop("classes")
+
+    def sets_of(members: DataFrame, label: str) -> DataFrame:
+        wanted = scratch.table(nodes.join(members, "node").select("key", "node"), f"{label}-wanted")
+        return scratch.table(
+            _sets(docs, wanted, size)
+            .join(wanted, "key")
+            .groupBy("key")
+            .agg(F.first("node").alias("node"), F.first("grams").alias("grams"))
+            .select("node", "grams"),
+            label,
+        )
 
     pairs = scratch.table(_first_products(entries), "pairs")
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = scratch.table(nodes.join(ends, "node").select("key", "node"), "wanted")
-    sets = scratch.table(
-        _sets(docs, wanted, size)
-        .join(wanted, "key")
-        .groupBy("key")
-        .agg(F.first("node").alias("node"), F.first("grams").alias("grams"))
-        .select("node", "grams"),
-        "sets",
-    )
+    sets = sets_of(_ends(pairs), "sets")
     links = scratch.table(_linked(pairs, sets), "links")
     found = components(links, scratch, "first")
-    rest = scratch.table(_remaining_products(entries, found).join(pairs, ["a", "b"], "left_anti"), "rest")
+    mixed = scratch.table(_mixed_blocks(entries, found), "mixed")
+    few = F.col("outer") <= OUTER
+    rest = scratch.table(_remaining_products(mixed.where(few), entries).join(pairs, ["a", "b"], "left_anti"), "rest")
+    crowded = scratch.table(mixed.where(~few).select("node").distinct(), "crowded")
+    missing = scratch.table(_ends(rest).union(crowded).distinct().join(_ends(pairs), "node", "left_anti"), "missing")
+    if not missing.isEmpty():
+        sets = sets.union(sets_of(missing, "more-sets"))
+    if not crowded.isEmpty():
+        again = _incidence(_rarest_first(sets.join(crowded, "node", "left_semi")), scratch, "again")
+        others = _remaining_products(_mixed_blocks(again, found), again)
+        rest = rest.union(others.join(pairs.union(rest), ["a", "b"], "left_anti"))
     more = scratch.table(_linked(rest, sets), "more")
-    scratch.drop("sets", "entries", "pairs", "wanted", "rest")
+    scratch.drop("sets", "more-sets", "entries", "again", "mixed", "crowded", "missing", "pairs", "rest")
+    scratch.drop("sets-wanted", "more-sets-wanted")
     edges = found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
     final = components(edges, scratch, "last")
 
@@ -283,6 +286,71 @@ def link_classes(docs: DataFrame, scratch: Scratch, size: int = SIZE) -> tuple[D
     return marked.select("doc_id", "n_shingles", "key"), scratch.table(labels, "labels")
 
 
+def _incidence(classes: DataFrame, scratch: Scratch, label: str) -> DataFrame:
+    """Entries of the n-grams that several of the classes' prefixes share.
+
+    An n-gram of one prefix only adds to no overlap.
+    """
+    band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / PERCENT))).cast("int")
+    shared = scratch.table(
+        classes.select(F.explode("prefix").alias("shingle"), "node", F.col("n").cast("int").alias("n"))
+        .withColumn("members", F.count("*").over(Window.partitionBy("shingle")))
+        .where("members > 1")
+        .select("shingle", "members", band.alias("band"), "node", "n"),
+        f"{label}-shared",
+    )
+    own = Window.partitionBy("node")
+    entries = scratch.table(
+        shared.withColumn("held", F.count("*").over(own))
+        .withColumn("met", F.sum("members").over(own))
+        .withColumn("place", F.row_number().over(own.orderBy("members", "shingle")))
+        .drop("members"),
+        label,
+    )
+    scratch.drop(f"{label}-shared")
+    return entries
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+
+
+def _rarest_first(sets: DataFrame, bits: int = WEIGHT_BITS) -> DataFrame:
+    """``node, n, prefix`` of sets, their n-grams ordered by how many of the sets have them."""
+    found = (
+        sets.select(F.explode("grams").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.count("*").alias("times"))
+        .where("times > 1")
+        .groupBy(F.col("shingle").bitwiseAND(F.lit((1 << bits) - 1)).cast("int").alias("residue"))
+        .agg(F.floor(4 * F.log2(F.max("times"))).cast("int").alias("weight"))
+        .toArrow()
+    )
+    weights = np.zeros(1 << bits, dtype=np.uint8)
+    weights[found.column("residue").to_numpy()] = np.minimum(found.column("weight").to_numpy(), 255)
+    sent = sets.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = batch.column("grams")
+            n = grams.value_lengths().to_numpy().astype(np.int64)
+            values = grams.flatten().to_numpy().view(np.uint64)
+            weight = sent.value[values & np.uint64(len(sent.value) - 1)]
+            ends, lengths = np.cumsum(n), prefix_length(n)
+            # a set's n-grams come sorted, so equal weights keep one order for all sets
+            out = [
+                values[end - size : end][np.argsort(weight[end - size : end], kind="stable")[:length]]
+                for end, size, length in zip(ends, n, lengths, strict=True)
+            ]
+            prefixes = signed(np.concatenate(out) if out else values)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(n), list_array(prefixes, np.concatenate([[0], np.cumsum(lengths)]))],
+                ["node", "n", "prefix"],
+            )
+
+    return sets.select("node", "grams").mapInArrow(run, "node long, n long, prefix array<long>")
+
+
 def _first_products(entries: DataFrame) -> DataFrame:
     """Each class with the center of its block and band, and of the band below.
 
@@ -334,22 +402,32 @@ def _can_link(n: Column, m: Column, held_n: Column, held_m: Column) -> Column:
     return near & (_least_overlap(n, m) <= F.least(held_n, held_m))
 
 
-def _remaining_products(entries: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of classes of one block that are not connected yet and can reach the bound.
+def _mixed_blocks(entries: DataFrame, found: DataFrame) -> DataFrame:
+    """Entries of blocks with classes that are not connected yet.
 
-    Classes outside a block's largest component are multiplied with all others. Two
-    classes that must share ``least`` of their entries share one of the first
-    ``held - least + 1`` of each in the order rarest first, so later ones are left out.
+    ``root`` is the class's component, ``main`` the block's largest one, ``outer`` the
+    number of classes outside of it.
     """
     rooted = entries.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = rooted.groupBy("shingle", "root").agg(F.count("*").alias("times"))
     blocks = (
         sizes.groupBy("shingle")
-        .agg(F.max_by("root", F.struct("times", "root")).alias("main"), F.count("*").alias("parts"))
-        .where("parts > 1")
-        .drop("parts")
+        .agg(
+            F.max_by("root", F.struct("times", "root")).alias("main"),
+            (F.sum("times") - F.max("times")).alias("outer"),
+        )
+        .where("outer > 0")
     )
-    mixed = rooted.join(blocks, "shingle")
+    return rooted.join(blocks, "shingle").select("shingle", "main", "outer", "node", "n", "held", "place", "root")
+
+
+def _remaining_products(mixed: DataFrame, entries: DataFrame) -> DataFrame:
+    """Pairs of classes of one block that are not connected yet and can reach the bound.
+
+    Classes outside a block's largest component are multiplied with all others. Two
+    classes that must share ``least`` of their entries share one of the first
+    ``held - least + 1`` of each in the order rarest first, so later ones are left out.
+    """
     fields = ("node", "n", "held", "place", "root")
     outer = mixed.where("root <> main").select("shingle", *(F.col(name).alias(f"{name}_x") for name in fields))
     inner = mixed.select("shingle", "main", *(F.col(name).alias(f"{name}_y") for name in fields))
