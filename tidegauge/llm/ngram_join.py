@@ -15,9 +15,10 @@ every two classes; only what can reach the wanted similarity is computed:
   and one of the next lower band only. Where the block's classes are then connected, no
   other product can change a component. What is left are the entries of classes
   outside the block's largest component, which are multiplied with all others.
-* A block with more than ``OUTER`` such classes is not multiplied, as letters of one form
-  would all meet there. The n-grams of its classes are counted, and these classes get
-  prefixes anew, rarest n-grams first; the blocks of those are multiplied instead.
+* A block with more products than ``CROWDED`` times its classes' n-grams is not multiplied,
+  as letters of one form would all meet there. The n-grams of its classes are counted, which
+  costs less, and these classes get prefixes anew, rarest n-grams first; the blocks of those
+  are multiplied instead.
 
 So a group of thousands of near copies costs a few products per copy, yet no link
 between different components is missed. Only where thousands of sets are not similar, and
@@ -57,8 +58,8 @@ WEIGHT_BITS = 20
 FILTER_BITS = 24
 #: Jaccard as a share of the union, in hundredths.
 PERCENT = 80
-#: Classes outside of a block's largest component up to which the block is multiplied.
-OUTER = 16
+#: Products of a block for each n-gram of its classes, up to which it is multiplied.
+CROWDED = 4
 
 
 def ngram_sets(texts: pa.Array, size: int = SIZE) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -255,15 +256,15 @@ def link_classes(docs: DataFrame, scratch: Scratch, size: int = SIZE) -> tuple[D
     links = scratch.table(_linked(pairs, sets), "links")
     found = components(links, scratch, "first")
     mixed = scratch.table(_mixed_blocks(entries, found), "mixed")
-    few = F.col("outer") <= OUTER
-    rest = scratch.table(_remaining_products(mixed.where(few), entries).join(pairs, ["a", "b"], "left_anti"), "rest")
-    crowded = scratch.table(mixed.where(~few).select("node").distinct(), "crowded")
+    crowded = scratch.table(mixed.where("crowded").select("node").distinct(), "crowded")
+    covered = mixed.where(~F.col("crowded")).join(crowded.withColumn("again", F.lit(True)), "node", "left")
+    rest = scratch.table(_remaining_products(covered, entries).join(pairs, ["a", "b"], "left_anti"), "rest")
     missing = scratch.table(_ends(rest).union(crowded).distinct().join(_ends(pairs), "node", "left_anti"), "missing")
     if not missing.isEmpty():
         sets = sets.union(sets_of(missing, "more-sets"))
     if not crowded.isEmpty():
         again = _incidence(_rarest_first(sets.join(crowded, "node", "left_semi")), scratch, "again")
-        others = _remaining_products(_mixed_blocks(again, found), again)
+        others = _remaining_products(_mixed_blocks(again, found).withColumn("again", F.lit(None)), again)
         rest = rest.union(others.join(pairs.union(rest), ["a", "b"], "left_anti"))
     more = scratch.table(_linked(rest, sets), "more")
     scratch.drop("sets", "more-sets", "entries", "again", "mixed", "crowded", "missing", "pairs", "rest")
@@ -316,7 +317,10 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def _rarest_first(sets: DataFrame, bits: int = WEIGHT_BITS) -> DataFrame:
-    """``node, n, prefix`` of sets, their n-grams ordered by how many of the sets have them."""
+    """``node, n, prefix`` of sets, their n-grams ordered by how many of the sets have them.
+
+    Of the prefixes, n-grams that only one set has are left out.
+    """
     found = (
         sets.select(F.explode("grams").alias("shingle"))
         .groupBy("shingle")
@@ -336,15 +340,16 @@ def _rarest_first(sets: DataFrame, bits: int = WEIGHT_BITS) -> DataFrame:
             n = grams.value_lengths().to_numpy().astype(np.int64)
             values = grams.flatten().to_numpy().view(np.uint64)
             weight = sent.value[values & np.uint64(len(sent.value) - 1)]
-            ends, lengths = np.cumsum(n), prefix_length(n)
-            # a set's n-grams come sorted, so equal weights keep one order for all sets
-            out = [
-                values[end - size : end][np.argsort(weight[end - size : end], kind="stable")[:length]]
-                for end, size, length in zip(ends, n, lengths, strict=True)
-            ]
+            out = []
+            for end, size, length in zip(np.cumsum(n), n, prefix_length(n), strict=True):
+                # a set's n-grams come sorted, so equal weights keep one order for all sets
+                heavy = weight[end - size : end]
+                first = np.argsort(heavy, kind="stable")[:length]
+                out.append(values[end - size : end][first[heavy[first] > 0]])
+            ends = np.concatenate([[0], np.cumsum([len(prefix) for prefix in out])]).astype(np.int64)
             prefixes = signed(np.concatenate(out) if out else values)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(n), list_array(prefixes, np.concatenate([[0], np.cumsum(lengths)]))],
+                [batch.column("node"), pa.array(n), list_array(prefixes, ends)],
                 ["node", "n", "prefix"],
             )
 
@@ -405,20 +410,22 @@ def _can_link(n: Column, m: Column, held_n: Column, held_m: Column) -> Column:
 def _mixed_blocks(entries: DataFrame, found: DataFrame) -> DataFrame:
     """Entries of blocks with classes that are not connected yet.
 
-    ``root`` is the class's component, ``main`` the block's largest one, ``outer`` the
-    number of classes outside of it.
+    ``root`` is the class's component, ``main`` the block's largest one. A block is
+    ``crowded`` if to multiply it costs more than to count its classes' n-grams.
     """
     rooted = entries.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    sizes = rooted.groupBy("shingle", "root").agg(F.count("*").alias("times"))
+    sizes = rooted.groupBy("shingle", "root").agg(F.count("*").alias("times"), F.sum("n").alias("n"))
+    outer = F.sum("times") - F.max("times")
     blocks = (
         sizes.groupBy("shingle")
         .agg(
             F.max_by("root", F.struct("times", "root")).alias("main"),
-            (F.sum("times") - F.max("times")).alias("outer"),
+            (outer * F.sum("times") > CROWDED * F.sum("n")).alias("crowded"),
+            F.count("*").alias("parts"),
         )
-        .where("outer > 0")
+        .where("parts > 1")
     )
-    return rooted.join(blocks, "shingle").select("shingle", "main", "outer", "node", "n", "held", "place", "root")
+    return rooted.join(blocks, "shingle").select("shingle", "main", "crowded", "node", "n", "held", "place", "root")
 
 
 def _remaining_products(mixed: DataFrame, entries: DataFrame) -> DataFrame:
@@ -427,13 +434,15 @@ def _remaining_products(mixed: DataFrame, entries: DataFrame) -> DataFrame:
     Classes outside a block's largest component are multiplied with all others. Two
     classes that must share ``least`` of their entries share one of the first
     ``held - least + 1`` of each in the order rarest first, so later ones are left out.
+    Two classes that both have ``again`` set get multiplied elsewhere.
     """
-    fields = ("node", "n", "held", "place", "root")
+    fields = ("node", "n", "held", "place", "root", "again")
     outer = mixed.where("root <> main").select("shingle", *(F.col(name).alias(f"{name}_x") for name in fields))
     inner = mixed.select("shingle", "main", *(F.col(name).alias(f"{name}_y") for name in fields))
     least = _least_overlap(F.col("n_x"), F.col("n_y"))
     met = outer.join(inner, "shingle").where(
         (F.col("root_x") != F.col("root_y"))
+        & (F.col("again_x").isNull() | F.col("again_y").isNull())
         & ((F.col("root_y") == F.col("main")) | (F.col("node_x") < F.col("node_y")))
         & _can_link(*(F.col(name) for name in ("n_x", "n_y", "held_x", "held_y")))
         & (F.col("place_x") <= F.col("held_x") - least + 1)
