@@ -123,3 +123,17 @@ def test_form_letters_do_not_meet_all_others(spark, pieces, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert sum(seen) < 10 * len(rows)
+
+
+@pytest.mark.parametrize("seed", [2, 4])
+def test_crowded_blocks_lose_no_link(spark, monkeypatch, seed):
+    """Every block counts as crowded, so all links between components come from the second index."""
+    monkeypatch.setattr(ngram_join, "CROWDED", 0)
+    monkeypatch.setattr(ngram_join, "_first_products", _no_pairs)
+    rows = copies(seed)
+    got = ngram_join.ngram_components(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    assert sorted(map(tuple, got.collect())) == sorted(brute.components(rows))
+
+
+def _no_pairs(entries):
+    return entries.selectExpr("node as a", "node as b").where("false")
