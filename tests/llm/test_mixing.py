@@ -56,6 +56,23 @@ def test_schedule_takes_what_the_mix_says(docs):
     assert all(0 <= row.time < 1 for row in rows)
 
 
+def test_mix_is_in_training_order(docs):
+    """Its rows come sorted by position over several ranges; what is never taken comes last."""
+    mixed = mixing.mix(docs)
+    rows = mixed.collect()
+    places = [(row.position is None, row.position) for row in rows]
+    due = [place for none, place in places if not none]
+    assert [none for none, _ in places] == sorted(none for none, _ in places)
+    assert due == sorted(due) and len(set(due)) > 50
+    assert all((row.taken == 0) == (row.position is None) == (row.passes == 0) for row in rows)
+    firsts = {}
+    for row in mixing.schedule(docs).collect():
+        firsts.setdefault((row.doc_id, row.source), row.position)
+    assert [row.position for row in rows if row.taken and row.doc_id not in (None, 3)] == [
+        place for (doc_id, _), place in firsts.items() if doc_id not in (None, 3)
+    ]
+
+
 def test_heavier_sources_come_later(spark):
     docs = spark.createDataFrame([(i, f"s{i % 3}", "w " * 10) for i in range(3000)], SCHEMA)
     mean = {

@@ -128,30 +128,53 @@ def _timed(rows: DataFrame, placed: DataFrame) -> DataFrame:
     return rows.withColumn("time", time).withColumn("position", F.floor(reached + 0.5))
 
 
+#: A document comes up if the source's target goes beyond the words before it in the first pass.
+COMES_UP = "size > 0 and words > before"
+
+
+def _passes(placed: DataFrame) -> DataFrame:
+    """One row for each time that a document comes up: ``pass``, ``place`` and the words ``taken``."""
+    passes = F.expr("(words - before + source_size - 1) div source_size")
+    return (
+        placed.where(COMES_UP)
+        .withColumn("pass", F.explode(F.sequence(F.lit(1).cast("long"), passes)))
+        .withColumn("place", (F.col("pass") - 1) * F.col("source_size") + F.col("before"))
+        .withColumn("taken", F.least("size", F.col("words") - F.col("place")))
+    )
+
+
 def mix(docs: DataFrame) -> DataFrame:
-    """One row per document: what the mix takes of it, and when.
+    """One row per document: what the schedule takes of it, and when, in training order.
 
     ``doc_id, source, size, source_size, target, taken`` in words; ``passes``, the
     number of times the document comes up; ``time``, from 0 to 1, when it first does,
     and ``position``, the words of the whole mix due before then, both null where
-    nothing is taken. A null or empty text has size 0 and is never taken. A null
-    source is a source of its own, ordered last; a null doc_id goes with an empty one.
-    Rows that repeat count each time. Other columns are ignored.
+    nothing is taken. All of it is added up from the rows of the schedule. The result is
+    sorted by position over ranges; documents of which nothing is taken come last, by
+    id. A null or empty text has size 0 and is never taken. A null source is a source of
+    its own, ordered last; a null doc_id goes with an empty one. Rows that repeat count
+    each time. Other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     placed = _placed(docs, scratch)
-    size, before, total, words = (F.col(name) for name in ("size", "before", "source_size", "words"))
-    passes = F.when(total > 0, F.expr("words div source_size")).otherwise(F.lit(0).cast("long"))
-    last = F.when(total > 0, F.least(size, F.greatest(words % total - before, F.lit(0)))).otherwise(
-        F.lit(0).cast("long")
+    known = ["doc_id", "source", "size", "source_size", "target"]
+    # Documents with words differ in the words before them, so no two rows fall together.
+    coming = (
+        _timed(_passes(placed), placed)
+        .groupBy("rank", "before", *known)
+        .agg(
+            F.sum("taken").alias("taken"),
+            F.count("pass").alias("passes"),
+            F.min("time").alias("time"),
+            F.min("position").alias("position"),
+        )
+        .drop("rank", "before")
     )
-    taken = size * passes + last
-    rows = placed.select(
-        "*", taken.alias("taken"), F.when(size > 0, passes + (last > 0).cast("long")).otherwise(0).alias("passes")
-    ).withColumn("place", F.when(F.col("taken") > 0, before))
-    return _timed(rows, placed).select(
-        "doc_id", "source", "size", "source_size", "target", "taken", "passes", "time", "position"
+    none = F.lit(0).cast("long")
+    never = placed.where(f"not ({COMES_UP})").select(
+        *known, none, none, F.lit(None).cast("double"), F.lit(None).cast("long")
     )
+    return coming.union(never).orderBy(F.col("position").asc_nulls_last(), "doc_id", "source")
 
 
 def schedule(docs: DataFrame) -> DataFrame:
@@ -163,15 +186,8 @@ def schedule(docs: DataFrame) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "schedule")
     placed = _placed(docs, scratch)
-    passes = F.expr("(words - before + source_size - 1) div source_size")
-    rows = (
-        placed.where("size > 0 and words > before")
-        .withColumn("pass", F.explode(F.sequence(F.lit(1).cast("long"), passes)))
-        .withColumn("place", (F.col("pass") - 1) * F.col("source_size") + F.col("before"))
-        .withColumn("taken", F.least("size", F.col("words") - F.col("place")))
-    )
     return (
-        _timed(rows, placed)
+        _timed(_passes(placed), placed)
         .select("doc_id", "source", "pass", F.col("taken").alias("words"), "time", "position")
         .orderBy("position", "doc_id", "pass")
     )
