@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tidegauge.llm import html_extract
-from tidegauge.llm.html_blocks import blocks_of
+from tidegauge.llm.html_blocks import blocks_of, lines_of
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -113,6 +113,35 @@ def test_links_inside_articles(spark):
         assert "Quoted by both" in row.text and "Back to" not in row.text and row.n_shared == 1
 
 
+def test_marked_lines_are_lines():
+    lines = lines_of("<nav>m<a href=x>n</a></nav><p>a<span class=ad>b<span>c</span>d</span>e</p><form>f<br>g</form><script>s</script>")
+    assert [(line.text, line.marked) for line in lines] == [("mn", True), ("ae", False), ("bcd", True), ("f g", True)]
+    assert [(line.text, line.marked) for line in lines_of("<nav><a>m</a></nav>")] == [("m", True)]
+
+
+def test_differencing_aligns_menus_and_footers(spark):
+    """What articles stand in is compared too, and tells of lines that another page does not mark."""
+    site = "<nav><ul><li>Home<li>News</ul></nav><article><p>{0} has a text of its own</p><p>Home</p></article><div>{0} extra</div><footer>Imprint</footer>"
+    rows = [(i, f"https://h/p/{i}", site.format(name)) for i, name in enumerate(("a", "b"))]
+    rows += [
+        (2, "https://h/p/2", "<div>Home</div><div>News</div><div>c has a text of its own</div><div>Imprint</div>"),
+        (3, "https://other/p/3", site.format("d")),
+        (4, "https://h/p/1/copy", site.format("b")),
+    ]
+    got = {row.page_id: (row.text, row.n_lines, row.n_shared) for row in html_extract.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[0] == ("a has a text of its own\nHome", 2, 3)
+    assert got[2] == ("c has a text of its own", 4, 3)
+    assert got[3] == ("d has a text of its own\nHome", 2, 0)
+    assert got[1][:2] == got[4][:2] == ("b has a text of its own\nHome", 2)  # copies lose no text
+
+
+def test_a_page_of_the_site_only_is_no_neighbour(spark):
+    body = "<div>Top</div><div>{0} is a long line of its own</div><div>Imprint</div>"
+    rows = [(0, "http://h/0", body.format("a")), (1, "http://h/1", "<nav>Top</nav><footer>Imprint</footer>"), (2, "http://h/2", body.format("c"))]
+    got = {row.page_id: (row.text, row.n_shared) for row in html_extract.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {0: ("a is a long line of its own", 2), 1: ("", 0), 2: ("c is a long line of its own", 2)}
+
+
 def test_pages_of_the_given_table(spark, medium):
     """Every article there is its h1 and its paragraphs."""
     pages = spark.read.parquet(f"{medium}/pages.parquet").repartition(7)

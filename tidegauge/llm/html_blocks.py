@@ -52,11 +52,15 @@ MAIN = re.compile(r"<main[\s>]", re.IGNORECASE)
 
 
 class Block(NamedTuple):
-    """A line of text; whether it is in the page's article; whether it is mostly links."""
+    """A line of text; whether it is in the page's article; whether it is mostly links.
+
+    ``marked`` lines are in a menu, header, advert or the like by HTML or class names.
+    """
 
     text: str
     main: bool
     links: bool
+    marked: bool = False
 
 
 #: Whether an element is dropped: no; only because a compound name has a word such as
@@ -114,7 +118,16 @@ def blocks_of(page: str | None) -> list[Block]:
     ``sidebar-right``, may tell about the layout: they don't drop the page's first article
     or main element, and nothing at all if else no text would be left.
     """
-    return _blocks(page, True) or _blocks(page, False)
+    return [block for block in lines_of(page) if not block.marked]
+
+
+def lines_of(page: str | None) -> list[Block]:
+    """All visible lines of a page: those of :func:`blocks_of` and the marked ones.
+
+    Marked text inside of a line is a line of its own, after it.
+    """
+    found = _blocks(page, True)
+    return _blocks(page, False) if all(block.marked for block in found) else found
 
 
 def _blocks(page: str | None, doubtful: bool) -> list[Block]:
@@ -125,6 +138,7 @@ def _blocks(page: str | None, doubtful: bool) -> list[Block]:
     stack: list[Open] = [Open("", KEPT, False, False)]
     has_main = MAIN.search(page) is not None  # then no article in front of it is the page's own
     parts: list[str] = []
+    aside: list[str] = []
     linked, in_link = 0, 0
 
     def flush() -> None:
@@ -135,6 +149,11 @@ def _blocks(page: str | None, doubtful: bool) -> list[Block]:
                 out.append(Block(text, stack[-1].main, 2 * linked > len(text)))
             parts.clear()
             linked = 0
+        if aside:
+            text = " ".join("".join(aside).split())
+            if text:
+                out.append(Block(text, False, False, True))
+            aside.clear()
 
     opened: Counter = Counter()
 
@@ -167,11 +186,13 @@ def _blocks(page: str | None, doubtful: bool) -> list[Block]:
         end = size if tag < 0 else tag
         if end > place:
             top = stack[-1]
+            text = html.unescape(page[place:end])
             if not top.dropped and (not top.header or heading):
-                text = html.unescape(page[place:end])
                 parts.append(text)
                 if in_link:
                     linked += len(text.strip())
+            else:
+                aside.append(text)
         if tag < 0:
             break
         match = TAG.match(page, tag)
@@ -185,8 +206,8 @@ def _blocks(page: str | None, doubtful: bool) -> list[Block]:
             elif tag + 1 < size and page[tag + 1].isalpha():
                 place = size  # a tag that never ends
             else:
-                if not stack[-1].dropped and (not stack[-1].header or heading):
-                    parts.append("<")
+                shown = not stack[-1].dropped and (not stack[-1].header or heading)
+                (parts if shown else aside).append("<")
                 place = tag + 1
             continue
         place = match.end()
@@ -209,6 +230,7 @@ def _blocks(page: str | None, doubtful: bool) -> list[Block]:
             continue
         if name == "br":
             parts.append(" ")
+            aside.append(" ")
         if name in VOID:
             if name not in INLINE:
                 flush()

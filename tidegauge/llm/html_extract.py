@@ -1,28 +1,28 @@
 """HTML extraction by nearest-URL page differencing.
 
 Pages of a host are put in the order of their URL paths, and each is compared with the
-page before and the page after it. The lines of the two are aligned by a longest common
-subsequence; aligned lines are the site's and not the page's. Of the two neighbours the
-one whose path agrees longest counts.
-
-Lines are blocks of visible text outside of elements that HTML or their class names mark
-as menus, headers, adverts and the like; those go whether a neighbour has them or not,
-as adverts differ from page to page. Differencing then decides about
-
-* all lines of a page without an article or main element,
-* lines inside of one that are mostly links.
-
-Other lines inside an article stay even if the neighbour has them: a passage that two
-articles quote is part of both. For the same reason two pages that share more than half
-of their characters count as copies of one page, and nothing of them is deleted.
-
-Only hashes of lines are sorted and aligned. Texts are shuffled only for pages on which
-differencing can delete something.
+page before and the page after it. All visible lines of the two, menus, headers and
+footers included, are aligned by a longest common subsequence; aligned lines are the
+site's and not the page's. Of the neighbours that a page shares lines of text with, or
+else of both, the one whose path agrees longest counts.
+
+Differencing decides about all lines except those of an article that are not mostly
+links: a passage that two articles quote is part of both. For the same reason two pages
+that share more than half of the characters of their text count as copies of one page,
+and are no neighbours.
+
+What differencing can't tell, as adverts differ from page to page and some pages have no
+neighbour, HTML or class names do: lines that they mark as menus, headers, adverts and
+the like go in any case, and so do lines outside of a page's article or main element.
+The other lines are the page's text here.
+
+Only hashes of lines are sorted and aligned. Pages are taken apart twice, as texts are
+shuffled only once that way, to the lines that go.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +30,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.frames import lookup
-from tidegauge.llm.html_blocks import blocks_of
+from tidegauge.llm.html_blocks import lines_of
 from tidegauge.llm.tokens import list_array, pieces, signed
 from tidegauge.sources.workspace import Scratch
 
 #: Pages that share more than this part of the shorter one's characters are copies.
 COPY_SHARE = 0.5
+#: Lines of an article stay. Open ones stay if differencing lets them. The site's are no
+#: text, whether differencing finds them or only their marks tell.
+OWN, OPEN, SITE = range(3)
 
 
 def _lengths(a: np.ndarray, masks: dict, width: int) -> np.ndarray:
@@ -103,34 +105,19 @@ def _path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)", 1)
 
 
-def _extracted(pages: DataFrame) -> DataFrame:
-    """The pages' lines: their text, hashes, and which of them differencing may delete."""
+def _lines(page: str | None) -> tuple[list[str], list[int]]:
+    """The visible lines of a page, and whether each is ``OWN``, ``OPEN`` or the ``SITE``'s."""
+    blocks = lines_of(page)
+    article = any(block.main for block in blocks)
+    kinds = [
+        SITE if block.marked or article and not block.main else OPEN if block.links or not block.main else OWN
+        for block in blocks
+    ]
+    return [block.text for block in blocks], kinds
 
-    def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-        texts, hashes, sizes, open_lines, ends, opens = [], [], [], [], [0], []
-        for page in piece.column("html").to_pylist():
-            blocks = blocks_of(page)
-            if any(block.main for block in blocks):
-                blocks = [block for block in blocks if block.main]
-            own = [block.links or not block.main for block in blocks]
-            texts.append([block.text for block in blocks])
-            hashes += [xxhash.xxh3_64_intdigest(block.text.encode()) for block in blocks]
-            sizes += [len(block.text) for block in blocks]
-            open_lines += own
-            ends.append(ends[-1] + len(blocks))
-            opens.append(any(own))
-        kept = ["page", "page_id", "url", "host", "path"]
-        return pa.RecordBatch.from_arrays(
-            [
-                *(piece.column(name) for name in kept),
-                pa.array(texts, pa.list_(pa.string())),
-                list_array(signed(np.array(hashes, dtype=np.uint64)), np.array(ends)),
-                list_array(np.array(sizes, dtype=np.int64), np.array(ends)),
-                list_array(np.array(open_lines, dtype=bool), np.array(ends)),
-                pa.array(opens, pa.bool_()),
-            ],
-            [*kept, "lines", "hashes", "sizes", "open_lines", "open"],
-        )
+
+def _by_page(pages: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    """Apply ``work`` to ``page, page_id, url, host, path, html`` of bounded numbers of pages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,13 +132,59 @@ def _extracted(pages: DataFrame) -> DataFrame:
         _host(url).alias("host"),
         _path(url).alias("path"),
         page.alias("html"),
-    ).mapInArrow(
-        run,
-        "page long, page_id long, url string, host string, path string, lines array<string>,"
-        " hashes array<long>, sizes array<long>, open_lines array<boolean>, open boolean",
+    ).mapInArrow(run, schema)
+
+
+def _extracted(pages: DataFrame) -> DataFrame:
+    """The visible lines of each page, as hashes, with their kinds and the sizes of text lines."""
+
+    def work(piece: pa.RecordBatch) -> pa.RecordBatch:
+        hashes, sizes, kinds, ends = [], [], [], [0]
+        for page in piece.column("html").to_pylist():
+            lines, own = _lines(page)
+            hashes += [xxhash.xxh3_64_intdigest(line.encode()) for line in lines]
+            sizes += [0 if kind == SITE else len(line) for line, kind in zip(lines, own, strict=True)]
+            kinds += own
+            ends.append(ends[-1] + len(lines))
+        kept = ["page", "host", "path"]
+        return pa.RecordBatch.from_arrays(
+            [
+                *(piece.column(name) for name in kept),
+                list_array(signed(np.array(hashes, dtype=np.uint64)), np.array(ends)),
+                list_array(np.array(sizes, dtype=np.int32), np.array(ends)),
+                list_array(np.array(kinds, dtype=np.int8), np.array(ends)),
+            ],
+            [*kept, "hashes", "sizes", "kinds"],
+        )
+
+    return _by_page(
+        pages, work, "page long, host string, path string, hashes array<long>, sizes array<int>, kinds array<tinyint>"
     )
 
 
+def _texts(pages: DataFrame) -> DataFrame:
+    """The text of each page, all lines but the site's, and the number of its lines."""
+
+    def work(piece: pa.RecordBatch) -> pa.RecordBatch:
+        texts, counts = [], []
+        for page in piece.column("html").to_pylist():
+            lines, kinds = _lines(page)
+            own = [line for line, kind in zip(lines, kinds, strict=True) if kind != SITE]
+            texts.append("\n".join(own))
+            counts.append(len(own))
+        kept = ["page", "page_id", "url"]
+        return pa.RecordBatch.from_arrays(
+            [
+                *(piece.column(name) for name in kept),
+                pa.array(texts, pa.string()),
+                pa.array(counts, pa.int64()),
+            ],
+            [*kept, "whole", "n_lines"],
+        )
+
+    return _by_page(pages, work, "page long, page_id long, url string, whole string, n_lines long")
+
+
 def _agreement(a: str, b: str) -> int:
     """Characters that two paths begin with alike."""
     n = 0
@@ -163,27 +196,41 @@ def _agreement(a: str, b: str) -> int:
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``page, nearness, gone`` of both pages of each pair that are not copies."""
+    """``page, texts, nearness, gone, n_shared`` of both pages of each pair that are not copies.
+
+    ``texts`` says whether lines of the two texts agree; ``gone`` counts lines of the text.
+    """
     for batch in batches:
-        pages, near, gone = [], [], []
+        pages, texts, near, gone, shared = [], [], [], [], []
         for row in batch.to_pylist():
             a, b = (np.array(row[name], dtype=np.int64) for name in ("hashes", "next_hashes"))
+            kinds = [np.array(row[name], dtype=np.int8) for name in ("kinds", "next_kinds")]
             places = common_lines(a, b)
-            shared = sum(row["sizes"][i] for i in places[0])
-            if not shared or shared > COPY_SHARE * min(sum(row["sizes"]), sum(row["next_sizes"])):
+            if not len(places[0]):
+                continue
+            in_text = [own != SITE for own in kinds]
+            agree = places[0][in_text[0][places[0]] & in_text[1][places[1]]]
+            same = sum(row["sizes"][i] for i in agree.tolist())
+            if same > COPY_SHARE * min(sum(row["sizes"]), sum(row["next_sizes"])):
                 continue
             nearness = 2 * _agreement(row["path"], row["next_path"])
-            for page, open_lines, own, first in (
-                (row["page"], row["open_lines"], places[0], 0),
-                (row["next_page"], row["next_open_lines"], places[1], 1),
-            ):
-                lines = [int(i) for i in own if open_lines[i]]
+            for first, page in enumerate((row["page"], row["next_page"])):
+                lines = places[first][kinds[first][places[first]] != OWN]
+                open_lines = lines[kinds[first][lines] == OPEN]
                 pages.append(page)
+                texts.append(same > 0)
                 near.append(nearness + first)  # of two equally near, the page before
-                gone.append(lines)
+                gone.append((np.cumsum(in_text[first])[open_lines] - 1).tolist())
+                shared.append(len(lines))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(pages, pa.int64()), pa.array(near, pa.int64()), pa.array(gone, pa.list_(pa.int64()))],
-            ["page", "nearness", "gone"],
+            [
+                pa.array(pages, pa.int64()),
+                pa.array(texts, pa.bool_()),
+                pa.array(near, pa.int64()),
+                pa.array(gone, pa.list_(pa.int64())),
+                pa.array(shared, pa.int64()),
+            ],
+            ["page", "texts", "nearness", "gone", "n_shared"],
         )
 
 
@@ -194,10 +241,10 @@ def _neighbours(lines: DataFrame, scratch: Scratch) -> DataFrame:
     goes with the first of the following: one row per range.
     """
     order = ["host", "path", "page"]
-    kept = [*order, "hashes", "sizes", "open_lines"]
+    kept = [*order, "hashes", "sizes", "kinds"]
     ranged = scratch.table(
         lines.select(*kept)
-        .where("host <> '' and size(hashes) > 0")
+        .where(F.expr("host <> ''") & F.exists("kinds", lambda kind: kind != SITE))
         .repartitionByRange(*order)
         .withColumn("part", F.spark_partition_id()),
         "ranged",
@@ -217,9 +264,10 @@ def _neighbours(lines: DataFrame, scratch: Scratch) -> DataFrame:
     )
     one = ranged.select(*kept)
     other = ranged.select(*(F.col(name).alias(f"next_{name}") for name in kept))
-    between = one.dropDuplicates(["page"]).join(across, "page").join(
-        other.dropDuplicates(["next_page"]), "next_page"
-    )
+    # Few rows are at the ends of ranges; only these are looked at for repeated rows.
+    last = one.join(F.broadcast(across), "page").dropDuplicates(["page", "next_page"])
+    first = other.join(F.broadcast(across.select("next_page")), "next_page").dropDuplicates(["next_page"])
+    between = last.join(first, "next_page")
     return within.union(between.select(*within.columns))
 
 
@@ -227,40 +275,36 @@ def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars, n_lines, n_shared`` of every row of ``pages``.
 
     ``text`` joins the lines that stay by line breaks, in the order of the page; white
-    space inside a line is one space. ``n_chars`` counts its code points; ``n_shared``
-    the lines that differencing deleted. A null or empty html gives an empty text. A
-    page whose url is null or has no host is compared with none. Rows that repeat are
-    treated alike and each give a row. Other columns are ignored.
+    space inside a line is one space. ``n_chars`` counts its code points; ``n_lines``
+    its lines before differencing; ``n_shared`` the lines of the page that differencing
+    deleted, its menus and the like included. A null or empty html gives an empty text. A page whose url is
+    null or has no host is compared with none. Rows that repeat are treated alike and
+    each give a row. Other columns are ignored.
     """
     scratch = Scratch(pages.sparkSession, "html")
     found = scratch.table(_extracted(pages), "extracted")
-    pairs = _neighbours(found, scratch).where(
-        F.exists("open_lines", lambda x: x) | F.exists("next_open_lines", lambda x: x)
-    )
-    best = F.max_by("gone", "nearness")
+    pairs = _neighbours(found, scratch).where(F.arrays_overlap("hashes", "next_hashes"))
+    nearest = F.max_by(F.struct("gone", "n_shared"), F.struct("texts", "nearness"))
     gone = scratch.table(
-        pairs.mapInArrow(_align, "page long, nearness long, gone array<long>")
+        pairs.mapInArrow(_align, "page long, texts boolean, nearness long, gone array<long>, n_shared long")
         .groupBy("page")
-        .agg(best.alias("gone"))
-        .where(F.size("gone") > 0),
+        .agg(nearest.alias("nearest"))
+        .select("page", "nearest.*")
+        .where("n_shared > 0"),
         "gone",
     )
-    kept = ["page", "page_id", "url", "lines"]
-    touched = lookup(found.where("open").select(*kept), gone, "page", ["page_id"], "left")
-    clean = found.where("not open").select(*kept, F.lit(None).cast("array<long>").alias("gone"))
-    lines = F.filter(
-        "lines", lambda line, i: F.col("gone").isNull() | ~F.array_contains("gone", i.cast("long"))
-    )
+    scratch.drop("extracted", "ranged")
+    stay = F.filter(F.split("whole", "\n"), lambda line, i: ~F.array_contains("gone", i.cast("long")))
     return (
-        touched.select(*clean.columns)
-        .union(clean)
-        .withColumn("text", F.array_join(lines, "\n"))
+        _texts(pages)
+        .join(gone.hint("shuffle_hash"), "page", "left")
+        .withColumn("text", F.when(F.size("gone") > 0, F.array_join(stay, "\n")).otherwise(F.col("whole")))
         .select(
             "page_id",
             "url",
             "text",
             F.length("text").cast("long").alias("n_chars"),
-            F.size("lines").cast("long").alias("n_lines"),
-            F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_shared"),
+            "n_lines",
+            F.coalesce("n_shared", F.lit(0).cast("long")).alias("n_shared"),
         )
     )
