@@ -1,5 +1,8 @@
 """Small frames for tests."""
 
+import tracemalloc
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
 from tidegauge.schema import METRICS, RAW_SCHEMA
@@ -39,6 +42,23 @@ def epoch(name):
     return F.unix_seconds(name).alias(name)
 
 
+def peak_mb(use):
+    """The most memory that Python and numpy hold at once while ``use`` runs."""
+    tracemalloc.start()
+    try:
+        use()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def arrow_step(spark, step):
+    """What ``step`` runs on the Arrow batches of the frame that it is given."""
+    frame = SimpleNamespace(sparkSession=spark, mapInArrow=lambda run, schema: run)
+    frame.select = lambda *columns: frame
+    return step(frame)
+
+
 def plan(df):
     """The formatted physical plan."""
     execution = df._jdf.queryExecution()

@@ -2,8 +2,11 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from tests.helpers import arrow_step, peak_mb
 from tests.llm import brute
 from tidegauge.llm import decontaminate
 
@@ -116,3 +119,11 @@ def test_empty(spark, docs, items):
     docs, items = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
     assert decontaminate.contaminated(docs, items).collect() == []
     assert decontaminate.drop_contaminated(docs, items).count() == docs.count()
+
+
+def test_a_large_batch_of_texts_takes_little_memory(spark):
+    texts = ["some words of an ordinary text\n" * 100] * 4000
+    batch = pa.RecordBatch.from_pydict({"digest": texts, "doc_id": list(range(4000)), "text": texts})
+    nothing = np.zeros(1 << 12, dtype=np.uint8)
+    run = arrow_step(spark, lambda docs: decontaminate.windows_of(docs, nothing, nothing, [20]))
+    assert peak_mb(lambda: [None for _ in run([batch])]) < 2 * batch.column("text").nbytes / 1e6

@@ -2,8 +2,10 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
+from tests.helpers import arrow_step, peak_mb
 from tests.llm import brute
 from tidegauge.llm import line_templates
 
@@ -93,3 +95,10 @@ def test_empty(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert line_templates.drop_report(docs).collect() == []
     assert line_templates.drop_lines(docs).collect() == []
+
+
+def test_a_large_batch_of_texts_takes_little_memory(spark):
+    texts = ["\n".join(f"line {j} of the text with number {i}" for j in range(100)) for i in range(4000)]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    run = arrow_step(spark, line_templates.lines_of)
+    assert peak_mb(lambda: [None for _ in run([batch])]) < 2 * batch.nbytes / 1e6

@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tests.helpers import peak_mb
 from tests.llm import brute
 from tidegauge.llm import frames, tokens
 from tidegauge.sources.workspace import Scratch, materialize
@@ -39,6 +40,30 @@ def test_hashes_do_not_depend_on_the_batch(monkeypatch):
     assert (part == whole[words.first[100] : words.first[150]]).all()
 
 
+@settings(max_examples=100, deadline=None)
+@given(TEXTS, st.integers(1, 7), st.integers(8, 40))
+def test_words_and_shingles_do_not_depend_on_the_block(texts, size, block):
+    array, usual = pa.array(texts, pa.string()), tokens.HASH_BYTES
+    found = []
+    try:
+        for tokens.HASH_BYTES in (usual, block):
+            words = tokens.words_of(array)
+            found.append([*words, *tokens.shingles(tokens.hash_words(words), words.first, size)])
+    finally:
+        tokens.HASH_BYTES = usual
+    assert all(np.array_equal(a, b) for a, b in zip(*found, strict=True))
+
+
+def test_words_and_shingles_hold_little_besides_their_results():
+    texts = pa.array(["a few short words\n" * 100] * 2000)
+    words = tokens.words_of(texts)
+    hashes = tokens.hash_words(words)
+    assert peak_mb(lambda: tokens.words_of(texts)) < 2.5 * (words.starts.nbytes + words.ends.nbytes) / 1e6
+    assert peak_mb(lambda: tokens.shingles(hashes, words.first)) < 2 * hashes.nbytes / 1e6
+    bitmap = np.zeros(1 << 12, dtype=np.uint8)
+    assert peak_mb(lambda: frames.in_bitmap(bitmap, hashes)) < hashes.nbytes / 1e6
+
+
 def test_pieces_cover_all_rows(monkeypatch):
     monkeypatch.setattr(tokens, "PIECE_BYTES", 100)
     texts = pa.array(["x" * n for n in (0, 500, 20, 30, 0, 99, 2, 100, 1)])

@@ -31,7 +31,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.frames import bitmap_table, by_piece, hash_bitmap, in_bitmap, lookup, split_by
-from tidegauge.llm.tokens import BETWEEN, ODD, hash_words, list_array, mix, shingles, signed, split_words, text_bytes
+from tidegauge.llm.tokens import (
+    BETWEEN,
+    ODD,
+    SMALL_PIECE,
+    hash_words,
+    list_array,
+    mix,
+    shingles,
+    signed,
+    split_words,
+    text_bytes,
+)
 from tidegauge.sources.workspace import Scratch
 
 SIZE = 5
@@ -160,7 +171,7 @@ def windows_of(docs: DataFrame, any_size: np.ndarray, own_size: np.ndarray, size
     schema = (
         "digest string, doc_id long, start long, n long, fingerprint long, grams array<long>, leading array<long>"
     )
-    return by_piece(docs, ["digest", "doc_id", "text"], work, schema)
+    return by_piece(docs, ["digest", "doc_id", "text"], work, schema, SMALL_PIECE)
 
 
 def _blocks() -> list[tuple[int, int]]:

@@ -17,6 +17,8 @@ from tidegauge.sources.workspace import Scratch
 SALTS = 16
 #: Times the bytes of a written table that its rows may take in memory.
 IN_MEMORY = 4
+#: Hashes that are looked up in a bitmap at once.
+LOOKED_UP = 1 << 16
 
 
 Work = Callable[[pa.RecordBatch], pa.RecordBatch]
@@ -27,15 +29,18 @@ def as_texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def by_piece(df: DataFrame, columns: list[str], work: Work, schema: str) -> DataFrame:
+def by_piece(
+    df: DataFrame, columns: list[str], work: Work, schema: str, most: int | None = None
+) -> DataFrame:
     """Apply ``work`` to Arrow batches of ``columns`` with a bounded amount of text.
 
-    ``text`` must be among the columns; a row is whole, whatever its length.
+    ``text`` must be among the columns; a row is whole, whatever its length. ``most`` is
+    as in :func:`pieces`: less for work that holds much per byte of text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, batch.column("text")):
+            for piece in pieces(batch, batch.column("text"), most):
                 yield work(piece)
 
     return df.select(*columns).mapInArrow(run, schema)
@@ -118,9 +123,13 @@ def hash_bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
 
 
 def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes & np.uint64(8 * len(bitmap) - 1)
-    shift = (place & np.uint64(7)).astype(np.uint8)
-    return ((bitmap[place >> np.uint64(3)] >> shift) & 1).astype(bool)
+    """Which ``hashes`` may be in a bitmap of :func:`hash_bitmap`, some at a time to hold little."""
+    found = np.empty(len(hashes), dtype=bool)
+    for at in range(0, len(hashes), LOOKED_UP):
+        place = hashes[at : at + LOOKED_UP] & np.uint64(8 * len(bitmap) - 1)
+        shift = (place & np.uint64(7)).astype(np.uint8)
+        found[at : at + LOOKED_UP] = (bitmap[place >> np.uint64(3)] >> shift) & 1
+    return found
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.frames import bitmap_table, by_piece, hash_bitmap, in_bitmap, let, lookup, split_by
-from tidegauge.llm.tokens import AS_IS, ODD, hash_words, list_array, mix, signed, split_words, text_bytes
+from tidegauge.llm.tokens import AS_IS, ODD, SMALL_PIECE, hash_words, list_array, mix, signed, split_words, text_bytes
 from tidegauge.sources.workspace import Scratch
 
 #: Leading tokens on the way to a leaf.
@@ -152,7 +152,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
         )
 
     schema = "doc long, line long, leaf long, head long, tail long, tokens long, words long"
-    return by_piece(docs, ["text"], work, schema)
+    return by_piece(docs, ["text"], work, schema, SMALL_PIECE)
 
 
 def _tokens_in(docs: DataFrame, wanted: np.ndarray) -> DataFrame:

@@ -5,7 +5,8 @@ UTF-8 these never occur inside another character. All texts of a batch are treat
 as one byte array, so nothing loops over words in Python.
 
 Memory is bounded: batches are taken in pieces of ``PIECE_BYTES`` (one longer text is
-a piece of its own), and hashing holds a few numbers per byte of ``HASH_BYTES`` only.
+a piece of its own), and splitting and hashing hold a few numbers per byte of
+``HASH_BYTES`` only, besides two places and a hash for each word and shingle.
 """
 
 from __future__ import annotations
@@ -17,7 +18,9 @@ import numpy as np
 import pyarrow as pa
 
 PIECE_BYTES = 8 << 20
-HASH_BYTES = 1 << 20
+#: For work that holds many times a piece's bytes and gives the same rows for any pieces.
+SMALL_PIECE = 1 << 20
+HASH_BYTES = 1 << 18
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -45,14 +48,15 @@ class Words(NamedTuple):
     first: np.ndarray
 
 
-def pieces(batch: pa.RecordBatch, texts: pa.Array) -> Iterator[pa.RecordBatch]:
-    """Slices of ``batch`` with about ``PIECE_BYTES`` of ``texts``, one text per row, each."""
+def pieces(batch: pa.RecordBatch, texts: pa.Array, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Slices of ``batch`` with about ``most`` bytes of ``texts`` each, ``PIECE_BYTES`` if not given; one text per row."""
+    most = PIECE_BYTES if most is None else most
     if not batch.num_rows:
         return
     _, bounds = text_bytes(texts)
     at = 0
     while at < batch.num_rows:
-        to = int(np.searchsorted(bounds, bounds[at] + PIECE_BYTES, side="right")) - 1
+        to = int(np.searchsorted(bounds, bounds[at] + most, side="right")) - 1
         to = min(max(to, at + 1), batch.num_rows)
         yield batch.slice(at, to - at)
         at = to
@@ -71,16 +75,24 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def split_words(data: np.ndarray, bounds: np.ndarray, space: np.ndarray = SPACE) -> Words:
-    blank = np.ones(len(data) + 2, dtype=bool)
-    blank[1:-1] = space[data]
-    begins, finishes = ~blank[1:-1], ~blank[1:-1]
-    before, after = blank[:-2].copy(), blank[2:].copy()
+    none = np.zeros(0, dtype=np.int64)
+    starts, ends = [none], [none]
     inner = bounds[(bounds > 0) & (bounds < len(data))]
-    before[inner] = True  # a word never runs on into the next text
-    after[inner - 1] = True
-    starts = np.flatnonzero(begins & before)
-    ends = np.flatnonzero(finishes & after) + 1
-    return Words(data, starts, ends, np.searchsorted(starts, bounds))
+    for low in range(0, len(data), HASH_BYTES):
+        high = min(low + HASH_BYTES, len(data))
+        left, right = max(low - 1, 0), min(high + 1, len(data))
+        inside = np.zeros(high - low + 2, dtype=bool)  # one byte more on either side
+        inside[left - low + 1 : right - low + 1] = ~space[data[left:right]]
+        own = inside[1:-1]
+        begins, finishes = own & ~inside[:-2], own & ~inside[2:]
+        cuts = inner[np.searchsorted(inner, low) : np.searchsorted(inner, high, side="right")] - low
+        after, before = cuts[cuts < high - low], cuts[cuts > 0] - 1
+        begins[after] = own[after]  # a word never runs on into the next text
+        finishes[before] = own[before]
+        starts.append(np.flatnonzero(begins) + low)
+        ends.append(np.flatnonzero(finishes) + low + 1)
+    first = np.concatenate(starts)
+    return Words(data, first, np.concatenate(ends), np.searchsorted(first, bounds))
 
 
 def words_of(texts: pa.Array) -> Words:
@@ -131,17 +143,28 @@ def shingles(hashes: np.ndarray, first: np.ndarray, size: int = 5) -> tuple[np.n
     n = np.diff(first)
     counts = np.where(n >= size, n - size + 1, (n > 0).astype(n.dtype))
     bounds = np.concatenate([[0], np.cumsum(counts)])
-    out = np.empty(bounds[-1], dtype=np.uint64)
-    runs = max(0, len(hashes) - size + 1)
-    every = np.zeros(runs, dtype=np.uint64)
-    for j in range(size):
-        every += hashes[j : j + runs] * ODD[j % 5] * np.uint64(2 * (j // 5) + 1)
-    every = mix(every + np.uint64(size))
     long = n >= size
-    begins = np.repeat(first[:-1][long] - bounds[:-1][long], counts[long])
-    places = np.flatnonzero(np.repeat(long, counts))
-    out[places] = every[places + begins]
-    for i in np.flatnonzero((n > 0) & ~long):
+    short = np.flatnonzero((n > 0) & ~long)
+    out = np.empty(bounds[-1], dtype=np.uint64)
+    within, at = bounds[-1] - len(short), 0
+    runs = np.empty(within, dtype=np.uint64) if len(short) else out
+    low, last = first[0], first[-1] - size + 1
+    while at < within:
+        to = min(low + HASH_BYTES // 8, last)
+        every = np.zeros(to - low, dtype=np.uint64)
+        for j in range(size):
+            every += hashes[low + j : to + j] * ODD[j % 5] * np.uint64(2 * (j // 5) + 1)
+        whole = np.ones(to - low, dtype=bool)
+        for j in range(1, size):  # a run never goes on into the next text
+            whole[first[np.searchsorted(first, low + j) : np.searchsorted(first, to + j)] - j - low] = False
+        every = mix(every[whole] + np.uint64(size))
+        runs[at : at + len(every)] = every
+        at, low = at + len(every), to
+    if len(short):
+        places = np.ones(len(out), dtype=bool)
+        places[bounds[short]] = False
+        out[places] = runs
+    for i in short:
         own = hashes[first[i] : first[i + 1]]
         weights = ODD[np.arange(len(own)) % 5]
         out[bounds[i]] = mix((own * weights).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(own)))[0]
